@@ -13,6 +13,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from obsguard.catalogs import dimensions as dim
 
@@ -33,16 +34,20 @@ def blank_to_null(c: Column) -> Column:
     return F.when(~c.rlike(r"(?U)^\s*$"), c)
 
 
-@F.pandas_udf("string")
-def nfkc(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x))
+def nfkc_array(texts: Column) -> Column:
+    """Unicode compatibility folding of an array of texts."""
 
+    # Defined inside so that it travels with the plan; workers need not have this package.
+    def fold(s: pd.Series) -> pd.Series:
+        return s.map(
+            lambda xs: None if xs is None else [None if x is None else unicodedata.normalize("NFKC", x) for x in xs]
+        )
 
-@F.pandas_udf("array<string>")
-def nfkc_array(s: pd.Series) -> pd.Series:
-    return s.map(
-        lambda xs: None if xs is None else [None if x is None else unicodedata.normalize("NFKC", x) for x in xs]
-    )
+    return F.pandas_udf(fold, T.ArrayType(T.StringType()))(texts)
+
+
+def nfkc(text: Column) -> Column:
+    return nfkc_array(F.array(text))[0]
 
 
 def normalize_header(folded: Column) -> Column:

@@ -54,6 +54,11 @@ def apply_checks(
     return over_ordered_groups(df, keys, order, max(c.reach for c in checks), compute, rows_per_task)
 
 
+def _limit(given: float | str) -> Column:
+    """A constant, or the column holding the limit of each row."""
+    return F.col(given).cast("double") if isinstance(given, str) else F.lit(float(given))
+
+
 def step(
     name: str,
     value: str,
@@ -64,9 +69,9 @@ def step(
     flag: str = "SUSPECT",
 ) -> FrameCheck:
     """Absolute change per hour against the previous observation; outside the gap gate not checked."""
-    limit = F.col(per_hour).cast("double") if isinstance(per_hour, str) else F.lit(float(per_hour))
 
     def stage(w: WindowSpec) -> dict[str, Column]:
+        limit = _limit(per_hour)
         x = F.col(value).cast("double")
         before, t0 = F.lag(x).over(w), F.lag(F.col(ts)).over(w)
         hours = S.hours_between(F.col(ts), t0)
@@ -83,9 +88,9 @@ def step(
 
 def spike(name: str, value: str, threshold: float | str, flag: str = "SUSPECT") -> FrameCheck:
     """Three-point test: |x - (p+n)/2| - |n-p|/2 above the threshold."""
-    limit = F.col(threshold).cast("double") if isinstance(threshold, str) else F.lit(float(threshold))
 
     def stage(w: WindowSpec) -> dict[str, Column]:
+        limit = _limit(threshold)
         x = F.col(value).cast("double")
         p, n = F.lag(x).over(w), F.lead(x).over(w)
         size = F.round(F.abs(x - (p + n) / 2) - F.abs(n - p) / 2, 6)

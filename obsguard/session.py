@@ -19,6 +19,7 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, memory: str
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("obsguard")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
