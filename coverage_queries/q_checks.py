@@ -472,6 +472,13 @@ _FLAG_COUNTS = (
 )
 
 
+# Aggregates over the results of one observation.
+_ASSESSED = """CASE WHEN bool_or(flag = 'ERROR') THEN 'ERROR' WHEN bool_or(flag = 'MISSING') THEN 'MISSING' WHEN bool_or(flag = 'SUSPECT') THEN 'SUSPECT'
+      WHEN bool_or(flag = 'PASS') THEN 'PASS' WHEN bool_or(flag = 'NOT_CHECKED') THEN 'NOT_CHECKED' ELSE 'NOT_APPLICABLE' END AS qc_status,
+    CAST(greatest(0, 100 - 10 * count(*) FILTER (flag = 'SUSPECT') - 30 * count(*) FILTER (flag = 'ERROR') - 15 * count(*) FILTER (flag = 'MISSING')) AS DOUBLE) AS qc_score,
+    coalesce(array_to_string(list_sort(list_distinct(list(rule_id) FILTER (flag IN ('SUSPECT','ERROR','MISSING')))), ','), '') AS qc_flags"""
+
+
 def evaluated(spark, sf_dir):
     df = B.wide(spark, sf_dir)
     return FW.evaluate(df, RR.row_checks(df, FRAME_RULES) + RR.null_value_checks(FRAME_NULLS))

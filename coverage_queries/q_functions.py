@@ -137,7 +137,7 @@ _CONVERT = (
 @query(
     "num_01_unit_conversion",
     f"""WITH {_CONVERT} SELECT event_id, CASE unit WHEN 'kt' THEN round(value * 0.5144444444, 1)
-      WHEN 'mps' THEN round(value / 0.5144444444, 1) WHEN 'K' THEN round(value - 273.15, 1) WHEN 'ft' THEN round(value * 0.3048, 0)
+      WHEN 'mps' THEN round(value / 0.5144444444, 1) WHEN 'K' THEN CAST(round(CAST(value AS DECIMAL(18,4)) - 273.15, 1) AS DOUBLE) WHEN 'ft' THEN round(value * 0.3048, 0)
       WHEN 'mbar' THEN round(value * 100, 0) WHEN 'km' THEN round(value * 1000 / 0.3048, 0) END AS converted FROM given""",
 )
 def unit_conversion(spark, sf_dir):
@@ -168,13 +168,14 @@ def angles(spark, sf_dir):
 
 @query(
     "num_03_rounding",
-    "SELECT event_id, round(value / 7, 2) AS two, round(value / 7, 0) AS zero, CASE event_id % 3 WHEN 0 THEN round(value / 7, 0)"
-    " WHEN 1 THEN round(value / 7, 1) ELSE round(value / 7, 2) END AS per_row FROM events",
+    # Both sides round the decimal value: noise of the binary quotient is cleared first.
+    "WITH q AS (SELECT event_id, round(value / 7, 9) AS x FROM events) SELECT event_id, round(x, 2) AS two, round(x, 0) AS zero,"
+    " CASE event_id % 3 WHEN 0 THEN round(x, 0) WHEN 1 THEN round(x, 1) ELSE round(x, 2) END AS per_row FROM q",
 )
 def rounding(spark, sf_dir):
     x = F.col("value") / 7
     return B.table(spark, sf_dir, "events").select(
-        "event_id", F.round(x, 2).alias("two"), F.round(x, 0).alias("zero"),
+        "event_id", S.round_half_up(x, 2).alias("two"), S.round_half_up(x, 0).alias("zero"),
         S.round_to(x, F.col("event_id") % 3).alias("per_row"),
     )
 

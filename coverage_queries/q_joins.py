@@ -37,7 +37,7 @@ def membership(spark, sf_dir):
 
 @query(
     "jon_03_unit_aliases",
-    f"WITH {UNIT_CTE}, {_UNIT_VALUES} SELECT g.event_id, g.unit, u.unit_id, u.base_unit, u.factor FROM given g LEFT JOIN u ON g.unit = u.alias",
+    f"WITH {UNIT_CTE}, {_UNIT_VALUES} SELECT g.event_id, g.unit, u.unit_id, u.base_unit, CAST(u.factor AS DOUBLE) AS factor FROM given g LEFT JOIN u ON g.unit = u.alias",
 )
 def units(spark, sf_dir):
     from coverage_queries.q_checks import UNIT_BINDING

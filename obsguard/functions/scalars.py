@@ -131,12 +131,17 @@ def convert_unit(x: Column, factor: Column, offset: Column, to_factor: Column, t
 
 def round_to(x: Column, digits: Column) -> Column:
     """HALF_UP rounding to a per-row number of decimals (0..4)."""
-    out = F.round(x, 0)
+    out = round_half_up(x, 0)
     for d in (1, 2, 3, 4):
-        out = F.when(digits == d, F.round(x, d)).otherwise(out)
+        out = F.when(digits == d, round_half_up(x, d)).otherwise(out)
     return out
 
 
+def round_half_up(x: Column, digits: int) -> Column:
+    """Decimal HALF_UP: binary noise beyond nine decimals is cleared first, so 6.65 / 1 rounds to 6.7."""
+    return F.round(F.round(x, 9), digits)
+
+
 def wrap_angle(x: Column) -> Column:
     return F.pmod(x, F.lit(360.0))
 
