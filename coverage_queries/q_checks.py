@@ -497,7 +497,7 @@ def results_array(spark, sf_dir):
     count(*) AS n FROM results GROUP BY flag""",
 )
 def flag_codes(spark, sf_dir):
-    found = evaluated(spark, sf_dir).select(F.inline("qc_results"))
+    found = FW.detail(evaluated(spark, sf_dir), [], failed_only=False)
     return found.groupBy("flag", FW.lookup(R.FLAG_CODES, F.col("flag")).alias("code"), "severity").agg(
         F.count(F.lit(1)).alias("n")
     )

@@ -89,7 +89,7 @@ def raw_grid(spark, sf_dir):
         F.expr(_ROW).alias("source_row"), F.expr(_DATA_LINE).alias("line"),
     )
     lines = heads.unionByName(blanks).unionByName(rows)
-    return lines.withColumn("cells", F.split("line", "[|]", -1)).drop("line")
+    return lines.withColumn("cells", F.split("line", "\\|", -1)).drop("line")
 
 
 def grid(spark, sf_dir):

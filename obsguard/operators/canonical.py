@@ -15,18 +15,16 @@ from obsguard.operators.grid import SHEET
 def header_positions(sheets: DataFrame, expected: list[str], column: str = "headers") -> DataFrame:
     """Per sheet, where each contract column sits (0 = absent)."""
     where = F.array(*[F.array_position(F.col(column), h).cast("int") for h in expected])
-    return sheets.select(*SHEET, where.alias("_where"))
+    return sheets.select(*SHEET, where.alias("_where"), F.col("header_row").alias("_header_row"))
 
 
 def promote_headers(grid: DataFrame, sheets: DataFrame, names: dict[str, str], column: str = "headers") -> DataFrame:
     """Data rows with cells named by the contract: ``names`` maps header -> column name.
 
-    ``grid`` is a cleaned grid, ``sheets`` carries the compared headers and the header's row number.
+    ``grid`` is a cleaned grid; ``sheets`` is its profile with the compared headers.
     """
     expected = list(names)
-    where = header_positions(sheets, expected, column).join(
-        grid.groupBy(*SHEET).agg(F.min("source_row").alias("_header_row")), SHEET
-    )
+    where = header_positions(sheets, expected, column)
     cell = [
         F.when(F.col("_where")[i] > 0, F.get(F.col("cells"), F.col("_where")[i] - 1)).alias(name)
         for i, name in enumerate(names.values())

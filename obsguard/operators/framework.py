@@ -76,8 +76,13 @@ def evaluate(df: DataFrame, checks: list[Check], into: str = "qc_results") -> Da
     return staged.withColumn(into, found).drop(*[f"_f{i}" for i in range(len(checks))])
 
 
-def count_flag(results: Column, *flags: str) -> Column:
-    return F.size(F.filter(results, lambda r: r["flag"].isin(*flags)))
+# The functions below read one field of all results (``results.flag`` is an array) and use array
+# built-ins without lambdas, which stay in generated code.
+
+
+def count_flag(results: Column, flag: str) -> Column:
+    flags = results.getField("flag")
+    return F.size(flags) - F.size(F.array_remove(flags, flag))
 
 
 def score(results: Column) -> Column:
@@ -89,34 +94,40 @@ def score(results: Column) -> Column:
 
 def worst_flag(results: Column) -> Column:
     """ERROR > MISSING > SUSPECT > PASS > NOT_CHECKED > NOT_APPLICABLE; null without results."""
-    rank = {flag: i for i, flag in enumerate(R.FLAG_ORDER)}
-    best = F.array_min(F.transform(results, lambda r: lookup(rank, r["flag"])))
-    return lookup({i: flag for flag, i in rank.items()}, best)
+    flags = results.getField("flag")
+    out = F.lit(None).cast("string")
+    for flag in reversed(R.FLAG_ORDER):
+        out = F.when(F.array_contains(flags, flag), flag).otherwise(out)
+    return out
 
 
 def assess(df: DataFrame, results: str = "qc_results") -> DataFrame:
     """Per-observation outcome from the results array; row-local."""
     found = F.col(results)
-    failed = F.filter(found, lambda r: r["flag"].isin(*FAILED))
+    failed = sum((count_flag(found, flag) for flag in FAILED), F.lit(0))
+    # A message is set exactly on failed results and starts with the rule's identifier.
+    messages = F.concat_ws("; ", found.getField("message"))
+    rules = F.split(F.regexp_replace(messages, r": \w+", ""), "; ")
     return df.withColumns(
         {
             "qc_flag": worst_flag(found),
             "qc_score": score(found).cast("float"),
             "qc_rule_count": F.size(found),
-            "qc_failed_rule_count": F.size(failed),
-            "qc_messages": F.concat_ws("; ", F.transform(failed, lambda r: r["message"])),
-            "qc_status": worst_flag(found),
-            "qc_flags": F.array_sort(F.array_distinct(F.transform(failed, lambda r: r["rule_id"]))),
+            "qc_failed_rule_count": failed,
+            "qc_messages": messages,
+            "qc_flags": F.when(messages == "", F.array().cast("array<string>")).otherwise(
+                F.sort_array(F.array_distinct(rules))
+            ),
         }
-    )
+    ).withColumn("qc_status", F.col("qc_flag"))
 
 
 def detail(df: DataFrame, ids: list[str], results: str = "qc_results", failed_only: bool = True) -> DataFrame:
-    """One row per finding; passing results are dropped from the array before it is exploded."""
-    found = F.col(results)
-    if failed_only:
-        found = F.filter(found, lambda r: ~r["flag"].isin("PASS", "NOT_CHECKED", "NOT_APPLICABLE"))
-    return df.select(*ids, F.inline(found))
+    """One row per finding; passing results are dropped as they are unpacked."""
+    # The outer form: for the inner one the optimizer tests the size of the array on every row
+    # first, which evaluates all checks a second time. The row of an empty array has no flag.
+    rows = df.select(*ids, F.inline_outer(F.col(results)))
+    return rows.filter(F.col("flag").isin(*(FAILED if failed_only else tuple(R.FLAG_CODES))))
 
 
 def expression_flag(df: DataFrame, expression: str, flag: str, aliases: dict[str, str] | None = None) -> Column:

@@ -26,19 +26,15 @@ def blank_cells_to_null(grid: DataFrame) -> DataFrame:
     return grid.withColumn("cells", F.transform("cells", lambda c: S.blank_to_null(c)))
 
 
-def _has_data(cells: Column) -> Column:
-    return F.exists(cells, lambda c: c.isNotNull())
+def _mask(cells: Column) -> Column:
+    """Bit i is set where cell i holds data (first cell = lowest bit)."""
+    return F.aggregate(
+        F.reverse(cells), F.lit(0).cast("bigint"), lambda a, c: a * 2 + c.isNotNull().cast("bigint")
+    )
 
 
 def drop_empty_rows(grid: DataFrame) -> DataFrame:
-    return grid.filter(_has_data(F.col("cells")))
-
-
-def _mask(cells: Column) -> Column:
-    bits = F.transform(
-        cells, lambda c, i: F.when(c.isNotNull(), F.expr("1L") * F.pow(F.lit(2.0), i).cast("bigint")).otherwise(0)
-    )
-    return F.aggregate(bits, F.lit(0).cast("bigint"), lambda a, b: a + b)
+    return grid.filter(_mask(F.col("cells")) != 0)
 
 
 def profile_sheets(grid: DataFrame) -> DataFrame:
@@ -48,13 +44,15 @@ def profile_sheets(grid: DataFrame) -> DataFrame:
     columns kept, the header (first surviving row) and the headerless columns that hold data
     (positions after cleanup). A sheet without data has ``rows`` = 0.
     """
-    cells = F.col("cells")
-    base = grid.groupBy(*SHEET).agg(
+    marked = grid.withColumn("_bits", _mask(F.col("cells")))
+    data_row = F.when(F.col("_bits") != 0, F.col("source_row"))
+    base = marked.groupBy(*SHEET).agg(
         F.count(F.lit(1)).alias("rows_before_cleanup"),
-        F.max(F.size(cells)).alias("columns_before_cleanup"),
-        F.count_if(~_has_data(cells)).alias("empty_rows_removed"),
-        F.bit_or(_mask(cells)).alias("_mask"),
-        F.min_by(cells, F.when(_has_data(cells), F.col("source_row"))).alias("_first"),
+        F.max(F.size("cells")).alias("columns_before_cleanup"),
+        F.count_if(F.col("_bits") == 0).alias("empty_rows_removed"),
+        F.bit_or("_bits").alias("_mask"),
+        F.min(data_row).alias("header_row"),
+        F.min_by("cells", data_row).alias("_first"),
     )
     positions = F.when(F.col("columns_before_cleanup") > 0, F.sequence(F.lit(1), F.col("columns_before_cleanup")))
 

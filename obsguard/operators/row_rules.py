@@ -8,6 +8,7 @@ compared with a tolerance, so 10.3 - 10.1 is 0.2 and not a little more.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,6 +52,13 @@ def _rule(rule_id: str, variable: str, expected: str = ""):
     return keep
 
 
+@dataclass(frozen=True)
+class _Layer:
+    amount: Column
+    height: Column
+    kind: Column
+
+
 class _Row:
     """Access to the columns of one frame by name, typed for comparison."""
 
@@ -68,20 +76,34 @@ class _Row:
     def num(self, name: str) -> Column:
         return F.col(name).cast("double") if name in self.have else F.lit(None).cast("double")
 
-    def layers(self) -> Column:
-        return F.array(
-            *[
-                F.struct(
-                    self.text(f"cloud_amount_{i}").alias("amount"),
-                    self.num(f"cloud_base_height_{i}_ft").alias("height"),
-                    self.text(f"cloud_type_{i}").alias("kind"),
-                )
-                for i in (1, 2, 3)
-            ]
-        )
+    def layers(self) -> list[_Layer]:
+        """The three cloud layers; checks over them are spelled out, which keeps them in generated code."""
+        return [
+            _Layer(
+                self.text(f"cloud_amount_{i}"), self.num(f"cloud_base_height_{i}_ft"), self.text(f"cloud_type_{i}")
+            )
+            for i in (1, 2, 3)
+        ]
+
+    def weather(self) -> list[Column]:
+        return [self.text(f"present_weather_{i}") for i in (1, 2, 3)]
+
+
+def _sure(test: Column) -> Column:
+    """An unknown test counts as not met."""
+    return F.coalesce(test, F.lit(False))
+
+
+def _some(items: list, test: Callable) -> Column:
+    return S.any_of([_sure(test(x)) for x in items])
+
+
+def _none_set(items: list[Column]) -> Column:
+    return S.all_of([x.isNull() for x in items])
 
-    def weather(self) -> Column:
-        return F.array_compact(F.array(*[self.text(f"present_weather_{i}") for i in (1, 2, 3)]))
+
+def _how_many(conditions: list[Column]) -> Column:
+    return sum((c.cast("int") for c in conditions), F.lit(0))
 
 
 def _over(a: Column, b: Column) -> Column:
@@ -295,17 +317,10 @@ def _vis_direction(r, f):
 
 def _cavok(r, f):
     metar, vis = r.text("metar"), r.num("prevailing_visibility_m")
-    low, kinds = r.p["cavok_cloud_ft"], r.p["convective"]
-    clear = r.p["clear_sky"]
-    cloud = F.exists(
-        r.layers(),
-        lambda c: F.coalesce(
-            c["amount"].isNotNull() & ~c["amount"].isin(clear) & (c["height"].isNull() | (c["height"] < low)),
-            F.lit(False),
-        )
-        | F.coalesce(c["kind"].isin(kinds), F.lit(False)),
-    )
-    bad = F.coalesce(vis < r.p["cavok_visibility_m"], F.lit(False)) | (F.size(r.weather()) > 0) | cloud
+    low, kinds, clear = r.p["cavok_cloud_ft"], r.p["convective"], r.p["clear_sky"]
+    cloud = _some(r.layers(), lambda c: ~c.amount.isin(clear) & (c.height.isNull() | (c.height < low)))
+    tower = _some(r.layers(), lambda c: c.kind.isin(kinds))
+    bad = _sure(vis < r.p["cavok_visibility_m"]) | ~_none_set(r.weather()) | cloud | tower
     stated = metar.rlike(r"\bCAVOK\b")
     return F.when(metar.isNull(), "NOT_CHECKED").when(~stated, "NOT_APPLICABLE").when(bad, f).otherwise("PASS")
 
@@ -321,108 +336,101 @@ _rule("consistency_cavok", "metar", "CAVOK conditions")(_cavok)
 def _weather(r, f):
     codes = r.weather()
     valid = S.weather_pattern(r.p["weather_vicinity"])
-    return flag_when(F.exists(codes, lambda c: ~c.rlike(valid)), f, skip=F.size(codes) == 0)
+    return flag_when(_some(codes, lambda c: ~c.rlike(valid)), f, skip=_none_set(codes))
 
 
 @_rule("weather_duplicate_code", "present_weather", "codes not repeated")
 def _weather_twice(r, f):
-    codes = r.weather()
-    return flag_when(F.size(codes) > F.size(F.array_distinct(codes)), f, skip=F.size(codes) == 0)
+    a, b, c = r.weather()
+    return flag_when(_some([(a, b), (a, c), (b, c)], lambda p: p[0] == p[1]), f, skip=_none_set([a, b, c]))
 
 
 @_rule("weather_visibility_inconsistent", "present_weather", "FG below 1000 m, BR 1000-5000 m")
 def _weather_vis(r, f):
     codes, vis = r.weather(), r.num("prevailing_visibility_m")
-    fog = F.exists(codes, lambda c: c.rlike("^(FZ)?FG$"))
-    mist = F.array_contains(codes, "BR")
+    fog = _some(codes, lambda c: c.isin("FG", "FZFG"))
+    mist = _some(codes, lambda c: c == "BR")
     bad = (fog & (vis >= 1000)) | (mist & ~vis.between(1000, 5000))
     return flag_when(bad, f, [vis], skip=~(fog | mist))
 
 
-def _raining(codes: Column) -> Column:
-    return F.exists(codes, lambda c: c.rlike(_PRECIPITATION))
+def _raining(codes: list[Column]) -> Column:
+    return _some(codes, lambda c: c.rlike(_PRECIPITATION))
 
 
 @_rule("weather_precipitation_cloud_inconsistent", "present_weather", "precipitation needs cloud")
 def _weather_cloud(r, f):
     codes, clear = r.weather(), r.p["clear_sky"]
-    cloudy = F.exists(r.layers(), lambda c: F.coalesce(~c["amount"].isin(clear), F.lit(False)))
-    return flag_when(_raining(codes) & ~cloudy, f, skip=F.size(codes) == 0)
+    cloudy = _some(r.layers(), lambda c: ~c.amount.isin(clear))
+    return flag_when(_raining(codes) & ~cloudy, f, skip=_none_set(codes))
 
 
 @_rule("weather_thunderstorm_inconsistent", "present_weather", "TS needs CB or TCU")
 def _thunder(r, f):
     codes, kinds = r.weather(), r.p["convective"]
-    tower = F.exists(r.layers(), lambda c: F.coalesce(c["kind"].isin(kinds), F.lit(False)))
-    return flag_when(F.exists(codes, lambda c: c.contains("TS")) & ~tower, f, skip=F.size(codes) == 0)
+    tower = _some(r.layers(), lambda c: c.kind.isin(kinds))
+    return flag_when(_some(codes, lambda c: c.contains("TS")) & ~tower, f, skip=_none_set(codes))
 
 
 # --- clouds -------------------------------------------------------------------------------------
 
 
-def _some(layers: Column, test) -> Column:
-    return F.exists(layers, lambda c: F.coalesce(test(c), F.lit(False)))
-
-
-def _none_set(layers: Column, field: str) -> Column:
-    return F.forall(layers, lambda c: c[field].isNull())
-
-
 @_rule("cloud_invalid_amount", "cloud_amount", "known code")
 def _amount(r, f):
     ls = r.layers()
-    return flag_when(_some(ls, lambda c: ~c["amount"].isin(dim.codes("cloud_codes"))), f, skip=_none_set(ls, "amount"))
+    known = dim.codes("cloud_codes")
+    return flag_when(_some(ls, lambda c: ~c.amount.isin(known)), f, skip=_none_set([c.amount for c in ls]))
 
 
 @_rule("cloud_invalid_type", "cloud_type", "known code")
 def _kind(r, f):
     ls = r.layers()
-    return flag_when(_some(ls, lambda c: ~c["kind"].isin(dim.codes("cloud_types"))), f, skip=_none_set(ls, "kind"))
+    known = dim.codes("cloud_types")
+    return flag_when(_some(ls, lambda c: ~c.kind.isin(known)), f, skip=_none_set([c.kind for c in ls]))
 
 
 @_rule("cloud_negative_height", "cloud_base_height", ">= 0")
 def _height(r, f):
     ls = r.layers()
-    return flag_when(_some(ls, lambda c: c["height"] < 0), f, skip=_none_set(ls, "height"))
+    return flag_when(_some(ls, lambda c: c.height < 0), f, skip=_none_set([c.height for c in ls]))
 
 
 @_rule("cloud_amount_without_height", "cloud_base_height", "present with an amount")
 def _amount_height(r, f):
     ls, exempt = r.layers(), r.p["height_exempt"]
-    bad = _some(ls, lambda c: ~c["amount"].isin(exempt) & c["height"].isNull())
-    return flag_when(bad, f, skip=_none_set(ls, "amount"))
+    bad = _some(ls, lambda c: ~c.amount.isin(exempt) & c.height.isNull())
+    return flag_when(bad, f, skip=_none_set([c.amount for c in ls]))
 
 
 @_rule("cloud_height_without_amount", "cloud_amount", "present with a height")
 def _height_amount(r, f):
     ls = r.layers()
-    return flag_when(
-        _some(ls, lambda c: c["height"].isNotNull() & c["amount"].isNull()), f, skip=_none_set(ls, "height")
-    )
+    bad = _some(ls, lambda c: c.height.isNotNull() & c.amount.isNull())
+    return flag_when(bad, f, skip=_none_set([c.height for c in ls]))
 
 
 @_rule("cloud_layers_not_ordered", "cloud_base_height", "ascending")
 def _ordered(r, f):
-    heights = F.array_compact(F.transform(r.layers(), lambda c: c["height"]))
-    return flag_when(heights != F.sort_array(heights), f, skip=F.size(heights) < 2)
+    h1, h2, h3 = (c.height for c in r.layers())
+    # The third layer follows the second, or the first where the second has no height.
+    bad = _sure(h2 < h1) | _sure(h3 < F.coalesce(h2, h1))
+    return flag_when(bad, f, skip=_how_many([h.isNotNull() for h in (h1, h2, h3)]) < 2)
 
 
 @_rule("cloud_vertical_visibility_inconsistent", "cloud_amount", "VV alone and with a height")
 def _vv(r, f):
     ls = r.layers()
-    vv = _some(ls, lambda c: c["amount"] == "VV")
-    others = F.size(F.filter(ls, lambda c: c["amount"].isNotNull() | c["height"].isNotNull())) > 1
-    bare = _some(ls, lambda c: (c["amount"] == "VV") & c["height"].isNull())
-    return flag_when(vv & (others | bare), f, skip=_none_set(ls, "amount"))
+    vv = _some(ls, lambda c: c.amount == "VV")
+    others = _how_many([c.amount.isNotNull() | c.height.isNotNull() for c in ls]) > 1
+    bare = _some(ls, lambda c: (c.amount == "VV") & c.height.isNull())
+    return flag_when(vv & (others | bare), f, skip=_none_set([c.amount for c in ls]))
 
 
 @_rule("cloud_nsc_inconsistent", "cloud_amount", "no other layer")
 def _nsc(r, f):
     ls, none = r.layers(), r.p["no_cloud"]
-    bad = _some(ls, lambda c: c["amount"].isin(none)) & (
-        F.size(F.filter(ls, lambda c: c["amount"].isNotNull())) > 1
-    )
-    return flag_when(bad, f, skip=_none_set(ls, "amount"))
+    several = _how_many([c.amount.isNotNull() for c in ls]) > 1
+    return flag_when(_some(ls, lambda c: c.amount.isin(none)) & several, f, skip=_none_set([c.amount for c in ls]))
 
 
 # --- precipitation ------------------------------------------------------------------------------

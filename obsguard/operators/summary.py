@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obsguard.catalogs import rulebook as R
+from obsguard.operators.framework import detail
 from obsguard.operators.quantiles import quantiles_of_counts, value_counts
 from obsguard.operators.joins import join_null_safe
 
@@ -17,12 +18,8 @@ SUMMARY_KEYS = ["station_id", "year", "month", "variable", "rule_id"]
 
 
 def findings(df: DataFrame, ids: list[str], results: str = "qc_results") -> DataFrame:
-    """(ids, variable, rule_id, flag) for every result; only these fields are exploded."""
-    slim = F.transform(
-        results,
-        lambda r: F.struct(r["variable"].alias("variable"), r["rule_id"].alias("rule_id"), r["flag"].alias("flag")),
-    )
-    return df.select(*ids, F.inline(slim))
+    """(ids, variable, rule_id, flag) for every result."""
+    return detail(df, ids, results, failed_only=False).select(*ids, "variable", "rule_id", "flag")
 
 
 def flag_counts(found: DataFrame, keys: list[str]) -> DataFrame:
