@@ -140,8 +140,9 @@ def nonempty_columns(spark, sf_dir):
     g = grid(spark, sf_dir)
     p = G.profile_sheets(g)
     text = F.concat_ws(",", F.transform("cells", lambda c: F.coalesce(c, F.lit("~"))))
-    cleaned = G.clean_grid(g, p).select(*G.SHEET, "source_row", text.alias("cells"))
-    return cleaned.join(p.select(*G.SHEET, _text("empty_column_positions").alias("empty_positions")), G.SHEET)
+    return G.clean_grid(g, p, ["empty_column_positions"]).select(
+        *G.SHEET, "source_row", text.alias("cells"), _text("empty_column_positions").alias("empty_positions")
+    )
 
 
 @query(

@@ -59,28 +59,28 @@ def cut_large_groups(
         value = F.col(name) if pos is None else pos
         big = (
             df.groupBy(*group)
-            .agg(F.count(F.lit(1)).alias("_n"), F.min(value).alias("_lo"), F.max(value).alias("_hi"))
-            .filter((F.col("_n") > rows_per_task) & (F.col("_hi") > F.col("_lo")))
+            .agg(F.count(F.lit(1)).alias("_big_n"), F.min(value).alias("_big_lo"), F.max(value).alias("_big_hi"))
+            .filter((F.col("_big_n") > rows_per_task) & (F.col("_big_hi") > F.col("_big_lo")))
         )
         n_big = big.count()
         if n_big == 0:
             if i == 0 or cuts:
                 break
             continue
-        big = big.select(*[F.col(g).alias(f"_k{j}") for j, g in enumerate(group)], "_n", "_lo", "_hi")
+        big = big.select(*[F.col(g).alias(f"_big_k{j}") for j, g in enumerate(group)], "_big_n", "_big_lo", "_big_hi")
         if n_big <= MAX_BROADCAST_GROUPS:
             big = F.broadcast(big)
-        on = S.all_of([F.col(g).eqNullSafe(F.col(f"_k{j}")) for j, g in enumerate(group)])
+        on = S.all_of([F.col(g).eqNullSafe(F.col(f"_big_k{j}")) for j, g in enumerate(group)])
         if pos is None:
-            cut = F.when(F.col("_n").isNotNull(), F.col(name))
+            cut = F.when(F.col("_big_n").isNotNull(), F.col(name))
         else:
-            slices = F.ceil(F.col("_n") * 2 / F.lit(rows_per_task))
-            share = (pos - F.col("_lo")).cast("double") / (F.col("_hi") - F.col("_lo")).cast("double")
-            cut = F.when(F.col("_n").isNotNull(), F.floor(share * slices).cast("bigint"))
+            slices = F.ceil(F.col("_big_n") * 2 / F.lit(rows_per_task))
+            share = (pos - F.col("_big_lo")).cast("double") / (F.col("_big_hi") - F.col("_big_lo")).cast("double")
+            cut = F.when(F.col("_big_n").isNotNull(), F.floor(share * slices).cast("bigint"))
         df = (
             df.join(big, on, "left")
             .withColumn(f"_cut{i}", cut)
-            .drop("_n", "_lo", "_hi", *[f"_k{j}" for j in range(len(group))])
+            .drop("_big_n", "_big_lo", "_big_hi", *[f"_big_k{j}" for j in range(len(group))])
         )
         cuts.append(f"_cut{i}")
     return df, cuts

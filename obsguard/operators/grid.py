@@ -98,9 +98,12 @@ def empty_sheets(profile: DataFrame) -> DataFrame:
     return profile.filter(F.col("rows") == 0).select(*SHEET)
 
 
-def clean_grid(grid: DataFrame, profile: DataFrame) -> DataFrame:
-    """Rows and columns that hold data; sheets without any disappear."""
-    kept = profile.filter(F.col("rows") > 0).select(*SHEET, "kept_positions")
+def clean_grid(grid: DataFrame, profile: DataFrame, carry: list[str] | None = None) -> DataFrame:
+    """Rows and columns that hold data; sheets without any disappear.
+
+    ``carry`` names profile columns to keep on the rows.
+    """
+    kept = profile.filter(F.col("rows") > 0).select(*SHEET, "kept_positions", *(carry or []))
     return (
         drop_empty_rows(grid)
         .join(kept, SHEET)

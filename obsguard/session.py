@@ -10,6 +10,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The JVM does not compile methods above 8000 bytes of bytecode. A projection of many checks
+    # fused into one method would be interpreted; above this limit Spark splits it instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -28,6 +31,13 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, memory: str
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Set the one performance setting the wide row checks depend on in a session made elsewhere."""
+    name = "spark.sql.codegen.hugeMethodLimit"
+    spark.conf.set(name, SETTINGS[name])
+    return spark
+
+
 def checkpoint(spark: SparkSession, df: DataFrame, fallback: str | None = None) -> DataFrame:
     """Cut lineage through the folder the cluster names in ``spark.checkpoint.dir``.
 

@@ -25,8 +25,8 @@ def read_grid(
     names = [f"c{i}" for i in range(width)]
     schema = ", ".join(f"{n} string" for n in names)
     lines = (
-        spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").option("encoding", encoding)
-        .text(path)
+        spark.read.option("recursiveFileLookup", "true").option("encoding", encoding)
+        .text(path, wholetext=True)
         .select(
             _file_path().alias("source_file"),
             F.posexplode(F.split(F.regexp_replace("value", r"\r?\n$", ""), r"\r?\n")).alias("_row", "_line"),
