@@ -49,43 +49,55 @@ def cut_large_groups(
 ) -> tuple[DataFrame, list[str]]:
     """Add slice columns (``_cut0``, ...) to rows of groups larger than ``rows_per_task``.
 
-    Returns the frame and the slice column names; slices sort like the order columns. No slice
-    column is added when every group is small, which is checked by a count of the large ones.
+    Slices of a group are consecutive in ``order``: a large slice is cut again along the same order
+    column until that column is constant in it, and only then along the next one. Returns the
+    frame and the slice column names; none is added when every group is small.
     """
     cuts: list[str] = []
-    for i, name in enumerate(order):
-        group = keys + cuts
+    for name in order:
         pos = _position(df, name)
         value = F.col(name) if pos is None else pos
-        big = (
-            df.groupBy(*group)
-            .agg(F.count(F.lit(1)).alias("_big_n"), F.min(value).alias("_big_lo"), F.max(value).alias("_big_hi"))
-            .filter((F.col("_big_n") > rows_per_task) & (F.col("_big_hi") > F.col("_big_lo")))
-        )
-        n_big = big.count()
-        if n_big == 0:
-            if i == 0 or cuts:
+        while True:
+            group = keys + cuts
+            large = (
+                df.groupBy(*group)
+                .agg(F.count(F.lit(1)).alias("_big_n"), F.min(value).alias("_big_lo"), F.max(value).alias("_big_hi"))
+                .filter(F.col("_big_n") > rows_per_task)
+            )
+            divisible = F.col("_big_hi") > F.col("_big_lo")
+            n_large, n_divisible = large.agg(F.count(F.lit(1)), F.count_if(divisible)).first()
+            if n_large == 0:
+                return df, cuts
+            if n_divisible == 0:
                 break
-            continue
-        big = big.select(*[F.col(g).alias(f"_big_k{j}") for j, g in enumerate(group)], "_big_n", "_big_lo", "_big_hi")
-        if n_big <= MAX_BROADCAST_GROUPS:
-            big = F.broadcast(big)
-        on = S.all_of([F.col(g).eqNullSafe(F.col(f"_big_k{j}")) for j, g in enumerate(group)])
-        if pos is None:
-            cut = F.when(F.col("_big_n").isNotNull(), F.col(name))
-        else:
-            slices = F.ceil(F.col("_big_n") * 2 / F.lit(rows_per_task))
-            share = (pos - F.col("_big_lo")).cast("double") / (F.col("_big_hi") - F.col("_big_lo")).cast("double")
-            cut = F.when(F.col("_big_n").isNotNull(), F.floor(share * slices).cast("bigint"))
-        df = (
-            df.join(big, on, "left")
-            .withColumn(f"_cut{i}", cut)
-            .drop("_big_n", "_big_lo", "_big_hi", *[f"_big_k{j}" for j in range(len(group))])
-        )
-        cuts.append(f"_cut{i}")
+            df = _cut_once(df, group, large.filter(divisible), n_divisible, pos, name, len(cuts), rows_per_task)
+            cuts.append(f"_cut{len(cuts)}")
     return df, cuts
 
 
+def _cut_once(
+    df: DataFrame, group: list[str], large: DataFrame, n_large: int, pos: Column | None, name: str, level: int,
+    rows_per_task: int,
+) -> DataFrame:
+    marks = ["_big_n", "_big_lo", "_big_hi"]
+    table = large.select(*[F.col(g).alias(f"_big_k{j}") for j, g in enumerate(group)], *marks)
+    if n_large <= MAX_BROADCAST_GROUPS:
+        table = F.broadcast(table)
+    on = S.all_of([F.col(g).eqNullSafe(F.col(f"_big_k{j}")) for j, g in enumerate(group)])
+    if pos is None:
+        slice_of = F.coalesce(F.col(name), F.lit(""))
+    else:
+        slices = F.ceil(F.col("_big_n") * 2 / F.lit(rows_per_task))
+        share = (pos - F.col("_big_lo")).cast("double") / (F.col("_big_hi") - F.col("_big_lo")).cast("double")
+        # Nulls sort first.
+        slice_of = F.coalesce(F.floor(share * slices).cast("bigint"), F.lit(-1))
+    return (
+        df.join(table, on, "left")
+        .withColumn(f"_cut{level}", F.when(F.col("_big_n").isNotNull(), slice_of))
+        .drop(*marks, *[f"_big_k{j}" for j in range(len(group))])
+    )
+
+
 def over_ordered_groups(
     df: DataFrame,
     keys: list[str],
@@ -103,7 +115,7 @@ def over_ordered_groups(
     split, cuts = cut_large_groups(df, keys, order, rows_per_task)
     if not cuts:
         return compute(df, plain)
-    is_cut = F.col(cuts[0]).isNotNull()
+    is_cut = S.any_of([F.col(c).isNotNull() for c in cuts])
     small = compute(split.filter(~is_cut).drop(*cuts), plain)
 
     sliced = W.partitionBy(*keys, *cuts).orderBy(*order)

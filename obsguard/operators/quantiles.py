@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from obsguard.functions import scalars as S
 from obsguard.operators.frames import cut_large_groups
 from obsguard.operators.joins import join_null_safe
 
@@ -34,21 +35,21 @@ def quantiles_of_counts(
     names = list(probs)
     if not cuts:
         return _buffered(counts, keys, probs)
-    cut = cuts[0]
-    small = _buffered(split.filter(F.col(cut).isNull()), keys, probs)
+    is_cut = S.any_of([F.col(c).isNotNull() for c in cuts])
+    small = _buffered(split.filter(~is_cut), keys, probs)
 
-    large = split.filter(F.col(cut).isNotNull())
-    per_slice = large.groupBy(*keys, cut).agg(F.sum("_n").alias("_m"))
+    large = split.filter(is_cut)
+    per_slice = large.groupBy(*keys, *cuts).agg(F.sum("_n").alias("_m"))
     by_key = W.partitionBy(*keys)
     offsets = per_slice.withColumns(
         {
-            "_before": F.sum("_m").over(by_key.orderBy(cut).rowsBetween(W.unboundedPreceding, 0)) - F.col("_m"),
+            "_before": F.sum("_m").over(by_key.orderBy(*cuts).rowsBetween(W.unboundedPreceding, 0)) - F.col("_m"),
             "_total": F.sum("_m").over(by_key),
         }
     )
     ranks = offsets.select(
         *keys,
-        cut,
+        *cuts,
         "_before",
         "_m",
         F.explode(
@@ -66,10 +67,10 @@ def quantiles_of_counts(
         ).alias("_q"),
     ).filter((F.col("_q.rank") >= F.col("_before")) & (F.col("_q.rank") < F.col("_before") + F.col("_m")))
     # Wanted ranks per slice: few, so one array per slice keeps the join one-to-one.
-    wanted = ranks.groupBy(*keys, cut).agg(F.first("_before").alias("_before"), F.collect_set("_q").alias("_qs"))
-    running = F.sum("_n").over(W.partitionBy(*keys, cut).orderBy("_x").rowsBetween(W.unboundedPreceding, 0))
+    wanted = ranks.groupBy(*keys, *cuts).agg(F.first("_before").alias("_before"), F.collect_set("_q").alias("_qs"))
+    running = F.sum("_n").over(W.partitionBy(*keys, *cuts).orderBy("_x").rowsBetween(W.unboundedPreceding, 0))
     hits = (
-        join_null_safe(large, wanted, [*keys, cut])
+        join_null_safe(large, wanted, [*keys, *cuts])
         .withColumn("_hi", running + F.col("_before"))
         .withColumn("_lo", F.col("_hi") - F.col("_n"))
         .select(
