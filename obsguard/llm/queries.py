@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from obsguard.llm import mixing, packing, quality, secrets, toxicity
+from obsguard.llm import mixing, packing, quality, secrets, toxicity, vectors
 from obsguard.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +43,16 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.exact_top_k(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.nearest_neighbours(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op6_exact_top_k"] = vectors.EXACT_SQL
