@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,7 +69,7 @@ def labelled(documents: DataFrame, labels: DataFrame, column: str) -> DataFrame:
 def text_chunks(batch: pa.RecordBatch, budget: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """``batch`` cut by rows into slices of about ``budget`` bytes of text; a longer text is a slice alone."""
     column = batch.column("text")
-    size = np.asarray(pa.compute.fill_null(pa.compute.binary_length(column), 0))
+    size = np.asarray(pc.fill_null(pc.binary_length(column), 0))
     group = np.cumsum(size) // budget
     edges = np.flatnonzero(np.diff(group)) + 1
     for a, b in zip([0, *edges], [*edges, len(size)], strict=True):
