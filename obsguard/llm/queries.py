@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from obsguard.llm import jaccard, mixing, packing, quality, secrets, toxicity, vectors
+from obsguard.llm import jaccard, mixing, packing, quality, secrets, suffixes, toxicity, vectors
 from obsguard.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +61,8 @@ ORACLES["op6_exact_top_k"] = vectors.EXACT_SQL
 @query
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents"))
