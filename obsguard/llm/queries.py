@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from obsguard.llm import jaccard, mixing, packing, quality, secrets, suffixes, toxicity, vectors
+from obsguard.llm import jaccard, languages, mixing, packing, quality, secrets, suffixes, toxicity, vectors
 from obsguard.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +66,8 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages.identify_languages(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
