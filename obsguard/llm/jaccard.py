@@ -225,3 +225,18 @@ def jaccard_components(documents: DataFrame, width: int = WIDTH) -> DataFrame:
     found = rows.select("doc_id", "node", "n").join(of_class, "node", "left")
     alone = F.when((F.col("n") == 0) | F.col("doc_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return found.select("doc_id", F.col("n").cast("long").alias("n_shingles"), alone.alias("component_id"))
+
+
+def keep_one_of_each(documents: DataFrame, width: int = WIDTH) -> DataFrame:
+    """``documents`` without the rows whose component has a smaller doc_id; all columns stay.
+
+    Rows with a null doc_id and rows without shingles stay; of equal rows with one doc_id one stays.
+    """
+    found = stored(jaccard_components(documents, width), "components")
+    gone = stored(found.where("doc_id <> component_id").select("doc_id").distinct(), "near-copies")
+    kept = documents.join(F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone, "doc_id", "left_anti")
+    again = stored(found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("k")).where("k > 1").select("doc_id"), "repeated-ids")
+    if not again.isEmpty():
+        one = kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+        kept = kept.join(again, "doc_id", "left_anti").unionByName(one)
+    return kept.select(*documents.columns)

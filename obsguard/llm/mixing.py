@@ -6,7 +6,8 @@ document) then minimise the squared gap between expected token totals by domain
 each gap weighted by one over the domain's share, with projected-gradient steps from one copy each.
 
 Everything is DataFrame work: one aggregate a step brings one number for each domain to the driver,
-and a document's rate is a fold over the steps so far, so no state is shuffled.
+and a document's rate is a fold over the latest steps, stored anew after every few, so no state is
+shuffled.
 """
 
 from __future__ import annotations
@@ -27,10 +28,12 @@ SAMPLE_PER_DOMAIN = 12_000
 #: Evidence is the mean log ratio of a document's words, times the root of their number and this.
 STRENGTH = 1.0
 STEPS, TOLERANCE = 80, 1e-3
+#: Rates are written out after so many steps, which bounds the fold.
+FOLD = 8
 
 
 def words_of(text: Column) -> Column:
-    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"\s+"), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"\s+"), "")
 
 
 def bucket_of(word: Column) -> Column:
@@ -77,9 +80,9 @@ def constant_array(values: list[float]) -> Column:
 
 
 def with_posteriors(documents: DataFrame, prior: list[float], ratios: list[list[float]]) -> DataFrame:
-    """(doc_id, n_tokens, p_<domain>...): tokens are words; evidence is tempered by the root of its size."""
-    words = documents.select("doc_id", F.transform(words_of(F.col("text")), bucket_of).alias("_b"))
-    words = words.select("doc_id", F.size("_b").cast("long").alias("n_tokens"), F.array_distinct("_b").alias("_b"))
+    """(row, n_tokens, p_<domain>...) of (row, _text): tokens are words; evidence is tempered by the root of its size."""
+    words = documents.select("row", F.transform(words_of(F.col("_text")), bucket_of).alias("_b"))
+    words = words.select("row", F.size("_b").cast("long").alias("n_tokens"), F.array_distinct("_b").alias("_b"))
     size = F.sqrt(F.greatest(F.size("_b"), F.lit(1)).cast("double"))
 
     def evidence(table: list[float]) -> Column:
@@ -87,22 +90,23 @@ def with_posteriors(documents: DataFrame, prior: list[float], ratios: list[list[
         return F.aggregate("_b", F.lit(0.0), lambda a, b: a + F.element_at(at, b + 1))
 
     scores = [F.lit(prior[0]), *(F.lit(x) + evidence(r) * STRENGTH / size for x, r in zip(prior[1:], ratios, strict=True))]
-    named = words.select("doc_id", "n_tokens", *(s.alias(f"_s{k}") for k, s in enumerate(scores)))
+    named = words.select("row", "n_tokens", *(s.alias(f"_s{k}") for k, s in enumerate(scores)))
     top = F.greatest(*(F.col(f"_s{k}") for k in range(len(DOMAINS))))
-    shifted = named.select("doc_id", "n_tokens", *(F.exp(F.col(f"_s{k}") - top).alias(f"_e{k}") for k in range(len(DOMAINS))))
+    shifted = named.select("row", "n_tokens", *(F.exp(F.col(f"_s{k}") - top).alias(f"_e{k}") for k in range(len(DOMAINS))))
     total = reduce(lambda a, b: a + b, (F.col(f"_e{k}") for k in range(len(DOMAINS))))
-    return shifted.select("doc_id", "n_tokens", *((F.col(f"_e{k}") / total).alias(f"p_{d}") for k, d in enumerate(DOMAINS)))
+    return shifted.select("row", "n_tokens", *((F.col(f"_e{k}") / total).alias(f"p_{d}") for k, d in enumerate(DOMAINS)))
 
 
-def rate_after(steps: list[list[float]]) -> Column:
-    """A document's rate: from one copy, each step moves against the gradient and back to at least 0."""
+def rate_after(steps: list[list[float]], start: Column | None = None) -> Column:
+    """A document's rate: from one copy or ``start``, each step moves against the gradient and back to at least 0."""
+    start = F.lit(1.0) if start is None else start
     if not steps:
-        return F.lit(1.0)
+        return start
     pull = lambda y: reduce(lambda a, b: a + b, (F.col(f"p_{d}") * F.element_at(y, k + 1) for k, d in enumerate(DOMAINS)))
-    return F.aggregate(F.array(*(F.array(*map(F.lit, y)) for y in steps)), F.lit(1.0), lambda r, y: F.greatest(F.lit(0.0), r - pull(y)))
+    return F.aggregate(F.array(*(F.array(*map(F.lit, y)) for y in steps)), start, lambda r, y: F.greatest(F.lit(0.0), r - pull(y)))
 
 
-def fit_rates(members: DataFrame, targets: dict[str, float]) -> list[list[float]]:
+def fit_rates(members: DataFrame, targets: dict[str, float], total_share: float = 1.0) -> list[list[float]]:
     """The projected-gradient steps for stored ``members``; none for an empty table."""
     n = F.col("n_tokens").cast("double")
     p = [F.col(f"p_{d}") for d in DOMAINS]
@@ -114,18 +118,23 @@ def fit_rates(members: DataFrame, targets: dict[str, float]) -> list[list[float]
     if not first["n"]:
         return []
     total, size = float(first["n"]), len(DOMAINS)
-    wanted = np.array([targets[d] for d in DOMAINS]) / sum(targets.values())
+    wanted = total_share * np.array([targets[d] for d in DOMAINS]) / sum(targets.values())
     share = np.array([first[f"t{i}"] for i in range(size)]) / total
     weight = 1 / np.maximum(share, 1e-3)
     gram = np.array([[first[f"g{i}_{j}"] for j in range(size)] for i in range(size)]) / total
-    rate = 1 / np.linalg.eigvalsh(np.sqrt(np.outer(weight, weight)) * gram).max()
+    size_of_step = 1 / np.linalg.eigvalsh(np.sqrt(np.outer(weight, weight)) * gram).max()
+    state = members.select("n_tokens", *(f"p_{d}" for d in DOMAINS), F.lit(1.0).alias("rate"))
     steps: list[list[float]] = []
+    since = 0  # steps that the stored rates already hold
     for _ in range(STEPS):
         gap = share - wanted
         if np.abs(gap).max() <= TOLERANCE * max(wanted.min(), 0.01):
             break
-        steps.append((rate * weight * gap).tolist())
-        rated = members.withColumn("_r", rate_after(steps))
+        if len(steps) - since >= FOLD:
+            state = stored(state.withColumn("rate", rate_after(steps[since:], F.col("rate"))), "rates")
+            since = len(steps)
+        steps.append((size_of_step * weight * gap).tolist())
+        rated = state.withColumn("_r", rate_after(steps[since:], F.col("rate")))
         got = rated.agg(*(F.sum(n * x * F.col("_r")).alias(f"t{i}") for i, x in enumerate(p))).first()
         share = np.array([got[f"t{i}"] for i in range(size)]) / total
     return steps
@@ -138,23 +147,23 @@ def mix_documents(documents: DataFrame, labels: DataFrame, targets: dict[str, fl
     rate that changes no total. Without labels every document gets the same posterior. Repeated rows
     get equal rates; an empty table gives no rows; other columns are not read.
     """
-    prior, ratios = fit_domains(documents, labels)
-    members = stored(with_posteriors(documents.select("doc_id", "text"), prior, ratios), "members")
-    return members.withColumn("rate", rate_after(fit_rates(members, targets or TARGETS)))
+    rows = documents.select(F.struct("doc_id").alias("row"), F.col("text").alias("_text"))
+    members = stored(with_posteriors(rows, *fit_domains(documents, labels)), "members")
+    rate = rate_after(fit_rates(members, targets or TARGETS))
+    return members.select("row.doc_id", "n_tokens", *(f"p_{d}" for d in DOMAINS), rate.alias("rate"))
 
 
-def apply_rates(documents: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
+def apply_rates(
+    documents: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, total_share: float = 1.0
+) -> DataFrame:
     """``documents`` with each row as often as its rate says; a fraction is decided by a hash of doc_id.
 
-    The columns stay; a rate below one may leave a row out, a rate above one repeats it.
+    The targets add up to ``total_share`` times the input's tokens. The columns stay; a rate below one may leave a row out, a rate above one repeats it. A row with a
+    null doc_id is decided by the hash of null.
     """
-    prior, ratios = fit_domains(documents, labels)
-    members = stored(with_posteriors(documents.select("doc_id", "text"), prior, ratios), "members")
-    # equal texts have equal posteriors, so one row for each id is enough unless an id has several texts
-    rates = members.groupBy("doc_id").agg(F.max(rate_after(fit_rates(members, targets or TARGETS))).alias("_rate"))
-    spot = F.pmod(F.xxhash64(F.lit("copies"), "doc_id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    joined = documents.join(rates.where("doc_id is not null"), "doc_id", "left")
-    times = F.floor(F.coalesce(F.col("_rate"), F.lit(1.0)) + spot).cast("int")
-    times = F.coalesce(times, F.lit(1))
-    copies = joined.withColumn("_times", times).where("_times > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-    return copies.select(*documents.columns)
+    rows = documents.select(F.struct(*documents.columns).alias("row"), F.col("text").alias("_text"))
+    members = stored(with_posteriors(rows, *fit_domains(documents, labels)), "members")
+    spot = F.pmod(F.xxhash64(F.lit("copies"), "row.doc_id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    times = F.floor(rate_after(fit_rates(members, targets or TARGETS, total_share)) + spot).cast("int")
+    copies = members.select("row", times.alias("times")).where("times > 0")
+    return copies.select("row", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy")).select("row.*")

@@ -34,7 +34,9 @@ ENTROPY = (0.0, 1.0, 2.0, 2.5, 3.0, 3.25, 3.5, 3.75, 4.0, 4.25, 4.5, 4.75, 5.0,
 EDGES = np.array([*[SHARE] * 13, LENGTH, LOG_WORDS, ENTROPY])
 BINS = EDGES.shape[1] + 1
 PARAMETERS = len(MEASURES) * BINS
-FIRST_STEPS, FIRST_RATE, RISK_STEPS, RATE, DECAY = 20, 0.3, 70, 0.1, 1e-4
+FIRST_STEPS, FIRST_RATE, RISK_STEPS, RATE = 20, 0.3, 70, 0.1
+#: Weight decay: a constant, and a part that falls with the number of trusted positives.
+DECAY, DECAY_ROWS = 1e-4, 3.0
 THRESHOLD = 0.7
 
 
@@ -141,11 +143,11 @@ class Steps:
     """Adam steps over the coefficients and the bias."""
 
     def __init__(self) -> None:
-        self.w, self.m, self.v, self.t = np.zeros(PARAMETERS + 1), 0.0, 0.0, 0
+        self.w, self.m, self.v, self.t, self.decay = np.zeros(PARAMETERS + 1), 0.0, 0.0, 0, DECAY
 
     def take(self, slope: np.ndarray, rate: float) -> None:
         self.t += 1
-        slope = slope + DECAY * self.w
+        slope = slope + self.decay * self.w
         self.m = 0.9 * self.m + 0.1 * slope
         self.v = 0.99 * self.v + 0.01 * slope**2
         self.w = self.w - rate * (self.m / (1 - 0.9**self.t)) / (np.sqrt(self.v / (1 - 0.99**self.t)) + 1e-8)
@@ -160,12 +162,13 @@ def fit_quality(cut: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float, f
     web = cut.where(learnable(F.col("doc_id")))
     known = web.join(trusted, "doc_id", "left_semi").select("at", F.lit(True).alias("positive"))
     rows = stored(known.unionByName(web.select("at", F.lit(False).alias("positive"))), "quality-rows")
-    first = Steps()
+    positives = rows.where("positive").count()
+    first, risk = Steps(), Steps()
+    first.decay = risk.decay = DECAY + DECAY_ROWS / max(positives, 1)
     for _ in range(FIRST_STEPS):  # positives against all web text
         got = sums(rows, first.w[:-1], float(first.w[-1]))
         first.take(0.5 * table_of(got, True)[:, 0] + 0.5 * table_of(got, False)[:, 1], FIRST_RATE)
     prior = class_prior(rows, first.w[:-1], float(first.w[-1]))
-    risk = Steps()
     for k in range(RISK_STEPS):
         got = sums(rows, risk.w[:-1], float(risk.w[-1]))
         p, u = table_of(got, True), table_of(got, False)

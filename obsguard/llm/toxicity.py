@@ -33,7 +33,7 @@ REPEATS = 4
 SAMPLE_PER_CLASS = 12_000
 TOXIC_ENTRIES, ORDINARY_ENTRIES = 1_000, 2_500
 #: Least log-likelihood gain, and least ratio of rates, of a toxic window.
-LEAST_GAIN, LEAST_RATIO = 14.0, 4.0
+LEAST_GAIN, LEAST_RATIO = 10.0, 4.0
 THRESHOLD = 0.3
 NOTHING = -99
 CACHED_WINDOWS = 1_000_000
