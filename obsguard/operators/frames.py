@@ -1,16 +1,15 @@
 """Row frames over ordered groups that stay bounded when one group holds most of the data.
 
-``Window.partitionBy(station)`` puts a whole station into one task. The frames the checks need
-reach only a few rows to either side, so a large group can be cut into consecutive slices and
-only the rows next to a cut have to be looked at again:
+``Window.partitionBy(station)`` puts a whole station into one task. The frames the checks need reach
+only a few rows to either side, so every group is cut along its order into slices of fixed width:
 
-1. groups above ``rows_per_task`` are found by one small aggregate over the key and order columns;
-2. they are cut along their order columns into slices (by value range, refined column by column);
-3. slices are evaluated on their own, and the rows within reach of a cut are evaluated once more
-   in a stitched sequence holding only the first and last rows of every slice.
+1. a row's slice is its order value divided by a width (a span of time, a range of numbers); rows
+   without a time are sliced by the next order column, so they do not gather in one place;
+2. slices are evaluated on their own, and the rows within reach of a cut once more in a stitched
+   sequence that holds only the first and last rows of every slice, which a calendar bounds.
 
-Cuts depend on the data alone, never on partition numbers, so a recomputed task gives the same rows.
-Where no group is large, the plan is the plain one: one exchange, one sort.
+There is one plan for all sizes and no job while it is built. Slices depend on the row alone, so a
+recomputed task gives the same rows.
 """
 
 from __future__ import annotations
@@ -25,77 +24,37 @@ from pyspark.sql import types as T
 
 from obsguard.functions import scalars as S
 
-ROWS_PER_TASK = 1_000_000
-# A cut table holds at most (all rows / rows_per_task) rows; above this many it is joined by key instead.
-MAX_BROADCAST_GROUPS = 100_000
+SLICE_DAYS = 30.0
+SLICE_NUMBERS = 1_000_000
+#: Leading characters by which text ids are sliced; 16 to the power of this many slices for hex digests.
+SLICE_CHARACTERS = 3
 
 
-def _position(df: DataFrame, name: str) -> Column | None:
-    """Order column as a whole number, or None where it can only be compared (text)."""
+def _coarse(df: DataFrame, name: str, days: float, numbers: int, characters: int | None) -> Column:
+    """A value's slice, ascending with the value; null where the value is."""
     dtype = df.schema[name].dataType
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return S.epoch_us(F.col(name))
+        return F.floor(S.epoch_us(F.col(name)) / F.lit(days * 86_400e6)).cast("string")
     if isinstance(dtype, T.DateType):
-        return F.unix_date(F.col(name)).cast("bigint")
-    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        return F.col(name).cast("bigint")
-    if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        return F.col(name).cast("double")
-    return None
+        return F.floor(F.unix_date(F.col(name)) / F.lit(days)).cast("string")
+    if isinstance(dtype, T.NumericType):
+        return F.floor(F.col(name) / F.lit(numbers)).cast("string")
+    return F.col(name) if characters is None else F.substr(F.col(name), F.lit(1), F.lit(characters))
 
 
-def cut_large_groups(
-    df: DataFrame, keys: list[str], order: list[str], rows_per_task: int = ROWS_PER_TASK
+def with_slices(
+    df: DataFrame, order: list[str], days: float = SLICE_DAYS, numbers: int = SLICE_NUMBERS
 ) -> tuple[DataFrame, list[str]]:
-    """Add slice columns (``_cut0``, ...) to rows of groups larger than ``rows_per_task``.
+    """Add ``_slice0`` and ``_slice1``; the rows of one slice are consecutive in ``order`` within any group.
 
-    Slices of a group are consecutive in ``order``: a large slice is cut again along the same order
-    column until that column is constant in it, and only then along the next one. Returns the
-    frame and the slice column names; none is added when every group is small.
+    The second is set where the first order column is null or is text, which is sliced by its values.
     """
-    cuts: list[str] = []
-    for name in order:
-        pos = _position(df, name)
-        value = F.col(name) if pos is None else pos
-        while True:
-            group = keys + cuts
-            large = (
-                df.groupBy(*group)
-                .agg(F.count(F.lit(1)).alias("_big_n"), F.min(value).alias("_big_lo"), F.max(value).alias("_big_hi"))
-                .filter(F.col("_big_n") > rows_per_task)
-            )
-            divisible = F.col("_big_hi") > F.col("_big_lo")
-            n_large, n_divisible = large.agg(F.count(F.lit(1)), F.count_if(divisible)).first()
-            if n_large == 0:
-                return df, cuts
-            if n_divisible == 0:
-                break
-            df = _cut_once(df, group, large.filter(divisible), n_divisible, pos, name, len(cuts), rows_per_task)
-            cuts.append(f"_cut{len(cuts)}")
-    return df, cuts
-
-
-def _cut_once(
-    df: DataFrame, group: list[str], large: DataFrame, n_large: int, pos: Column | None, name: str, level: int,
-    rows_per_task: int,
-) -> DataFrame:
-    marks = ["_big_n", "_big_lo", "_big_hi"]
-    table = large.select(*[F.col(g).alias(f"_big_k{j}") for j, g in enumerate(group)], *marks)
-    if n_large <= MAX_BROADCAST_GROUPS:
-        table = F.broadcast(table)
-    on = S.all_of([F.col(g).eqNullSafe(F.col(f"_big_k{j}")) for j, g in enumerate(group)])
-    if pos is None:
-        slice_of = F.coalesce(F.col(name), F.lit(""))
-    else:
-        slices = F.ceil(F.col("_big_n") * 2 / F.lit(rows_per_task))
-        share = (pos - F.col("_big_lo")).cast("double") / (F.col("_big_hi") - F.col("_big_lo")).cast("double")
-        # Nulls sort first.
-        slice_of = F.coalesce(F.floor(share * slices).cast("bigint"), F.lit(-1))
-    return (
-        df.join(table, on, "left")
-        .withColumn(f"_cut{level}", F.when(F.col("_big_n").isNotNull(), slice_of))
-        .drop(*marks, *[f"_big_k{j}" for j in range(len(group))])
-    )
+    first = _coarse(df, order[0], days, numbers, None)
+    second = F.lit(None).cast("string")
+    if len(order) > 1:
+        finer = _coarse(df, order[1], days, numbers, SLICE_CHARACTERS)
+        second = finer if isinstance(df.schema[order[0]].dataType, T.StringType) else F.when(F.col(order[0]).isNull(), finer)
+    return df.withColumns({"_slice0": first, "_slice1": second}), ["_slice0", "_slice1"]
 
 
 def over_ordered_groups(
@@ -104,30 +63,22 @@ def over_ordered_groups(
     order: list[str],
     reach: int,
     compute: Callable[[DataFrame, WindowSpec], DataFrame],
-    rows_per_task: int = ROWS_PER_TASK,
+    days: float = SLICE_DAYS,
+    numbers: int = SLICE_NUMBERS,
 ) -> DataFrame:
     """Apply ``compute(df, window)`` with ``window`` partitioned by ``keys`` and ordered by ``order``.
 
     ``compute`` adds columns using ``lag``/``lead``/row frames of that window; a result may depend
     on rows at most ``reach`` positions away. ``order`` must identify a row within its group.
     """
-    plain = W.partitionBy(*keys).orderBy(*order)
-    split, cuts = cut_large_groups(df, keys, order, rows_per_task)
-    if not cuts:
-        return compute(df, plain)
-    is_cut = S.any_of([F.col(c).isNotNull() for c in cuts])
-    small = compute(split.filter(~is_cut).drop(*cuts), plain)
-
+    split, cuts = with_slices(df, order, days, numbers)
     sliced = W.partitionBy(*keys, *cuts).orderBy(*order)
-    whole_slice = W.partitionBy(*keys, *cuts)
-    numbered = (
-        split.filter(is_cut)
-        .withColumn("_rn", F.row_number().over(sliced))
-        .withColumn("_left", F.count(F.lit(1)).over(whole_slice) - F.col("_rn"))
+    numbered = split.withColumn("_rn", F.row_number().over(sliced)).withColumn(
+        "_left", F.count(F.lit(1)).over(W.partitionBy(*keys, *cuts)) - F.col("_rn")
     )
     near = (F.col("_rn") <= reach) | (F.col("_left") < reach)
     seam = (F.col("_rn") <= 2 * reach) | (F.col("_left") < 2 * reach)
-    inner = compute(numbered, sliced).filter(~near)
-    stitched = compute(numbered.filter(seam), plain).filter(near)
     extra = [*cuts, "_rn", "_left"]
-    return small.unionByName(inner.drop(*extra)).unionByName(stitched.drop(*extra))
+    inner = compute(numbered, sliced).filter(~near)
+    stitched = compute(numbered.filter(seam), W.partitionBy(*keys).orderBy(*order)).filter(near)
+    return inner.drop(*extra).unionByName(stitched.drop(*extra))

@@ -1,23 +1,18 @@
 """Exact quantiles and robust statistics per group, pre-aggregated before every shuffle.
 
-Values are first reduced to (group, value, count): the map side combines, and a hot group is
-spread over tasks by value. Measured values carry a fixed number of decimals, so the reduced
-group is as wide as the sensor's resolution; a group whose distinct values still exceed
-``max_distinct`` is solved by rank selection over value slices instead of one buffer.
+Values are first reduced to (group, value, count): the map side combines, and a hot group is spread
+over tasks by value. Measured values carry a fixed number of decimals, so the reduced group is as wide
+as the sensor's resolution. All statistics of a group then come from that table in one aggregate,
+the absolute deviations from the median in a second one.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obsguard.functions import scalars as S
-from obsguard.operators.frames import cut_large_groups
 from obsguard.operators.joins import join_null_safe
 
-MAX_DISTINCT = 500_000
-
 
 def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     return (
@@ -27,110 +22,32 @@ def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     )
 
 
-def quantiles_of_counts(
-    counts: DataFrame, keys: list[str], probs: dict[str, float], max_distinct: int = MAX_DISTINCT
-) -> DataFrame:
-    """One row per group with the named quantiles (linear interpolation) of a (keys, _x, _n) table."""
-    split, cuts = cut_large_groups(counts, keys, ["_x"], max_distinct)
-    names = list(probs)
-    if not cuts:
-        return _buffered(counts, keys, probs)
-    is_cut = S.any_of([F.col(c).isNotNull() for c in cuts])
-    small = _buffered(split.filter(~is_cut), keys, probs)
-
-    large = split.filter(is_cut)
-    per_slice = large.groupBy(*keys, *cuts).agg(F.sum("_n").alias("_m"))
-    by_key = W.partitionBy(*keys)
-    offsets = per_slice.withColumns(
-        {
-            "_before": F.sum("_m").over(by_key.orderBy(*cuts).rowsBetween(W.unboundedPreceding, 0)) - F.col("_m"),
-            "_total": F.sum("_m").over(by_key),
-        }
-    )
-    ranks = offsets.select(
-        *keys,
-        *cuts,
-        "_before",
-        "_m",
-        F.explode(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(n).alias("name"),
-                        f(F.lit(p) * (F.col("_total") - 1)).cast("bigint").alias("rank"),
-                        (F.lit(p) * (F.col("_total") - 1)).alias("at"),
-                    )
-                    for n, p in probs.items()
-                    for f in (F.floor, F.ceil)
-                ]
-            )
-        ).alias("_q"),
-    ).filter((F.col("_q.rank") >= F.col("_before")) & (F.col("_q.rank") < F.col("_before") + F.col("_m")))
-    # Wanted ranks per slice: few, so one array per slice keeps the join one-to-one.
-    wanted = ranks.groupBy(*keys, *cuts).agg(F.first("_before").alias("_before"), F.collect_set("_q").alias("_qs"))
-    running = F.sum("_n").over(W.partitionBy(*keys, *cuts).orderBy("_x").rowsBetween(W.unboundedPreceding, 0))
-    hits = (
-        join_null_safe(large, wanted, [*keys, *cuts])
-        .withColumn("_hi", running + F.col("_before"))
-        .withColumn("_lo", F.col("_hi") - F.col("_n"))
-        .select(
-            *keys,
-            "_x",
-            F.explode(
-                F.filter("_qs", lambda q: (q["rank"] >= F.col("_lo")) & (q["rank"] < F.col("_hi")))
-            ).alias("_q"),
-        )
-    )
-    picked = hits.groupBy(*keys, F.col("_q.name").alias("_name"), F.col("_q.at").alias("_at")).agg(
-        F.min("_x").alias("_a"), F.max("_x").alias("_b")
-    )
-    point = picked.withColumn("_v", F.col("_a") + (F.col("_b") - F.col("_a")) * (F.col("_at") - F.floor("_at")))
-    wide = point.groupBy(*keys).pivot("_name", names).agg(F.first("_v"))
-    return small.unionByName(wide.select(*keys, *names))
+def _quantiles(value: Column, probs: dict[str, float]) -> Column:
+    return F.percentile(value, F.array(*[F.lit(float(p)) for p in probs.values()]), F.col("_n"))
 
 
-def _buffered(counts: DataFrame, keys: list[str], probs: dict[str, float]) -> DataFrame:
-    names = list(probs)
-    return (
-        counts.groupBy(*keys)
-        .agg(F.percentile("_x", F.array(*[F.lit(float(p)) for p in probs.values()]), F.col("_n")).alias("_p"))
-        .select(*keys, *[F.col("_p")[i].alias(n) for i, n in enumerate(names)])
-    )
-
-
-def moments_of_counts(counts: DataFrame, keys: list[str]) -> DataFrame:
-    return counts.groupBy(*keys).agg(
-        F.sum("_n").alias("n"),
-        (F.sum(F.col("_x") * F.col("_n")) / F.sum("_n")).alias("mean"),
-        F.min("_x").alias("minimum"),
-        F.max("_x").alias("maximum"),
-    )
+def quantiles_of_counts(counts: DataFrame, keys: list[str], probs: dict[str, float]) -> DataFrame:
+    """One row per group with the named quantiles (linear interpolation) of a (keys, _x, _n) table."""
+    rolled = counts.groupBy(*keys).agg(_quantiles(F.col("_x"), probs).alias("_p"))
+    return rolled.select(*keys, *[F.col("_p")[i].alias(n) for i, n in enumerate(probs)])
 
 
-def robust_statistics(
-    df: DataFrame, keys: list[str], value: str, probs: dict[str, float] | None = None,
-    max_distinct: int = MAX_DISTINCT,
-) -> DataFrame:
+def robust_statistics(df: DataFrame, keys: list[str], value: str, probs: dict[str, float] | None = None) -> DataFrame:
     """n, mean, std, minimum, maximum, the named quantiles, median and MAD per group."""
     probs = {"median": 0.5, **(probs or {})}
     counts = value_counts(df, keys, value)
-    centre = join_null_safe(
-        moments_of_counts(counts, keys), quantiles_of_counts(counts, keys, probs, max_distinct), keys
-    )
-    joined = join_null_safe(counts, centre.select(*keys, "mean", "median"), keys)
-    spread = joined.groupBy(*keys).agg(
-        F.when(
-            F.sum("_n") > 1,
-            F.sqrt(
-                F.sum(F.pow(F.col("_x") - F.col("mean"), 2) * F.col("_n"))
-                / (F.sum("_n") - 1)
-            ),
-        ).alias("std")
-    )
-    deviations = (
-        joined.withColumn("_x", F.round(F.abs(F.col("_x") - F.col("median")), 9))
-        .groupBy(*keys, "_x")
-        .agg(F.sum("_n").alias("_n"))
-    )
-    mad = quantiles_of_counts(deviations, keys, {"mad": 0.5}, max_distinct)
-    return join_null_safe(join_null_safe(centre, spread, keys), mad, keys)
+    x, n = F.col("_x"), F.col("_n")
+    total, size = F.sum(x * n), F.sum(n)
+    # a constant group has no spread, whatever the sums round to
+    spread = F.when(F.min(x) == F.max(x), F.lit(0.0)).otherwise(
+        F.sqrt(F.greatest((F.sum(x * x * n) - total * total / size) / (size - 1), F.lit(0.0)))
+    )
+    rolled = counts.groupBy(*keys).agg(
+        size.alias("n"), (total / size).alias("mean"), F.when(size > 1, spread).alias("std"),
+        F.min(x).alias("minimum"), F.max(x).alias("maximum"), _quantiles(x, probs).alias("_p"),
+    )
+    named = [F.col("_p")[i].alias(k) for i, k in enumerate(probs)]
+    centre = rolled.select(*keys, "n", "mean", "minimum", "maximum", *named, "std")
+    away = join_null_safe(counts, centre.select(*keys, "median"), keys)
+    mad = away.groupBy(*keys).agg(_quantiles(F.round(F.abs(x - F.col("median")), 9), {"mad": 0.5})[0].alias("mad"))
+    return join_null_safe(centre, mad, keys)

@@ -2,7 +2,7 @@
 
 Each check is a list of stages; a stage maps a window to named columns and may use the columns of
 the stage before. All checks of a call share one window specification, hence one exchange and one
-sort, and run through :func:`over_ordered_groups`, which keeps large groups in slices.
+sort, and run through :func:`over_ordered_groups`, which evaluates groups in slices.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from obsguard.functions import scalars as S
 from obsguard.operators.framework import flag_when
-from obsguard.operators.frames import ROWS_PER_TASK, over_ordered_groups
+from obsguard.operators.frames import SLICE_DAYS, over_ordered_groups
 
 Stage = Callable[[WindowSpec], dict[str, Column]]
 
@@ -34,7 +34,7 @@ def apply_checks(
     keys: list[str],
     order: list[str],
     checks: list[FrameCheck],
-    rows_per_task: int = ROWS_PER_TASK,
+    slice_days: float = SLICE_DAYS,
 ) -> DataFrame:
     """Add one column per check (its name); helper columns are dropped again."""
     names = {c.name for c in checks}
@@ -51,7 +51,7 @@ def apply_checks(
             helpers += [n for n in columns if n not in names]
         return frame.drop(*helpers)
 
-    return over_ordered_groups(df, keys, order, max(c.reach for c in checks), compute, rows_per_task)
+    return over_ordered_groups(df, keys, order, max(c.reach for c in checks), compute, slice_days)
 
 
 def _limit(given: float | str) -> Column:

@@ -14,7 +14,7 @@ from obsguard.functions import scalars as S
 from obsguard.operators import canonical as C
 from obsguard.operators import temporal as TP
 from obsguard.operators.framework import Check, assess, evaluate
-from obsguard.operators.frames import ROWS_PER_TASK
+from obsguard.operators.frames import SLICE_DAYS
 from obsguard.operators.joins import enrich_from_stations
 from obsguard.operators.row_rules import limit_flags, null_value_checks, row_checks
 
@@ -80,12 +80,12 @@ def basic_quality(
 
 
 def meteorological_quality(
-    obs: DataFrame, row_key: str = "record_id", rows_per_task: int = ROWS_PER_TASK
+    obs: DataFrame, row_key: str = "record_id", slice_days: float = SLICE_DAYS
 ) -> DataFrame:
     """Checks between variables of a row and along one station's time."""
     row_level = evaluate(obs, row_checks(obs, R.rules_of_stage("meteorological")))
     along = TP.apply_checks(
-        row_level, [STATION], [TIME, row_key], observation_frame_checks(), rows_per_task
+        row_level, [STATION], [TIME, row_key], observation_frame_checks(), slice_days
     )
     variables = {
         "temperature_persistence": "air_temperature_c", "temperature_temporal_step": "air_temperature_c",
@@ -98,12 +98,12 @@ def meteorological_quality(
 
 def advanced_quality(
     long_df: DataFrame, thresholds: DataFrame, row_key: str = "record_id", ts: str = TIME,
-    rows_per_task: int = ROWS_PER_TASK,
+    slice_days: float = SLICE_DAYS,
 ) -> DataFrame:
     """Generic temporal checks on the long form; groups under three rows are not checked."""
     with_limits = long_df.join(thresholds, "variable", "left")
     flagged = TP.apply_checks(
-        with_limits, [STATION, "variable"], [ts, row_key], long_frame_checks(ts), rows_per_task
+        with_limits, [STATION, "variable"], [ts, row_key], long_frame_checks(ts), slice_days
     )
     names = ["temporal_step", "temporal_spike", "temporal_persistence", "temporal_repeated_pattern"]
     gated = flagged.withColumns(
@@ -120,11 +120,11 @@ def range_quality(long_df: DataFrame, limits: DataFrame) -> DataFrame:
 
 def final_quality(
     obs: DataFrame, stations: DataFrame, as_of: str, row_key: str = "record_id",
-    null_columns: list[str] | None = None, rows_per_task: int = ROWS_PER_TASK,
+    null_columns: list[str] | None = None, slice_days: float = SLICE_DAYS,
 ) -> DataFrame:
     """Basic and meteorological stages with the per-observation assessment."""
     basic = basic_quality(obs, stations, as_of, row_key=row_key, null_columns=null_columns)
-    return assess(meteorological_quality(basic, row_key, rows_per_task))
+    return assess(meteorological_quality(basic, row_key, slice_days))
 
 
 def prepare(

@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from obsguard.operators import frames as FR
@@ -42,10 +43,10 @@ CHECKS = [
 ]
 
 
-@pytest.mark.parametrize("rows_per_task", [20, 60, 400])
-def test_slices_equal_plain_windows(skewed, rows_per_task):
-    plain = TP.apply_checks(skewed, ["station"], ["ts", "id"], CHECKS, 10**9)
-    sliced = TP.apply_checks(skewed, ["station"], ["ts", "id"], CHECKS, rows_per_task)
+@pytest.mark.parametrize("days", [0.01, 0.2, 3.0])
+def test_slices_equal_plain_windows(skewed, days):
+    plain = TP.apply_checks(skewed, ["station"], ["ts", "id"], CHECKS, 1e6)
+    sliced = TP.apply_checks(skewed, ["station"], ["ts", "id"], CHECKS, days)
     assert sliced.columns == plain.columns
     assert sliced.count() == skewed.count()
     assert sliced.exceptAll(plain).count() == 0
@@ -53,46 +54,46 @@ def test_slices_equal_plain_windows(skewed, rows_per_task):
     assert {"PASS", "SUSPECT", "NOT_CHECKED"} <= flags
 
 
-def test_large_groups_are_really_cut(skewed):
-    cut, columns = FR.cut_large_groups(skewed, ["station"], ["ts", "id"], 60)
-    assert columns[:1] == ["_cut0"]
-    sizes = cut.groupBy("station", *columns).count().agg(F.max("count")).first()[0]
-    assert sizes <= 60
-    assert cut.filter("station = 'small' AND _cut0 IS NOT NULL").count() == 0
+def test_slices_are_consecutive_and_bounded(skewed):
+    split, cuts = FR.with_slices(skewed, ["ts", "id"], 0.2, 100)
+    rows = [(r["ts"] is not None, r["ts"], r["id"], r[cuts[0]], r[cuts[1]]) for r in split.filter("station = 'hot'").collect()]
+    rows.sort(key=lambda r: (r[0], r[1] if r[0] else 0, r[2]))
+    slices = [r[3:] for r in rows]
+    changes = sum(a != b for a, b in zip(slices, slices[1:], strict=False))
+    assert changes + 1 == len(set(slices)) > 5
 
 
-def test_equal_times_are_cut_by_the_next_column(spark):
-    df = spark.range(1000).select("id", F.lit(1).alias("k"), F.when(F.col("id") < 990, 0).otherwise(F.col("id")).alias("t"))
-    cut, columns = FR.cut_large_groups(df, ["k"], ["t", "id"], 100)
-    assert len(columns) >= 2
-    assert cut.groupBy("k", *columns).count().agg(F.max("count")).first()[0] <= 110
-
-
-def test_one_instant_only_is_cut_by_the_next_column(spark):
-    df = spark.range(1000).select("id", F.lit(1).alias("k"), F.lit(0).alias("t"))
-    cut, columns = FR.cut_large_groups(df, ["k"], ["t", "id"], 100)
-    assert columns == ["_cut0"]
-    assert cut.groupBy("k", *columns).count().agg(F.max("count")).first()[0] <= 110
+def test_unknown_times_with_text_ids_stay_spread(spark):
+    df = spark.range(20_000).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("record_id"), F.lit("s").alias("station"),
+        F.lit(None).cast("timestamp_ntz").alias("ts"), (F.col("id") % 7).cast("double").alias("x"),
+    )
+    split, cuts = FR.with_slices(df, ["ts", "record_id"])
+    sizes = [r[0] for r in split.groupBy("station", *cuts).count().select("count").collect()]
+    assert max(sizes) < 100 and len(sizes) > 1000
+    plan = TP.apply_checks(df, ["station"], ["ts", "record_id"], [TP.step("step", "x", "ts", 3.0, 30, 90)])
+    assert plan.count() == 20_000
 
 
 def test_text_order_is_cut_by_its_values(spark):
     df = spark.range(600).select("id", F.lit(1).alias("k"), F.concat(F.lit("f"), (F.col("id") % 4).cast("string")).alias("file"))
-    plain = TP.apply_checks(df, ["k"], ["file", "id"], [TP.out_of_source_order("o", "id")], 10**9)
-    sliced = TP.apply_checks(df, ["k"], ["file", "id"], [TP.out_of_source_order("o", "id")], 100)
-    assert sliced.exceptAll(plain).count() == 0 and sliced.count() == 600
+    plain = df.withColumn("o", TP.out_of_source_order("o", "id").stages[0](W.partitionBy("k").orderBy("file", "id"))["o"])
+    sliced = TP.apply_checks(df, ["k"], ["file", "id"], [TP.out_of_source_order("o", "id")])
+    assert sliced.select(*plain.columns).exceptAll(plain).count() == 0 and sliced.count() == 600
 
 
-def test_no_large_group_keeps_the_plain_plan(skewed):
-    cut, columns = FR.cut_large_groups(skewed, ["station"], ["ts", "id"], 10**6)
-    assert columns == [] and cut is skewed
+def test_building_a_plan_runs_no_job(spark, skewed):
+    before = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    TP.apply_checks(skewed, ["station"], ["ts", "id"], CHECKS)
+    QN.robust_statistics(skewed, ["station"], "x")
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == before
 
 
-@pytest.mark.parametrize("max_distinct", [50, 10**6])
-def test_exact_quantiles(spark, max_distinct):
+def test_exact_quantiles(spark):
     rng = np.random.default_rng(3)
     groups = {"a": rng.normal(size=700).round(3), "b": rng.integers(0, 5, 60).astype(float), "c": np.array([4.5])}
     df = spark.createDataFrame([(g, float(v)) for g, vs in groups.items() for v in vs], "g string, x double")
-    out = QN.robust_statistics(df, ["g"], "x", {"p1": 0.01, "p75": 0.75, "p99": 0.99}, max_distinct)
+    out = QN.robust_statistics(df, ["g"], "x", {"p1": 0.01, "p75": 0.75, "p99": 0.99})
     for r in out.collect():
         vs = groups[r["g"]]
         for name, p in (("p1", 1), ("median", 50), ("p75", 75), ("p99", 99)):
