@@ -6,7 +6,6 @@ content); the readers and writers write the tables to a fresh folder and read th
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -22,13 +21,12 @@ from obsguard.operators import framework as FW
 from obsguard.sinks import writers as W
 from obsguard.sources import files as SF
 from obsguard.sources import readers as SR
+from obsguard.session import shared_folder
 
 
 def scratch(spark) -> str:
-    """A fresh folder in the shared one the cluster names; a local one only where none is named."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    base = shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="obsguard-")
-    return f"{base}/{uuid.uuid4().hex}"
+    """A fresh folder in the shared one."""
+    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
 
 
 # --- files of the inventory ---------------------------------------------------------------------
@@ -285,7 +283,7 @@ def layouts(spark, sf_dir):
     )
 
 
-@query("exp_07_quarantine", f"WITH {B.WIDE_CTE} SELECT event_id, month, day FROM obs WHERE month > 12 OR day > 29")
+@query("exp_07_quarantine", f"WITH {B.WIDE_CTE} SELECT event_id, month, day FROM obs WHERE coalesce(month > 12 OR day > 29, TRUE)")
 def quarantined(spark, sf_dir):
     folder = scratch(spark)
     df = B.wide(spark, sf_dir).select("event_id", "month", "day")

@@ -79,8 +79,9 @@ register("win_01_duplicate_groups", duplicates, _DUP_SQL)
 @query(
     "rule_datetime_duplicate_observation",
     f"""WITH {B.WIDE_CTE}, h AS (SELECT event_id, station_id, date_trunc('hour', ts) AS t, report_type, report_status FROM obs)
-    SELECT event_id, CASE WHEN row_number() OVER (PARTITION BY station_id, t, report_type, report_status ORDER BY event_id) > 1 THEN 'ERROR' ELSE 'PASS' END AS key_flag,
-      CASE WHEN row_number() OVER (PARTITION BY station_id, t ORDER BY event_id) > 1 THEN 'ERROR' ELSE 'PASS' END AS flag FROM h""",
+    SELECT event_id, CASE WHEN station_id IS NULL OR t IS NULL OR report_type IS NULL OR report_status IS NULL THEN 'NOT_CHECKED'
+        WHEN row_number() OVER (PARTITION BY station_id, t, report_type, report_status ORDER BY event_id) > 1 THEN 'ERROR' ELSE 'PASS' END AS key_flag,
+      CASE WHEN station_id IS NULL OR t IS NULL THEN 'NOT_CHECKED' WHEN row_number() OVER (PARTITION BY station_id, t ORDER BY event_id) > 1 THEN 'ERROR' ELSE 'PASS' END AS flag FROM h""",
 )
 def duplicate_rule(spark, sf_dir):
     df = B.wide(spark, sf_dir).select(

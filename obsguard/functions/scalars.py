@@ -130,9 +130,9 @@ def convert_unit(x: Column, factor: Column, offset: Column, to_factor: Column, t
 
 
 def round_to(x: Column, digits: Column) -> Column:
-    """HALF_UP rounding to a per-row number of decimals (0..4)."""
-    out = round_half_up(x, 0)
-    for d in (1, 2, 3, 4):
+    """HALF_UP rounding to a per-row number of decimals; from nine on, and without one, the value stays."""
+    out = x
+    for d in range(9):
         out = F.when(digits == d, round_half_up(x, d)).otherwise(out)
     return out
 

@@ -279,26 +279,26 @@ def ingestion_statistics(files: DataFrame, station: str = "station_id") -> DataF
 
 def structure_statistics(files: DataFrame, sheets: DataFrame) -> DataFrame:
     """One row: valid and invalid files and sheets, defects, integrity as a ratio of sums."""
-    per_file = files.agg(
-        F.count(F.lit(1)).alias("files_validated"),
-        F.count_if(F.col("structure_valid")).alias("files_valid"),
-        F.count_if(~F.col("structure_valid")).alias("files_invalid"),
+    sized = {
+        "missing_columns": F.size("missing_columns"), "extra_columns": F.size("extra_columns"),
+        "duplicate_headers": F.size("duplicate_headers"), "empty_headers": F.size("empty_header_positions"),
+        "validation_checks": F.col("validation_checks"), "validation_passed": F.col("validation_passed"),
+        "validation_failed": F.col("validation_failed"),
+    }
+    # files and sheets in one frame, so that one aggregate gives one row
+    both = files.select(F.lit(True).alias("_file"), "structure_valid").unionByName(
+        sheets.select(F.lit(False).alias("_file"), "structure_valid", *[c.alias(n) for n, c in sized.items()]),
+        allowMissingColumns=True,
     )
-
-    def total(c: Column) -> Column:
-        return F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
-
-    per_sheet = sheets.agg(
-        F.count(F.lit(1)).alias("sheets_validated"),
-        F.count_if(F.col("structure_valid")).alias("sheets_valid"),
-        F.count_if(~F.col("structure_valid")).alias("sheets_invalid"),
-        total(F.size("missing_columns")).alias("missing_columns"),
-        total(F.size("extra_columns")).alias("extra_columns"),
-        total(F.size("duplicate_headers")).alias("duplicate_headers"),
-        total(F.size("empty_header_positions")).alias("empty_headers"),
-        total(F.col("validation_checks")).alias("validation_checks"),
-        total(F.col("validation_passed")).alias("validation_passed"),
-        total(F.col("validation_failed")).alias("validation_failed"),
+    file, valid = F.col("_file"), F.col("structure_valid")
+    return both.agg(
+        F.count_if(file).alias("files_validated"),
+        F.count_if(file & valid).alias("files_valid"),
+        F.count_if(file & ~valid).alias("files_invalid"),
+        F.count_if(~file).alias("sheets_validated"),
+        F.count_if(~file & valid).alias("sheets_valid"),
+        F.count_if(~file & ~valid).alias("sheets_invalid"),
+        *[F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias(n) for n in sized],
     ).withColumn(
         "integrity",
         F.when(
@@ -306,5 +306,3 @@ def structure_statistics(files: DataFrame, sheets: DataFrame) -> DataFrame:
             F.round(F.col("validation_passed") * 100.0 / F.col("validation_checks"), 2),
         ).otherwise(0.0),
     )
-    # Two one-row tables side by side.
-    return per_file.withColumn("_one", F.lit(1)).join(per_sheet.withColumn("_one", F.lit(1)), "_one").drop("_one")

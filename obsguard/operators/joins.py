@@ -21,6 +21,16 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str
     return left.join(renamed, on, how).drop(*[f"_r_{k}" for k in keys])
 
 
+def one_row_each(dimension: DataFrame, key: list[str]) -> DataFrame:
+    """One row for each key of a dimension, the least by its other columns: a key listed twice must not
+    multiply what is joined to it."""
+    rest = [c for c in dimension.columns if c not in key]
+    if not rest:
+        return dimension.distinct()
+    least = dimension.groupBy(*key).agg(F.min(F.struct(*rest)).alias("_least"))
+    return least.select(*key, *[F.col(f"_least.{c}").alias(c) for c in rest])
+
+
 def enrich_from_stations(
     obs: DataFrame, stations: DataFrame, key: str = "station_id", fields: list[str] | None = None
 ) -> DataFrame:
@@ -29,8 +39,8 @@ def enrich_from_stations(
     A field the observation already has is only filled where it is null.
     """
     fields = fields or [c for c in stations.columns if c != key]
-    right = stations.select(
-        F.col(key).alias("_sid"), *[F.col(f).alias(f"_s_{f}") for f in fields]
+    right = one_row_each(
+        stations.select(F.upper(F.trim(F.col(key))).alias("_sid"), *[F.col(f).alias(f"_s_{f}") for f in fields]), ["_sid"]
     )
     out = obs.join(right, F.upper(F.trim(F.col(key))) == F.col("_sid"), "left")
     out = out.withColumn("station_known", F.col("_sid").isNotNull())
@@ -52,12 +62,12 @@ def resolve_units(df: DataFrame, unit_col: str, aliases: DataFrame, units: DataF
     table = aliases.join(units, "unit_id").select(
         F.col("alias").alias("_alias"), "unit_id", "base_unit", "factor", "offset", "precision"
     )
-    return df.join(table, F.col(unit_col) == F.col("_alias"), "left").drop("_alias")
+    return df.join(one_row_each(table, ["_alias"]), F.col(unit_col) == F.col("_alias"), "left").drop("_alias")
 
 
 def with_limits(long_df: DataFrame, limits: DataFrame, on: list[str]) -> DataFrame:
     """Left join of caller-supplied limits or thresholds; absent rows leave nulls (NOT_CHECKED)."""
-    return long_df.join(limits, on, "left")
+    return long_df.join(one_row_each(limits, on), on, "left")
 
 
 def _cells(lat, lon, radius_km: float):

@@ -7,6 +7,7 @@ so the data is read and shuffled once whatever the number of levels.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from obsguard.catalogs import rulebook as R
@@ -170,13 +171,8 @@ def wind_rose(df: DataFrame, direction: str, speed: str, limits: list[float] | N
         .groupBy(sector.alias("sector"), F.when(calm, 0).otherwise(speed_class).alias("speed_class"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    # At most 17 x 7 rows: the total joins back as a single row.
-    total = counts.agg(F.sum("n").alias("_all")).withColumn("_one", F.lit(1))
-    return (
-        counts.withColumn("_one", F.lit(1)).join(total, "_one")
-        .withColumn("share_pct", F.round(F.col("n") * 100.0 / F.col("_all"), 4))
-        .drop("_one", "_all")
-    )
+    # At most 17 x 7 rows are left, so a total over all of them is one small window.
+    return counts.withColumn("share_pct", F.round(F.col("n") * 100.0 / F.sum("n").over(W.partitionBy()), 4))
 
 
 def missing_summary(long_df: DataFrame, keys: list[str], value: str = "value") -> DataFrame:

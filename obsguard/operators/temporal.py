@@ -217,21 +217,25 @@ def out_of_source_order(name: str, ts: str, flag: str = "SUSPECT") -> FrameCheck
 def mark_duplicates(df: DataFrame, key: list[str], first_by: list[str], name: str = "duplicate_flag") -> DataFrame:
     """Group size, and ERROR on every row of a key but the first (by ``first_by``, which must be unique).
 
-    One pre-aggregated row per repeated key is joined back; a group of copies is never gathered.
+    A row with a null in its key cannot be compared: NOT_CHECKED. One pre-aggregated row per repeated
+    key is joined back; a group of copies, or of rows without a key, is never gathered.
     """
     rank = F.struct(*[F.col(c) for c in first_by])
+    comparable = S.all_of([F.col(k).isNotNull() for k in key])
     groups = (
-        df.groupBy(*key)
+        df.filter(comparable).groupBy(*key)
         .agg(F.count(F.lit(1)).alias("duplicate_count"), F.min(rank).alias("_first"))
         .filter(F.col("duplicate_count") > 1)
     )
     renamed = groups.select(*[F.col(k).alias(f"_d_{k}") for k in key], "duplicate_count", "_first")
-    on = S.all_of([F.col(k).eqNullSafe(F.col(f"_d_{k}")) for k in key])
+    on = S.all_of([F.col(k) == F.col(f"_d_{k}") for k in key])
     joined = df.join(renamed, on, "left")
     return joined.withColumns(
         {
             "duplicate_count": F.coalesce("duplicate_count", F.lit(1)),
-            name: F.when(F.col("_first").isNotNull() & (rank != F.col("_first")), "ERROR").otherwise("PASS"),
+            name: F.when(~comparable, "NOT_CHECKED")
+            .when(F.col("_first").isNotNull() & (rank != F.col("_first")), "ERROR")
+            .otherwise("PASS"),
         }
     ).drop("_first", *[f"_d_{k}" for k in key])
 

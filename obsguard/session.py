@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+import tempfile
+
+from pyspark.sql import SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -38,14 +41,15 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def checkpoint(spark: SparkSession, df: DataFrame, fallback: str | None = None) -> DataFrame:
-    """Cut lineage through the folder the cluster names in ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    ``fallback`` is used only where the setting is absent, as in tests.
+    Only a local session, whose tasks share the driver's disk, gets a folder of its own where none is
+    named; a cluster without one is an error.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or fallback
-    if folder is None:
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint()
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
+    return tempfile.mkdtemp(prefix="obsguard-")

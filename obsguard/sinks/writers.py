@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,13 +54,11 @@ LAYOUTS = {"yearly": ["year"], "monthly": ["year", "month"], "daily": ["year", "
 def write_layout(df: DataFrame, path: str, layout: str, overwrite: bool = True) -> None:
     """Daily, monthly or yearly folders.
 
-    Rows are spread by the folder columns plus a per-row salt, so a folder gets a few files of
-    several tasks rather than one task (hot day) or a file from every task.
+    Rows are rebalanced by the folder columns: adaptive execution splits a large folder into as many
+    tasks as its size asks for and merges small ones.
     """
     keys = LAYOUTS[layout]
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns if not isinstance(df.schema[c].dataType, T.MapType)]), F.lit(8))
-    spread = df.withColumn("_salt", salt).repartition(*keys, "_salt").drop("_salt")
-    write_parquet(spread, path, overwrite, keys)
+    write_parquet(df.hint("rebalance", *[F.col(k) for k in keys]), path, overwrite, keys)
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str] | None = None) -> None:
@@ -70,8 +69,8 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str] |
 
 
 def quarantine(df: DataFrame, bad, path: str, overwrite: bool = True) -> None:
-    """Copy the rows for which ``bad`` holds; the input keeps them."""
-    write_parquet(df.filter(bad), path, overwrite)
+    """Copy the rows for which ``bad`` holds or cannot be told; the input keeps them."""
+    write_parquet(df.filter(F.coalesce(bad, F.lit(True))), path, overwrite)
 
 
 def manifest(spark: SparkSession, directory: str) -> DataFrame:
@@ -102,12 +101,16 @@ def raise_if_failed(results: DataFrame, stop: bool = True) -> int:
 
 
 def save_stage(spark: SparkSession, df: DataFrame, folder: str, run_id: str, stage: str, metrics: dict) -> DataFrame:
-    """Dataset and one-row metadata of a finished stage; returns the stored dataset."""
-    base = f"{folder.rstrip('/')}/{run_id}_{stage}"
-    df.write.mode("overwrite").parquet(f"{base}/data")
-    record = json.dumps({"run_id": run_id, "stage": stage, **metrics}, sort_keys=True)
+    """Dataset and one-row metadata of a finished stage; returns the stored dataset.
+
+    The dataset goes to a new folder, which the metadata, written last, names: a run that breaks off
+    leaves what was stored before in force, or nothing.
+    """
+    base, data = f"{folder.rstrip('/')}/{run_id}_{stage}", f"data-{uuid.uuid4().hex}"
+    df.write.parquet(f"{base}/{data}")
+    record = json.dumps({"run_id": run_id, "stage": stage, **metrics, "data": data}, sort_keys=True)
     spark.createDataFrame([(record,)], "value string").coalesce(1).write.mode("overwrite").text(f"{base}/meta")
-    return spark.read.parquet(f"{base}/data")
+    return spark.read.parquet(f"{base}/{data}")
 
 
 def load_stage(spark: SparkSession, folder: str, run_id: str, stage: str) -> DataFrame | None:
@@ -115,7 +118,8 @@ def load_stage(spark: SparkSession, folder: str, run_id: str, stage: str) -> Dat
     base = f"{folder.rstrip('/')}/{run_id}_{stage}"
     try:
         spark.read.text(f"{base}/meta/_SUCCESS")
-        return spark.read.parquet(f"{base}/data")
+        record = json.loads(spark.read.text(f"{base}/meta").first()["value"])
+        return spark.read.parquet(f"{base}/{record['data']}")
     except AnalysisException as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise

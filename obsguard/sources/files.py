@@ -115,7 +115,7 @@ def mark_duplicate_files(inventory: DataFrame) -> DataFrame:
     )
     return (
         inventory.join(firsts, "sha256", "left")
-        .withColumn("duplicate_of", F.when(F.col("_first.path") != F.col("path"), F.col("_first.relative_path")))
+        .withColumn("duplicate_of", F.when(F.col("_first") != rank, F.col("_first.relative_path")))
         .drop("_copies", "_first")
     )
 
