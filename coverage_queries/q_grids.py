@@ -93,8 +93,7 @@ def raw_grid(spark, sf_dir):
 
 
 def grid(spark, sf_dir):
-    width = len(contract.input_headers()) + contract.READ_BUFFER_COLUMNS
-    return G.blank_cells_to_null(G.cap_columns(raw_grid(spark, sf_dir), width))
+    return G.blank_cells_to_null(raw_grid(spark, sf_dir))
 
 
 def profile(spark, sf_dir):

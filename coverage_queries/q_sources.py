@@ -152,8 +152,8 @@ def discovery(spark, sf_dir):
 
 @query(
     "src_08_raw_grid",
-    "SELECT CAST(l_orderkey AS VARCHAR) AS a, CAST(l_partkey AS VARCHAR) AS b, CASE WHEN l_orderkey % 5 = 0 THEN NULL ELSE l_returnflag END AS c,"
-    " CAST(l_linenumber AS VARCHAR) AS d, 60 AS width FROM lineitem",
+    "SELECT CAST(l_orderkey AS VARCHAR) AS a, CAST(l_partkey AS VARCHAR) AS b, CASE WHEN l_orderkey % 5 = 0 THEN '' ELSE l_returnflag END AS c,"
+    " CAST(l_linenumber AS VARCHAR) AS d, 4 AS width FROM lineitem",
 )
 def raw_grid(spark, sf_dir):
     folder = scratch(spark)

@@ -1,9 +1,9 @@
 """Raw cell grids: physical cleaning, sheet profile, header validation.
 
 A grid has one row per sheet line: ``(source_file, source_sheet, source_row, cells)``. What a sheet
-looks like as a whole (which columns hold data, which row is the header) comes from a single
-aggregate with one small record per sheet; which columns hold data travels as a bit mask, so cells
-are never exploded and a sheet of any length is combined on the map side.
+looks like as a whole (which columns hold data, which row is the header) comes from aggregates with
+one small record per sheet; which columns hold data travels as bit masks of 62 columns each, so cells
+are never exploded and a sheet of any length and width is combined on the map side.
 """
 
 from __future__ import annotations
@@ -14,50 +14,61 @@ from pyspark.sql import functions as F
 from obsguard.functions import scalars as S
 
 SHEET = ["source_file", "source_sheet"]
-MAX_WIDTH = 63
-
-
-def cap_columns(grid: DataFrame, width: int) -> DataFrame:
-    """Keep the first ``width`` cells of a row: expected columns plus the read margin."""
-    return grid.withColumn("cells", F.slice("cells", 1, width))
+#: Columns in one bit mask.
+MASK_COLUMNS = 62
 
 
 def blank_cells_to_null(grid: DataFrame) -> DataFrame:
     return grid.withColumn("cells", F.transform("cells", lambda c: S.blank_to_null(c)))
 
 
-def _mask(cells: Column) -> Column:
-    """Bit i is set where cell i holds data (first cell = lowest bit)."""
-    return F.aggregate(
-        F.reverse(cells), F.lit(0).cast("bigint"), lambda a, c: a * 2 + c.isNotNull().cast("bigint")
-    )
+def _masks(cells: Column) -> Column:
+    """Masks of MASK_COLUMNS cells each: bit i is set where cell i of the mask holds data."""
+
+    def mask(k: Column) -> Column:
+        part = F.reverse(F.slice(cells, k * MASK_COLUMNS + 1, MASK_COLUMNS))
+        return F.aggregate(part, F.lit(0).cast("bigint"), lambda a, c: a * 2 + c.isNotNull().cast("bigint"))
+
+    last = F.floor((F.greatest(F.size(cells), F.lit(1)) - 1) / MASK_COLUMNS).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), mask)
 
 
 def drop_empty_rows(grid: DataFrame) -> DataFrame:
-    return grid.filter(_mask(F.col("cells")) != 0)
+    return grid.filter(F.exists("cells", lambda c: c.isNotNull()))
 
 
 def profile_sheets(grid: DataFrame) -> DataFrame:
-    """One record per sheet of a grid whose blanks are null and whose width is at most 63.
+    """One record per sheet of a grid whose blanks are null, whatever its width.
 
     Rows and columns before and after cleanup, positions of empty columns before cleanup, the
     columns kept, the header (first surviving row) and the headerless columns that hold data
     (positions after cleanup). A sheet without data has ``rows`` = 0.
     """
-    marked = grid.withColumn("_bits", _mask(F.col("cells")))
+    # a row has one mask for every 62 columns, nearly always one
+    kept_row = F.exists("cells", lambda c: c.isNotNull()).alias("_kept")
+    marked = grid.select(*SHEET, "source_row", "cells", kept_row, F.posexplode(_masks(F.col("cells"))).alias("_part", "_bits"))
     data_row = F.when(F.col("_bits") != 0, F.col("source_row"))
-    base = marked.groupBy(*SHEET).agg(
-        F.count(F.lit(1)).alias("rows_before_cleanup"),
-        F.max(F.size("cells")).alias("columns_before_cleanup"),
-        F.count_if(F.col("_bits") == 0).alias("empty_rows_removed"),
-        F.bit_or("_bits").alias("_mask"),
-        F.min(data_row).alias("header_row"),
-        F.min_by("cells", data_row).alias("_first"),
+    parts = marked.groupBy(*SHEET, "_part").agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.max(F.size("cells")).alias("_width"),
+        F.count_if(~F.col("_kept")).alias("_empty"),
+        F.bit_or("_bits").alias("_bits"),
+        F.min(data_row).alias("_row"),
+        F.min_by("cells", data_row).alias("_cells"),
+    )
+    base = parts.groupBy(*SHEET).agg(
+        F.max(F.when(F.col("_part") == 0, F.col("_rows"))).alias("rows_before_cleanup"),
+        F.max("_width").alias("columns_before_cleanup"),
+        F.max(F.when(F.col("_part") == 0, F.col("_empty"))).alias("empty_rows_removed"),
+        F.sort_array(F.collect_list(F.struct("_part", "_bits"))).alias("_mask"),
+        F.min("_row").alias("header_row"),
+        F.min_by("_cells", "_row").alias("_first"),
     )
     positions = F.when(F.col("columns_before_cleanup") > 0, F.sequence(F.lit(1), F.col("columns_before_cleanup")))
 
     def filled(p: Column) -> Column:
-        return F.getbit(F.col("_mask"), p - 1) == 1
+        part = F.element_at(F.col("_mask"), F.floor((p - 1) / MASK_COLUMNS).cast("int") + 1)
+        return F.getbit(part["_bits"], (p - 1) % MASK_COLUMNS) == 1
 
     kept = F.filter(positions, filled)
     with_kept = base.withColumns(

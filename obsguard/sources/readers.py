@@ -2,42 +2,55 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from obsguard.catalogs import contract
-
 
 def _file_path():
     return F.regexp_replace(F.col("_metadata.file_path"), "^file:/*", "/")
 
 
-def read_grid(
-    spark: SparkSession, path: str, width: int | None = None, sep: str = ",", encoding: str = "UTF-8"
-) -> DataFrame:
-    """Headerless delimited files as a grid, all cells text, at most ``width`` columns.
+def read_grid(spark: SparkSession, path: str, sep: str = ",", encoding: str = "UTF-8") -> DataFrame:
+    """Headerless delimited files as a grid of any width, all cells text, blank cells empty.
 
-    Lines keep their number in the file, so a station file is read as one text and split; files
-    are many and small. For few large files use :func:`read_table`, which splits them.
+    Rows keep the number of their first line in the file; a line break inside quotes belongs to its
+    cell. A station file is decoded as one value and cut by built-ins; files are many and small. For few
+    large files use :func:`read_table`, which splits them.
     """
-    width = width or len(contract.input_headers()) + contract.READ_BUFFER_COLUMNS
-    names = [f"c{i}" for i in range(width)]
-    schema = ", ".join(f"{n} string" for n in names)
+    text = F.decode(F.col("content"), encoding)
     lines = (
-        spark.read.option("recursiveFileLookup", "true").option("encoding", encoding)
-        .text(path, wholetext=True)
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
         .select(
-            _file_path().alias("source_file"),
-            F.posexplode(F.split(F.regexp_replace("value", r"\r?\n$", ""), r"\r?\n")).alias("_row", "_line"),
+            F.regexp_replace("path", "^file:/*", "/").alias("source_file"),
+            F.posexplode(F.split(F.regexp_replace(text, r"\r?\n$", ""), r"\r?\n")).alias("_line", "_text"),
         )
     )
-    cells = F.from_csv("_line", F.lit(schema), {"sep": sep, "quote": '"', "mode": "PERMISSIVE"})
-    return lines.withColumn("_cells", cells).select(
+    # a line that starts inside quotes continues the row before it: the quotes up to it are odd in number
+    marks = F.length("_text") - F.length(F.replace("_text", F.lit('"'), F.lit("")))
+    before = W.partitionBy("source_file").orderBy("_line").rowsBetween(W.unboundedPreceding, -1)
+    starts = F.coalesce(F.sum(marks).over(before), F.lit(0)) % 2 == 0
+    up_to = W.partitionBy("source_file").orderBy("_line").rowsBetween(W.unboundedPreceding, 0)
+    numbered = lines.withColumn("_starts", starts).withColumn("_row", F.max(F.when(F.col("_starts"), F.col("_line"))).over(up_to))
+    rows = numbered.groupBy("source_file", "_row").agg(
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_line", "_text"))), lambda s: s["_text"]), "\n").alias("_text")
+    )
+    gap = re.escape(sep)
+    pattern = f'(?:^|{gap})(?:"(?:[^"]|"")*"|[^{gap}]*)'
+    found = F.regexp_extract_all("_text", F.lit(pattern), F.lit(0))
+    whole = F.transform(found, lambda c, i: F.when(i == 0, c).otherwise(F.substr(c, F.lit(len(sep) + 1))))
+    cells = F.transform(
+        whole,
+        lambda c: F.when(c.startswith('"'), F.replace(F.substr(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))).otherwise(c),
+    )
+    return rows.select(
         "source_file",
         F.regexp_extract("source_file", r"([^/]+?)(\.[^./]+)?$", 1).alias("source_sheet"),
         (F.col("_row") + 1).cast("int").alias("source_row"),
-        F.array(*[F.col(f"_cells.{n}") for n in names]).alias("cells"),
+        cells.alias("cells"),
     )
 
 

@@ -80,7 +80,7 @@ def test_discovery_reads_real_files(spark, tmp_path):
 
 def _grid(spark, rows):
     df = spark.createDataFrame(rows, "source_file string, source_sheet string, source_row int, cells array<string>")
-    return G.blank_cells_to_null(G.cap_columns(df, 60))
+    return G.blank_cells_to_null(df)
 
 
 def test_sheet_profile_and_cleaning(spark):
@@ -99,7 +99,7 @@ def test_sheet_profile_and_cleaning(spark):
     assert s["empty_column_positions"] == [2] and s["columns"] == 3 and s["header"] == ["A", None, "D"]
     head = s["headerless_columns_with_data"][0]
     assert (head["position"], head["excel_column"], head["suggested_name"]) == (2, "B", "UNKNOWN_02")
-    assert profile["blank"]["rows"] == 0 and profile["wide"]["columns"] == 60
+    assert profile["blank"]["rows"] == 0 and profile["wide"]["columns"] == 70
     cleaned = {
         (r["source_sheet"], r["source_row"]): r["cells"] for r in G.clean_grid(grid, G.profile_sheets(grid)).collect()
     }
@@ -140,10 +140,28 @@ def test_file_without_sheets_is_invalid(spark):
 
 
 def test_grid_reader_keeps_row_numbers(spark, tmp_path):
-    (tmp_path / "SPHI.csv").write_text('h1,h2\n"a,b",\n\n1,2,3\n')
-    rows = SR.read_grid(spark, str(tmp_path), width=3).orderBy("source_row").collect()
-    assert [r["source_row"] for r in rows] == [1, 2, 3, 4]
-    assert rows[1]["cells"][0] == "a,b" and rows[3]["cells"] == ["1", "2", "3"] and rows[0]["source_sheet"] == "SPHI"
+    (tmp_path / "SPHI.csv").write_text('h1,h2\n"a,b",\n\n1,2,3\n"two\nlines","say ""x"""\n' + ",".join(map(str, range(200))) + "\n")
+    rows = SR.read_grid(spark, str(tmp_path)).orderBy("source_row").collect()
+    assert [r["source_row"] for r in rows] == [1, 2, 3, 4, 5, 7]
+    assert rows[1]["cells"] == ["a,b", ""] and rows[2]["cells"] == [""] and rows[3]["cells"] == ["1", "2", "3"]
+    assert rows[4]["cells"] == ["two\nlines", 'say "x"'] and rows[5]["cells"] == [str(i) for i in range(200)]
+    assert rows[0]["source_sheet"] == "SPHI"
+
+
+def test_grid_reader_decodes(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes("Año;é\r\n1;2\r\n".encode("latin-1"))
+    rows = SR.read_grid(spark, str(tmp_path), sep=";", encoding="ISO-8859-1").orderBy("source_row").collect()
+    assert [r["cells"] for r in rows] == [["Año", "é"], ["1", "2"]]
+
+
+def test_sheets_of_any_width(spark):
+    for width in (61, 62, 63, 64, 70, 200):
+        head = [f"h{i}" for i in range(width)]
+        row = ["" if i in (3, width - 2) else "x" for i in range(width)]
+        head[3] = head[width - 2] = ""
+        profile = G.profile_sheets(_grid(spark, [("f", "s", 1, [""] * width), ("f", "s", 2, head), ("f", "s", 3, row)])).collect()[0]
+        assert profile["columns_before_cleanup"] == width and profile["empty_rows_removed"] == 1 and profile["header_row"] == 2
+        assert profile["empty_column_positions"] == [4, width - 1] and len(profile["kept_positions"]) == width - 2
 
 
 # --- rules --------------------------------------------------------------------------------------
