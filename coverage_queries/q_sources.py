@@ -204,20 +204,30 @@ def parquet_source(spark, sf_dir):
     return SR.read_parquet(spark, folder)
 
 
+# The variables of the catalogue that the observations carry, and their attributes as SQL rows.
+_CATALOGUE = [r for r in dim._rows(dim.VARIABLES_TEXT) if r[1] in B.WIDE]
+_UNITS = {r[0]: r for r in dim._rows(dim.UNITS_TEXT)}
+
+
+def _sql_rows() -> str:
+    quoted = lambda v: "NULL" if v is None else "'" + v.replace("'", "''") + "'"
+    base = lambda r: _UNITS[r[4]][3] if r[4] in _UNITS else None
+    return ", ".join(f"({', '.join(map(quoted, (r[1], r[2], r[4], base(r), r[9])))})" for r in _CATALOGUE)
+
+
 @query(
     "src_12_reference_dimensions",
-    f"""WITH {B.LONG_CTE} SELECT variable, count(*) AS n, 34 AS stations, 75 AS variables, 41 AS enabled_variables, 18 AS units,
-    52 AS input_columns, 67 AS canonical_columns FROM long GROUP BY variable""",
+    f"""WITH {B.WIDE_CTE}, found(variable, n) AS ({' UNION ALL '.join(f"SELECT '{r[1]}', count({r[1]}) FROM obs" for r in _CATALOGUE)}),
+    dims(variable, var_group, unit, base_unit, enabled) AS (VALUES {_sql_rows()})
+    SELECT variable, n, var_group, unit, base_unit, enabled = 'true' AS enabled FROM found JOIN dims USING (variable)""",
 )
 def dimensions(spark, sf_dir):
-    counts = {
-        "stations": dim.stations(spark).count(), "variables": dim.variables(spark).count(),
-        "enabled_variables": dim.select_variables(dim.variables(spark), enabled=True).count(),
-        "units": dim.units(spark).count(), "input_columns": contract.input_columns_df(spark).count(),
-        "canonical_columns": contract.canonical_columns_df(spark).count(),
-    }
-    out = B.long(spark, sf_dir).groupBy("variable").agg(F.count(F.lit(1)).alias("n"))
-    return out.withColumns({k: F.lit(v) for k, v in counts.items()})
+    names = [r[1] for r in _CATALOGUE]
+    cells = B.wide(spark, sf_dir).select(*[F.col(c).cast("string").alias(c) for c in names]).unpivot([], names, "variable", "value")
+    found = cells.groupBy("variable").agg(F.count("value").alias("n"))
+    units = dim.units(spark).select(F.col("unit_id").alias("unit"), "base_unit")
+    named = dim.variables(spark).select(F.col("canonical_name").alias("variable"), "var_group", "unit", "enabled")
+    return found.join(named, "variable").join(units, "unit", "left").select("variable", "n", "var_group", "unit", "base_unit", "enabled")
 
 
 # --- sinks --------------------------------------------------------------------------------------

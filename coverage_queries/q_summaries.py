@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from coverage_queries import bindings as B
-from coverage_queries.q_checks import FRAME_RULES, ROW_SQL, _RESULTS_CTE, evaluated
+from coverage_queries.q_checks import FRAME_NULLS, FRAME_RULES, ROW_SQL, _RESULTS_CTE, evaluated
 from coverage_queries.q_grids import _GRID_CTE, _INGEST_STATS, MELTED, _MELT_SQL, rollup
 from coverage_queries.q_time import _step_sql
 from coverage_queries.registry import query
@@ -13,6 +13,7 @@ from obsguard.catalogs import rulebook as R
 from obsguard.operators import canonical as C
 from obsguard.operators import framework as FW
 from obsguard.operators import grid as G
+from obsguard.operators import row_rules as RR
 from obsguard.operators import summary as SM
 from obsguard.operators import temporal as TP
 from obsguard.operators.row_rules import row_checks
@@ -43,6 +44,15 @@ def flagship(spark, sf_dir):
 
 _ALL_RULES = [r for r in FRAME_RULES]
 _FOUND_CTE = _RESULTS_CTE.replace("SELECT event_id, '", "SELECT event_id, user_id, ts, '")
+# The variable of each result: the one a null check looks at, or the one a rule reports.
+_BY_VARIABLE_CTE = _FOUND_CTE
+for _c in FRAME_NULLS:
+    _BY_VARIABLE_CTE = _BY_VARIABLE_CTE.replace(
+        f"'completeness_null_value' AS rule_id, CASE WHEN {_c} IS NULL",
+        f"'completeness_null_value' AS rule_id, '{_c}' AS variable, CASE WHEN {_c} IS NULL",
+    )
+for _r in FRAME_RULES:
+    _BY_VARIABLE_CTE = _BY_VARIABLE_CTE.replace(f"'{_r}' AS rule_id,", f"'{_r}' AS rule_id, '{RR.reported_variable(_r)}' AS variable,")
 _TOTALS = """count(*) AS total_observations, count(*) FILTER (flag = 'PASS') AS passed_observations, count(*) FILTER (flag = 'SUSPECT') AS suspect_observations,
     count(*) FILTER (flag = 'ERROR') AS erroneous_observations, count(*) FILTER (flag = 'MISSING') AS missing_observations,
     count(*) FILTER (flag = 'NOT_CHECKED') AS not_checked_observations,
@@ -57,16 +67,16 @@ def found(spark, sf_dir):
 
 
 def counts(spark, sf_dir):
-    return SM.flag_counts(found(spark, sf_dir), ["station_id", "year", "month", "rule_id"])
+    return SM.flag_counts(found(spark, sf_dir), SM.SUMMARY_KEYS)
 
 
 @query(
     "agg_05_quality_summary",
-    f"""WITH {_FOUND_CTE} SELECT user_id AS station_id, CAST(year(ts) AS INT) AS year, CAST(month(ts) AS INT) AS month, rule_id, {_TOTALS}
+    f"""WITH {_BY_VARIABLE_CTE} SELECT user_id AS station_id, CAST(year(ts) AS INT) AS year, CAST(month(ts) AS INT) AS month, variable, rule_id, {_TOTALS}
     FROM results GROUP BY ALL""",
 )
 def quality_summary(spark, sf_dir):
-    return SM.summary(counts(spark, sf_dir), ["station_id", "year", "month", "rule_id"])
+    return SM.summary(counts(spark, sf_dir), SM.SUMMARY_KEYS)
 
 
 @query(
@@ -247,14 +257,8 @@ def duplicate_groups(spark, sf_dir):
     ),
 )
 def series(spark, sf_dir):
-    df = B.long(spark, sf_dir)
-    parts = [
-        SM.period_means(df, ["station_id", "variable"], "ts", p).select(
-            F.lit(p).alias("resolution"), "station_id", "variable", "period", F.round("mean", 6).alias("mean"), "n"
-        )
-        for p in ("hour", "day", "month")
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    means = SM.rolled_means(B.long(spark, sf_dir), ["station_id", "variable"], "ts", ["hour", "day", "month"])
+    return means.withColumn("mean", F.round("mean", 6))
 
 
 # The import report is the statistics of AGG-02 as a metric table; the others are the tables above.

@@ -473,6 +473,11 @@ def row_rule_ids() -> list[str]:
     return list(_BUILDERS)
 
 
+def reported_variable(rule_id: str) -> str:
+    """The variable a rule's results are reported under; empty for rules on a whole row."""
+    return _BUILDERS[rule_id][1]
+
+
 def row_checks(df: DataFrame, rule_ids: list[str] | None = None, **params) -> list[Check]:
     """Checks for a frame; ``rule_ids`` that are not row-local are left to their own operators."""
     row = _Row(df, {**DEFAULTS, **params})

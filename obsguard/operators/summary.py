@@ -122,6 +122,19 @@ def period_means(long_df: DataFrame, keys: list[str], ts: str, period: str, valu
     )
 
 
+def rolled_means(long_df: DataFrame, keys: list[str], ts: str, periods: list[str], value: str = "value") -> DataFrame:
+    """Means at several resolutions, finest first: sums and counts of the finest are rolled up in one grouping."""
+    x = F.col(value).cast("double")
+    finest = F.date_trunc(periods[0], F.col(ts)).cast("timestamp_ntz")
+    sums = long_df.groupBy(*keys, finest.alias("_at")).agg(F.sum(x).alias("_sum"), F.count(x).alias("_n"))
+    levels = F.array(*[
+        F.struct(F.lit(p).alias("resolution"), F.date_trunc(p, F.col("_at")).cast("timestamp_ntz").alias("period")) for p in periods
+    ])
+    spread = sums.select(*keys, "_sum", "_n", F.explode(levels).alias("_level")).select(*keys, "_sum", "_n", "_level.*")
+    rolled = spread.groupBy("resolution", *keys, "period").agg((F.sum("_sum") / F.sum("_n")).alias("mean"), F.sum("_n").alias("n"))
+    return rolled.select("resolution", *keys, "period", "mean", "n")
+
+
 def monthly_climatology(long_df: DataFrame, keys: list[str], ts: str, value: str = "value") -> DataFrame:
     x = F.col(value).cast("double")
     return long_df.groupBy(*keys, F.month(ts).alias("month")).agg(
