@@ -30,8 +30,12 @@ def squeeze(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, r"(?U)\s+", " "))
 
 
+#: The characters with Unicode's white-space property.
+WHITE_SPACE = "\t\n\x0b\f\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def blank_to_null(c: Column) -> Column:
-    return F.when(~c.rlike(r"(?U)^\s*$"), c)
+    return F.when(F.btrim(c, F.lit(WHITE_SPACE)) != "", c)
 
 
 def nfkc_array(texts: Column) -> Column:
