@@ -196,24 +196,37 @@ def group_size(spark, sf_dir):
 
 
 def located(spark, sf_dir):
-    zones = B.stations(spark, sf_dir).select("user_id", "timezone")
-    df = B.table(spark, sf_dir, "events").select("event_id", "user_id", "ts").join(zones, "user_id")
-    return df.withColumn("local_ts", S.local_time(F.col("ts"), F.col("timezone"))).select(
-        F.col("user_id").alias("station_id"), "local_ts"
-    )
+    """Events as reports: four in five on the hour, one in eleven special; zones of half of the stations are known."""
+    df = B.table(spark, sf_dir, "events").selectExpr("user_id AS station_id", f"{_REPORT_TIME} AS ts", f"{_REPORT_TYPE} AS report_type")
+    zoned = TP.with_station_zone(df, zoned_stations(spark, sf_dir))
+    return zoned.withColumn("local_ts", S.local_time(F.col("ts"), F.col("timezone")))
+
+
+def zoned_stations(spark, sf_dir):
+    return B.stations(spark, sf_dir).selectExpr("user_id AS station_id", "CASE WHEN user_id % 2 = 0 THEN timezone END AS timezone")
+
+
+def expected(spark, sf_dir):
+    return TP.expected_grid(zoned_stations(spark, sf_dir), *PERIOD)
+
+
+def received(spark, sf_dir):
+    return TP.received_hours(located(spark, sf_dir), report_type="report_type")
 
 
-_GRID_CTE = f"""{B.STATION_CTE}, loc AS (SELECT e.user_id AS station_id, e.ts AT TIME ZONE 'UTC' AT TIME ZONE s.timezone AS t FROM events e JOIN stations s ON e.user_id = s.user_id),
-  got AS (SELECT DISTINCT station_id, CAST(t AS DATE) AS local_date, CAST(hour(t) AS INT) AS local_hour FROM loc),
-  span AS (SELECT station_id, CAST(min(t) AS DATE) AS a, CAST(max(t) AS DATE) AS b FROM loc GROUP BY station_id),
-  days AS (SELECT station_id, CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS local_date FROM span),
+PERIOD = ("2024-01-03", "2024-01-16")
+_REPORT_TIME = "CASE WHEN event_id % 5 > 0 THEN date_trunc('hour', ts) ELSE ts END"
+_REPORT_TYPE = "CASE WHEN event_id % 11 = 0 THEN 'SPECI' ELSE 'METAR' END"
+_GRID_CTE = f"""{B.STATION_CTE}, loc AS (SELECT e.user_id AS station_id, {_REPORT_TIME} AT TIME ZONE 'UTC' AT TIME ZONE
+    coalesce(CASE WHEN s.user_id % 2 = 0 THEN s.timezone END, 'America/Lima') AS t, {_REPORT_TYPE} AS report_type FROM events e LEFT JOIN stations s ON e.user_id = s.user_id),
+  got AS (SELECT DISTINCT station_id, CAST(t AS DATE) AS local_date, CAST(hour(t) AS INT) AS local_hour FROM loc WHERE minute(t) = 0 AND report_type = 'METAR'),
+  days AS (SELECT user_id AS station_id, CAST(unnest(generate_series(DATE '{PERIOD[0]}', DATE '{PERIOD[1]}', INTERVAL 1 DAY)) AS DATE) AS local_date FROM stations),
   grid AS (SELECT station_id, local_date, CAST(unnest(generate_series(6, 19)) AS INT) AS local_hour FROM days),
   gaps AS (SELECT * FROM grid ANTI JOIN got USING (station_id, local_date, local_hour))"""
 
 
 def _missing(spark, sf_dir):
-    obs = located(spark, sf_dir)
-    return TP.missing_hours(TP.expected_grid(obs), TP.received_hours(obs))
+    return TP.missing_hours(expected(spark, sf_dir), received(spark, sf_dir))
 
 
 register(
@@ -232,8 +245,7 @@ _RUNS_SQL = f"""WITH {_GRID_CTE}, n AS (SELECT *, date_diff('day', DATE '1970-01
 
 
 def missing_runs(spark, sf_dir):
-    obs = located(spark, sf_dir)
-    runs = TP.missing_runs(TP.expected_grid(obs), TP.received_hours(obs))
+    runs = TP.missing_runs(expected(spark, sf_dir), received(spark, sf_dir))
 
     def slot(d, h):
         return F.unix_date(d).cast("bigint") * 14 + F.col(h) - 6
@@ -254,8 +266,7 @@ register("rule_completeness_consecutive_missing", missing_runs, _RUNS_SQL)
     round(count(r.local_hour) * 100.0 / count(*), 2) AS completeness_pct FROM grid g LEFT JOIN got r USING (station_id, local_date, local_hour) GROUP BY ALL""",
 )
 def daily_completeness(spark, sf_dir):
-    obs = located(spark, sf_dir)
-    return TP.completeness(TP.expected_grid(obs), TP.received_hours(obs))
+    return TP.completeness(expected(spark, sf_dir), received(spark, sf_dir))
 
 
 # --- rules along one station's time -------------------------------------------------------------

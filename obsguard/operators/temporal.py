@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from obsguard.functions import scalars as S
 from obsguard.operators.framework import flag_when
 from obsguard.operators.frames import SLICE_DAYS, over_ordered_groups
+from obsguard.operators.joins import one_row_each
 
 Stage = Callable[[WindowSpec], dict[str, Column]]
 
@@ -248,31 +249,40 @@ FALLBACK_ZONE = "America/Lima"
 
 
 def expected_grid(
-    observations: DataFrame, station: str = "station_id", local_ts: str = "local_ts",
+    stations: DataFrame, first_day: str, last_day: str, station: str = "station_id",
     first_hour: int = FIRST_HOUR, last_hour: int = LAST_HOUR,
 ) -> DataFrame:
-    """(station, local_date, local_hour) for every expected hour between a station's first and last day."""
-    span = (
-        observations.filter(F.col(station).isNotNull() & F.col(local_ts).isNotNull())
-        .groupBy(station)
-        .agg(F.to_date(F.min(local_ts)).alias("_from"), F.to_date(F.max(local_ts)).alias("_to"))
-    )
+    """(station, local_date, local_hour) for every expected hour of the period, for every station of the
+    catalogue: a silent station is expected too, and a wrong date of a report stretches nothing."""
+    days = F.sequence(F.lit(first_day).cast("date"), F.lit(last_day).cast("date"), F.expr("interval 1 day"))
     return (
-        span.select(station, F.explode(F.sequence("_from", "_to", F.expr("interval 1 day"))).alias("local_date"))
-        .select(station, F.to_date("local_date").alias("local_date"),
-                F.explode(F.sequence(F.lit(first_hour), F.lit(last_hour))).alias("local_hour"))
+        stations.filter(F.col(station).isNotNull()).select(station).distinct()
+        .select(station, F.explode(days).alias("local_date"))
+        .select(station, "local_date", F.explode(F.sequence(F.lit(first_hour), F.lit(last_hour))).alias("local_hour"))
     )
 
 
+def with_station_zone(
+    observations: DataFrame, stations: DataFrame, station: str = "station_id", zone: str = "timezone"
+) -> DataFrame:
+    """Add the station's zone; an unknown station, or one without a zone, gets the fallback zone."""
+    known = one_row_each(stations.select(F.col(station).alias("_of"), F.col(zone).alias("_zone")), ["_of"])
+    joined = observations.join(known, F.col(station) == F.col("_of"), "left")
+    return joined.withColumn(zone, F.coalesce("_zone", F.lit(FALLBACK_ZONE))).drop("_of", "_zone")
+
+
 def received_hours(
     observations: DataFrame, station: str = "station_id", local_ts: str = "local_ts",
     report_type: str | None = None,
 ) -> DataFrame:
-    """Distinct (station, local_date, local_hour) received; SPECI reports are additional, not expected."""
-    obs = observations
+    """Distinct (station, local_date, local_hour) received on the hour.
+
+    Only reports of minute 0 count; SPECI and other special reports are additional, as are those of
+    unknown type where a type is given.
+    """
+    obs = observations.filter(F.minute(local_ts) == 0)
     if report_type is not None:
-        counted = ["LOCAL_OBSERVATION", "HISTORICAL_OBSERVATION", "METAR"]
-        obs = obs.filter(F.col(report_type).isin(counted) | F.col(report_type).isNull())
+        obs = obs.filter(F.col(report_type).isin("LOCAL_OBSERVATION", "HISTORICAL_OBSERVATION", "METAR"))
     return obs.select(
         station, F.to_date(local_ts).alias("local_date"), F.hour(local_ts).alias("local_hour")
     ).distinct()

@@ -233,13 +233,20 @@ def test_time_series_cases(spark):
 
 def test_missing_hours_and_runs(spark):
     hours = [h for h in range(6, 20) if h not in (9, 12, 13)]
-    df = spark.createDataFrame([("s", f"2024-01-01 {h:02d}:00:00") for h in hours], "station_id string, t string")
-    obs = df.select("station_id", F.col("t").cast("timestamp_ntz").alias("local_ts"))
-    grid, got = TP.expected_grid(obs), TP.received_hours(obs)
-    day = TP.completeness(grid, got).first()
+    rows = [("s", f"2024-01-01 {h:02d}:00:00", "METAR") for h in hours]
+    rows += [("s", "2024-01-01 09:47:00", "METAR"), ("s", "2024-01-01 12:00:00", "SPECI"), ("s", "1900-01-01 08:00:00", None)]
+    df = spark.createDataFrame(rows, "station_id string, t string, kind string")
+    obs = df.select("station_id", F.col("t").cast("timestamp_ntz").alias("local_ts"), "kind")
+    stations = spark.createDataFrame([("s", "UTC"), ("silent", None)], "station_id string, timezone string")
+    grid, got = TP.expected_grid(stations, "2024-01-01", "2024-01-01"), TP.received_hours(obs, report_type="kind")
+    days = {r["station_id"]: r for r in TP.completeness(grid, got).collect()}
+    day = days["s"]
     assert (day["expected"], day["received"], day["missing"], day["completeness_pct"]) == (14, 11, 3, 78.57)
-    run = TP.missing_runs(grid, got).collect()
+    assert days["silent"]["received"] == 0
+    run = TP.missing_runs(grid, got).filter("station_id = 's'").collect()
     assert [(r["missing_count"], r["first_hour"], r["last_hour"]) for r in run] == [(2, 12, 13)]
+    zoned = TP.with_station_zone(spark.createDataFrame([("s",), ("silent",), ("x",)], "station_id string"), stations)
+    assert {r[0]: r[1] for r in zoned.collect()} == {"s": "UTC", "silent": "America/Lima", "x": "America/Lima"}
 
 
 # --- catalogs, canonical, sinks -----------------------------------------------------------------
