@@ -35,8 +35,6 @@ SIDE = (LENGTH - GRAM) // 2
 #: Texts are hashed in segments of at most this many bytes that overlap by LENGTH - 1.
 SEGMENT = 4 << 20
 PLACE_BITS = np.uint64(23)
-#: Up to so many documents, lists of open windows are broadcast to the texts; beyond, joined by id.
-BROADCAST_DOCUMENTS = 50_000
 
 RUNS = "kind int, anchor long, run long, sides long, doc long, start long, off int, n int"
 FOUND = "kind int, anchor long, sides long, doc long, start long, off int, n int"
@@ -304,8 +302,7 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
     shared = sides.groupBy("anchor", "side", "id").agg(F.count("*").alias("k")).where("k > 1").drop("k")
     still = sides.join(shared, ["anchor", "side", "id"]).groupBy("doc").agg(F.collect_list(F.struct("first", "last")).alias("open"))
     still = stored(still, "open-windows")
-    side = F.broadcast(still) if still.count() <= BROADCAST_DOCUMENTS else still
-    windows = documents.join(side, "doc").select("doc", "text", "open").mapInArrow(open_windows, "kind int, a long, b long, doc long, start long")
+    windows = documents.join(still, "doc").select("doc", "text", "open").mapInArrow(open_windows, "kind int, a long, b long, doc long, start long")
     windows = windows.repartition("a").sortWithinPartitions("kind", "a", "b", "doc", "start")
     return spans.unionByName(windows.mapInArrow(repeated_windows, "doc long, start long, n long"))
 
@@ -320,7 +317,10 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
     Other columns are not read; an empty table gives no rows.
     """
     rows = documents.select(F.col("doc_id").cast("long").alias("doc"), "text")
-    spans = repeated_spans(rows.where("doc is not null"))
-    lists = spans.groupBy("doc").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
-    joined = rows.join(lists, "doc", "left").select(F.col("doc").alias("doc_id"), "text", "spans")
-    return joined.mapInArrow(digests, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    named = rows.where("doc is not null")
+    lists = repeated_spans(named).groupBy("doc").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
+    # the texts meet their spans in the same exchange by id in which they met their open windows
+    joined = named.join(lists, "doc", "left").select(F.col("doc").alias("doc_id"), "text", "spans")
+    nameless = rows.where("doc is null").select(F.col("doc").alias("doc_id"), "text", F.lit(None).cast(joined.schema["spans"].dataType).alias("spans"))
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    return joined.mapInArrow(digests, schema).unionByName(nameless.mapInArrow(digests, schema))
