@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +41,23 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_kept: dict = {}
+
+
+def kept_in_worker(key: tuple, build: Callable[[], object]) -> object:
+    """What ``build`` makes, kept in this Python worker from task to task; one thing at a time, so that
+    the operators of a pipeline, which share workers, do not add up their caches."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = build()
+    return _kept[key]
+
+
+def free_worker() -> None:
+    """Let go of what another operator kept in this worker."""
+    _kept.clear()
+
+
 def remainder(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 4
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obsguard.llm.common import mix64, stored, text_chunks
+from obsguard.llm.common import free_worker, mix64, stored, text_chunks
 from obsguard.llm.graph import components
 from obsguard.llm.shingles import shingle_sets
 
@@ -34,6 +34,9 @@ VERIFY, MOST_SHARED = 20.0, 6
 #: Up to so many document ids (8 bytes each) are broadcast to pick texts; beyond, texts are joined by id.
 BROADCAST_IDS = 400_000
 
+#: Bytes of text hashed at once; the arrays take some fifty times as much.
+CHUNK = 1 << 20
+
 INDEX = "token long, node long, n int, l int, heavy int, hub boolean"
 
 
@@ -57,8 +60,9 @@ def shingled(documents: DataFrame, width: int) -> DataFrame:
     """(doc_id, node, n, tokens): the name and size of each row's set, and its first tokens."""
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_worker()
         for batch in batches:
-            for part in text_chunks(batch):
+            for part in text_chunks(batch, CHUNK):
                 texts = [(t or "").encode("utf-8", "replace") for t in part.column("text").to_pylist()]
                 sets = shingle_sets(texts, width)
                 yield pa.RecordBatch.from_arrays(
@@ -78,8 +82,9 @@ def whole_sets(documents: DataFrame, wanted: DataFrame, width: int) -> DataFrame
     """(node, n, tokens) of the stored ``wanted`` (doc_id, node), read from the texts again."""
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_worker()
         for batch in batches:
-            for part in text_chunks(batch):
+            for part in text_chunks(batch, CHUNK):
                 texts = [(t or "").encode("utf-8", "replace") for t in part.column("text").to_pylist()]
                 sets = shingle_sets(texts, width)
                 asked = part.column("node").to_pylist()

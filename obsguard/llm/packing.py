@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from obsguard.llm.common import stored, text_chunks
+from obsguard.llm.common import kept_in_worker, stored, text_chunks
 
 SEQUENCE = 2048
 END_ID = 1
@@ -44,7 +44,7 @@ class WordIds:
     when it grows past ``most`` words.
     """
 
-    def __init__(self, path: str, most: int = 1_500_000) -> None:
+    def __init__(self, path: str, most: int = 1_000_000) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -91,14 +91,8 @@ class WordIds:
         return out
 
 
-#: One vocabulary for each worker process, by path: workers live on from task to task.
-_vocabularies: dict[str, WordIds] = {}
-
-
 def word_ids(path: str) -> WordIds:
-    if path not in _vocabularies:
-        _vocabularies[path] = WordIds(path)
-    return _vocabularies[path]
+    return kept_in_worker(("words", path), lambda: WordIds(path))
 
 
 def cut_pieces(documents: DataFrame, tokenizer: str, sequence: int = SEQUENCE) -> DataFrame:

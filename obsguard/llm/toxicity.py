@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obsguard.llm.common import held_out, learnable, stored
+from obsguard.llm.common import held_out, kept_in_worker, learnable, stored
 
 #: Cut between words, the same for Spark and Python.
 BREAK = r"[\s!-/:-@\[-`{-~]+"
@@ -36,7 +36,7 @@ TOXIC_ENTRIES, ORDINARY_ENTRIES = 1_000, 2_500
 LEAST_GAIN, LEAST_RATIO = 10.0, 4.0
 THRESHOLD = 0.3
 NOTHING = -99
-CACHED_WINDOWS = 1_000_000
+CACHED_WINDOWS = 300_000
 
 _break = re.compile(BREAK)
 
@@ -65,11 +65,8 @@ class CompressionModel:
     steps: list[tuple[int, float]] = field(default_factory=list)
 
     def margins(self) -> Margins:
-        key = (tuple(self.toxic), tuple(self.ordinary), self.longest)
-        if _open.get("key") != key:
-            _open.clear()
-            _open.update(key=key, margins=Margins(self))
-        return _open["margins"]
+        key = ("margins", tuple(self.toxic), tuple(self.ordinary), self.longest)
+        return kept_in_worker(key, lambda: Margins(self))
 
     def probability(self, margins: np.ndarray) -> np.ndarray:
         if not self.steps:
@@ -78,9 +75,6 @@ class CompressionModel:
         return np.array([p for _, p in self.steps])[np.maximum(at, 0)]
 
 
-_open: dict = {}
-
-
 class Margins(dict):
     """Margin by word; kept for the worker's life, emptied when it grows too large."""
 
