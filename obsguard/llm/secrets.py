@@ -2,8 +2,9 @@
 
 A long run of token characters that a byte-pair vocabulary cuts into many pieces per character is
 random text: words and identifiers come out at several characters a token, random strings at little
-more than one. Known digests (hex of a digest's length), UUIDs, numbers, plain words and
-identifiers made of words are set aside first.
+more than one. Known digests (hex of a digest's length) and UUIDs are set aside, and so are runs
+whose parts between separators are words by the same vocabulary. Both the whole run and its long
+parts are judged, so a random string at the end of a path is found too.
 """
 
 from __future__ import annotations
@@ -29,12 +30,19 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 RUN = re.compile(r"(?<![A-Za-z0-9+/_=.-])[A-Za-z0-9+/_=.-]{16,}")
 #: Lengths in hex digits of md5, sha1, sha224, sha256, sha384 and sha512.
 DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)
-UUID = re.compile(r"[0-9A-Fa-f]{8}-(?:[0-9A-Fa-f]{4}-){3}[0-9A-Fa-f]{12}")
-PART = re.compile(r"[A-Za-z]+|[0-9]+|[^A-Za-z0-9]+")
+UUID = r"[0-9A-Fa-f]{8}-(?:[0-9A-Fa-f]{4}-){3}[0-9A-Fa-f]{12}"
+DIGEST = "|".join(f"[0-9a-f]{{{n}}}|[0-9A-F]{{{n}}}" for n in DIGEST_LENGTHS)
+KNOWN = re.compile(rf"(?<![A-Za-z0-9])(?:{UUID}|{DIGEST})(?![A-Za-z0-9])")
+PART = re.compile(r"[A-Za-z0-9]+")
+ENDS = "+/_.=-"
 
 #: At or below this many characters a token, a run is random.
 RATIO = 2.0
-LEAST_LENGTH = 20
+LEAST_LENGTH = 16
+#: A shorter part that is no token of its own is neither a word nor a random string.
+LEAST_PART = 4
+#: Digits of a date or a counter; longer numbers are judged by the vocabulary, those of 16 digits are hex findings.
+DATE_DIGITS = 8
 
 
 def load_encoding(path: str) -> tiktoken.Encoding:
@@ -44,17 +52,47 @@ def load_encoding(path: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("runs", pat_str=r"\S+|\s+", mergeable_ranks=ranks, special_tokens={})
 
 
-def known_string(run: str) -> bool:
-    """Digests, UUIDs, numbers, plain words and identifiers: long, yet no secrets."""
-    if UUID.fullmatch(run) or (len(run) in DIGEST_LENGTHS and re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", run)):
-        return True
-    letters = sum(c.isalpha() for c in run)
-    digits = sum(c.isdigit() for c in run)
-    if not letters or not digits:
-        return True  # numbers, dates, rules of dashes; words, paths and identifiers without a digit
-    # an identifier is made of words with a few numbers between: few changes of kind for its length
-    changes = len(PART.findall(run)) - 1
-    return changes <= 3 or changes * 6 <= len(run)
+def is_random(run: str, encoding: tiktoken.Encoding, ratio: float) -> bool:
+    return len(run) <= ratio * len(encoding.encode_ordinary(run))
+
+
+def made_of_words(run: str, encoding: tiktoken.Encoding, ratio: float) -> bool:
+    """Whether all parts of ``run`` are words by the vocabulary: single or long tokens, or dates."""
+    words = unclear = 0
+    for part in PART.findall(run):
+        tokens = len(encoding.encode_ordinary(part))
+        if tokens == 1 or len(part) > ratio * tokens or (part.isdigit() and len(part) <= DATE_DIGITS):
+            words += len(part)
+        elif len(part) >= LEAST_PART:
+            return False
+        else:
+            unclear += len(part)
+    return words >= unclear
+
+
+def random_spans(run: str, encoding: tiktoken.Encoding, ratio: float) -> list[tuple[int, int]]:
+    """(start, end) of the random strings in ``run``: what lies between digests and UUIDs, or long parts of it."""
+    out, at = [], 0
+    for a, b in [*(m.span() for m in KNOWN.finditer(run)), (len(run), len(run))]:
+        stretch = run[at:a].rstrip(".=-_")
+        if len(stretch) >= LEAST_LENGTH:
+            if is_random(stretch, encoding, ratio) and not made_of_words(stretch, encoding, ratio):
+                out.append((at, at + len(run[at:a].rstrip(".-_"))))
+            else:
+                parts = (m.span() for m in PART.finditer(stretch) if len(m[0]) >= LEAST_LENGTH)
+                out += [(at + x, at + y) for x, y in parts if is_random(stretch[x:y], encoding, ratio)]
+        at = b
+    return out
+
+
+def uncovered(a: int, b: int, covers: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """What of a..b lies in none of ``covers`` (start, kind, end)."""
+    for start, _, end in sorted(c for c in covers if c[0] < b and a < c[2]):
+        if a < start:
+            yield a, start
+        a = max(a, end)
+    if a < b:
+        yield a, b
 
 
 def find_spans(text: str, encoding: tiktoken.Encoding, ratio: float = RATIO) -> list[tuple[int, str, int]]:
@@ -68,12 +106,17 @@ def find_spans(text: str, encoding: tiktoken.Encoding, ratio: float = RATIO) ->
         run, at = m[0], m.start()
         found += [(at + a.start(), 1, at + a.end()) for a in ACCESS.finditer(run) if len(a[0]) >= 18]
         found += [(at + h.start(), 2, at + h.end()) for h in HEX.finditer(run)]
-        core = run.rstrip(".=-_")
-        if len(core) >= LEAST_LENGTH and not known_string(core):
-            if len(core) <= ratio * len(encoding.encode_ordinary(core)):
-                odd.append((at, 3, at + len(run.rstrip(".-_"))))
+        odd += [(at + a, at + b) for a, b in random_spans(run, encoding, ratio)]
     base = list(found)
-    found += [s for s in odd if not any(b[0] < s[2] and s[0] < b[2] for b in base)]
+    for a, b in odd:
+        for x, y in uncovered(a, b, base):
+            if (x, y) == (a, b):
+                found.append((x, 3, y))
+                continue
+            rest = text[x:y].strip(ENDS)
+            if rest and not made_of_words(rest, encoding, ratio):
+                x += text[x:y].index(rest)
+                found.append((x, 3, x + len(rest)))
     return [(a, KINDS[k], b) for a, k, b in sorted(found)]
 
 
