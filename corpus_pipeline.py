@@ -16,6 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from obsguard.llm import jaccard, mixing, packing, secrets, toxicity
 from obsguard.llm.common import stored, table
 
+#: Near copies share 80 % of their five-word shingles; op4's own contract is narrower.
+NEAR_WIDTH, NEAR_SHARE = 5, 80
+
 #: Weights of the mix, and its tokens against the input's: plain documents are repeated rather than left out.
 MIX = {"plain": 0.93, "poor": 0.05, "toxic": 0.02}
 MIX_TOTAL = 1.1
@@ -28,7 +31,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return jaccard.keep_one_of_each(docs)
+    return jaccard.keep_one_of_each(docs, NEAR_WIDTH, NEAR_SHARE)
 
 
 def replace_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,8 +1,8 @@
 """Exact n-gram Jaccard join with adaptive multi-match prefixes.
 
 Documents with equal shingle sets form a class; classes are linked when 100 * intersection reaches
-85 * union. A class's tokens are ordered by hash, tokens held by more than ``HEAVY`` prefixes last.
-Two linked classes share at least l tokens of their l-prefixes (the n - ceil(0.85 n) + l first
+share * union. A class's tokens are ordered by hash, tokens held by more than ``HEAVY`` prefixes last.
+Two linked classes share at least l tokens of their l-prefixes (the n - ceil(share n / 100) + l first
 tokens), so each class picks the l for which index touches plus expected verifications cost least,
 and a pair is verified when it shares as many prefix tokens as the smaller l of the two asks.
 
@@ -26,6 +26,7 @@ from obsguard.llm.common import free_worker, mix64, stored, text_chunks
 from obsguard.llm.graph import components
 from obsguard.llm.shingles import shingle_sets
 
+#: Words a shingle and least similarity in percent of op4's contract.
 WIDTH, SHARE = 4, 85
 #: A token in more prefixes than this is ordered last.
 HEAVY = 16
@@ -40,13 +41,13 @@ CHUNK = 1 << 20
 INDEX = "token long, node long, n int, l int, heavy int, hub boolean"
 
 
-def least_overlap(n: np.ndarray | int) -> np.ndarray | int:
-    return -(-SHARE * n // 100)
+def least_overlap(n: np.ndarray | int, share: int) -> np.ndarray | int:
+    return -(-share * n // 100)
 
 
-def listed(n: int) -> int:
+def listed(n: int, share: int) -> int:
     """How many first tokens of a set of n are listed: a 1-prefix and some to lengthen it by."""
-    return min(n, n - int(least_overlap(n)) + 5 + n // 20)
+    return min(n, n - int(least_overlap(n, share)) + 5 + n // 20)
 
 
 def set_node(tokens: np.ndarray) -> int:
@@ -56,7 +57,7 @@ def set_node(tokens: np.ndarray) -> int:
     return int(mix64(ends).view(np.int64)[0])
 
 
-def shingled(documents: DataFrame, width: int) -> DataFrame:
+def shingled(documents: DataFrame, width: int, share: int) -> DataFrame:
     """(doc_id, node, n, tokens): the name and size of each row's set, and its first tokens."""
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -69,7 +70,7 @@ def shingled(documents: DataFrame, width: int) -> DataFrame:
                     [
                         part.column("doc_id"), pa.array([set_node(s) if len(s) else 0 for s in sets], pa.int64()),
                         pa.array([len(s) for s in sets], pa.int32()),
-                        pa.array([s[: listed(len(s))].view(np.int64) for s in sets], pa.list_(pa.int64())),
+                        pa.array([s[: listed(len(s), share)].view(np.int64) for s in sets], pa.list_(pa.int64())),
                     ],
                     names=["doc_id", "node", "n", "tokens"],
                 )
@@ -102,7 +103,7 @@ def whole_sets(documents: DataFrame, wanted: DataFrame, width: int) -> DataFrame
     return rows.select("node", "text").mapInArrow(apply, "node long, n int, tokens array<long>").dropDuplicates(["node"])
 
 
-def indexed(lists: DataFrame, counts: DataFrame) -> DataFrame:
+def indexed(lists: DataFrame, counts: DataFrame, share: int) -> DataFrame:
     """Index rows of ``lists`` (node, n, tokens) under ``counts`` (token, df of at least 2).
 
     Rows with hub false are prefix tokens with the class's l. A class whose listed tokens hold too few
@@ -123,7 +124,7 @@ def indexed(lists: DataFrame, counts: DataFrame) -> DataFrame:
                 token = [h["token"] for h in row["hits"]]
                 df = np.array([h["df"] for h in row["hits"]], float)
                 is_heavy = df > HEAVY
-                heavy, first = int(is_heavy.sum()), n - int(least_overlap(n)) + 1
+                heavy, first = int(is_heavy.sum()), n - int(least_overlap(n, share)) + 1
                 rank = pos - (np.cumsum(is_heavy) - is_heavy)  # place among the light tokens
                 if m - heavy < first:
                     out += [(token[i], row["node"], n, 1, heavy, False) for i in np.flatnonzero(~is_heavy)]
@@ -146,44 +147,44 @@ def indexed(lists: DataFrame, counts: DataFrame) -> DataFrame:
     return hits.mapInArrow(choose, INDEX)
 
 
-def sizes_allow(a: str, b: str) -> str:
-    return f"100 * least({a}, {b}) >= {SHARE} * greatest({a}, {b})"
+def sizes_allow(a: str, b: str, share: int) -> str:
+    return f"100 * least({a}, {b}) >= {share} * greatest({a}, {b})"
 
 
-def sharing_pairs(left: DataFrame, right: DataFrame, same: bool) -> DataFrame:
+def sharing_pairs(left: DataFrame, right: DataFrame, same: bool, share: int) -> DataFrame:
     """Pairs (a, b) whose index rows share enough tokens; ``same``: both sides are one index."""
     x = left.select("token", F.col("node").alias("a"), F.col("n").alias("na"), F.col("l").alias("la"))
     y = right.select("token", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("l").alias("lb"))
-    met = x.join(y, "token").where(sizes_allow("na", "nb")).where("a < b" if same else "a <> b")
+    met = x.join(y, "token").where(sizes_allow("na", "nb", share)).where("a < b" if same else "a <> b")
     enough = met.groupBy("a", "b").agg(F.count("*").alias("shared"), F.min(F.least("la", "lb")).alias("asked")).where("shared >= asked")
     return enough.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
     """The links among ``pairs``: exact intersections of whole sets."""
     x = pairs.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a")
     both = x.join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b")
     common = F.size(F.array_intersect("x", "y"))
-    return both.where(100 * common >= SHARE * (F.size("x") + F.size("y") - common)).select("a", "b")
+    return both.where(100 * common >= share * (F.size("x") + F.size("y") - common)).select("a", "b")
 
 
 def counted(lists: DataFrame) -> DataFrame:
     return lists.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
 
 
-def jaccard_components(documents: DataFrame, width: int = WIDTH) -> DataFrame:
-    """doc_id, n_shingles, component_id for every row of ``documents``.
+def jaccard_components(documents: DataFrame, width: int = WIDTH, share: int = SHARE) -> DataFrame:
+    """doc_id, n_shingles, component_id for every row of ``documents``; shingles of ``width`` words, links from ``share`` percent.
 
     A null or empty text has no shingles and is linked with nothing; rows with a null doc_id are
     returned with component_id null and link nothing. Rows that share a doc_id are documents each, with
     one id. Other columns are not read; an empty table gives no rows.
     """
-    rows = stored(shingled(documents, width), "shingles")
+    rows = stored(shingled(documents, width, share), "shingles")
     real = rows.where("doc_id is not null and n > 0")
     classes = stored(real.groupBy("node").agg(F.min("doc_id").alias("doc_id")), "classes")
     lists = real.join(classes, ["node", "doc_id"], "left_semi").select("node", "n", "tokens")
     counts = stored(counted(lists), "token-counts")
-    index = stored(indexed(lists, counts), "index")
+    index = stored(indexed(lists, counts, share), "index")
     unresolved = index.where("hub").select("node").distinct()
     whole = stored(whole_sets(documents, stored(unresolved.join(classes, "node").select("doc_id", "node"), "unresolved"), width), "whole")
 
@@ -191,21 +192,21 @@ def jaccard_components(documents: DataFrame, width: int = WIDTH) -> DataFrame:
     heavy = counts.where(F.col("df") > HEAVY).select("token")
     # unresolved classes against the others: a 1-prefix of tokens that the others may list as light
     first = whole.select("node", "n", F.posexplode("tokens").alias("pos", "token")).join(heavy, "token", "left_anti")
-    met = sharing_pairs(first.withColumn("l", F.lit(1)), light, False).unionByName(sharing_pairs(light, light, True))
+    met = sharing_pairs(first.withColumn("l", F.lit(1)), light, False, share).unionByName(sharing_pairs(light, light, True, share))
     # unresolved classes against each other, counted anew over their whole sets
-    inner = stored(indexed(whole, counted(whole)), "inner-index")
-    met = met.unionByName(sharing_pairs(inner.where("not hub"), inner.where("not hub"), True))
+    inner = stored(indexed(whole, counted(whole), share), "inner-index")
+    met = met.unionByName(sharing_pairs(inner.where("not hub"), inner.where("not hub"), True, share))
     hubs = inner.where("hub")
     hub_of = hubs.groupBy("token").agg(F.max_by(F.struct("node", "n"), F.struct(F.col("heavy") / F.col("n"), "node")).alias("_hub"))
     star = hubs.join(hub_of, "token").select(F.col("node"), "n", F.col("_hub.node").alias("h"), F.col("_hub.n").alias("hn"))
-    star = star.where("node <> h").where(sizes_allow("n", "hn")).select(F.least("node", "h").alias("a"), F.greatest("node", "h").alias("b"))
+    star = star.where("node <> h").where(sizes_allow("n", "hn", share)).select(F.least("node", "h").alias("a"), F.greatest("node", "h").alias("b"))
     pairs = stored(met.unionByName(star).distinct(), "pairs")
 
     asked = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     missing = asked.join(whole, "node", "left_anti").join(classes, "node").select("doc_id", "node")
     sets = whole_sets(documents, stored(missing, "asked"), width)
     sets = stored(sets.unionByName(whole), "sets")
-    links = stored(verified(pairs, sets), "links")
+    links = stored(verified(pairs, sets, share), "links")
     root = stored(components(links), "roots")
 
     group = hubs.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -216,10 +217,10 @@ def jaccard_components(documents: DataFrame, width: int = WIDTH) -> DataFrame:
     )
     other = group.select("token", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("heavy").alias("hb"), F.col("root").alias("rb"))
     # such a pair has only heavy tokens in common, so at most the fewer heavy tokens of the two
-    possible = f"100 * least(ha, hb) >= {SHARE} * (na + nb - least(ha, hb))"
-    late = outside.join(other, "token").where("ra <> rb and " + possible).where(sizes_allow("na", "nb"))
+    possible = f"100 * least(ha, hb) >= {share} * (na + nb - least(ha, hb))"
+    late = outside.join(other, "token").where("ra <> rb and " + possible).where(sizes_allow("na", "nb", share))
     late = late.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = stored(verified(late.join(pairs, ["a", "b"], "left_anti"), whole), "late-links")
+    more = stored(verified(late.join(pairs, ["a", "b"], "left_anti"), whole, share), "late-links")
     if not more.isEmpty():
         root = stored(components(links.unionByName(more)), "roots")
 
@@ -232,12 +233,12 @@ def jaccard_components(documents: DataFrame, width: int = WIDTH) -> DataFrame:
     return found.select("doc_id", F.col("n").cast("long").alias("n_shingles"), alone.alias("component_id"))
 
 
-def keep_one_of_each(documents: DataFrame, width: int = WIDTH) -> DataFrame:
+def keep_one_of_each(documents: DataFrame, width: int = WIDTH, share: int = SHARE) -> DataFrame:
     """``documents`` without the rows whose component has a smaller doc_id; all columns stay.
 
     Rows with a null doc_id and rows without shingles stay; of equal rows with one doc_id one stays.
     """
-    found = stored(jaccard_components(documents, width), "components")
+    found = stored(jaccard_components(documents, width, share), "components")
     gone = stored(found.where("doc_id <> component_id").select("doc_id").distinct(), "near-copies")
     kept = documents.join(F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone, "doc_id", "left_anti")
     again = stored(found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("k")).where("k > 1").select("doc_id"), "repeated-ids")

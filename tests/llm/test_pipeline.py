@@ -49,3 +49,13 @@ def test_each_stage(spark):
                 assert sum(n for _, n in mine) == next(r["doc_tokens"] for r in alone if r["doc_id"] == doc)
             assert pieces_round_trip is not None
         docs, before = after, rows
+
+
+def test_near_duplicates_take_five_words_and_four_fifths(spark):
+    base = [f"w{i}" for i in range(200)]
+    longer = base + [f"x{i}" for i in range(45)]  # 196 of 241 shingles: 0.81
+    far = base + [f"y{i}" for i in range(60)]  # 196 of 256: 0.77
+    rows = [(i, " ".join(w), "en", "s", 1) for i, w in enumerate((base, longer, far))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = dict(corpus_pipeline.STAGES)["ngram_jaccard_join"](spark, docs, SF)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, 2]
