@@ -207,7 +207,12 @@ def score_toxicity(documents: DataFrame, model: CompressionModel, threshold: flo
 
 
 def keep_civil(documents: DataFrame, model: CompressionModel, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``documents`` that score below ``threshold``, with all their columns."""
+    """The rows of ``documents`` that score below ``threshold``, with all their columns.
+
+    A model without steps tells no text from another: all rows are kept.
+    """
+    if not model.steps:
+        return documents
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = model.margins().of

@@ -192,6 +192,14 @@ def test_toxicity_held_out(spark, tables):
     assert bare.toxic == [] and toxicity.score_toxicity(odd, bare).count() == 4
 
 
+def test_civil_rows_without_a_model(spark):
+    docs = documents(spark, [(i, f"alike words {i}") for i in range(20)])
+    labels = spark.createDataFrame([(i, 1, int(i % 2 == 0)) for i in range(20)], "doc_id long, quality int, toxic int")
+    for known in (labels.limit(0), labels):  # none; half toxic, without a word that tells them apart
+        model = toxicity.fit_toxicity(docs, known)
+        assert not model.steps and toxicity.keep_civil(docs, model).count() == 20
+
+
 def test_quality_held_out(spark, tables):
     rows = quality.score_quality(tables["documents"], tables["labels"]).join(tables["labels"], "doc_id", "left").collect()
     asked = [r for r in rows if r["held_out"] and r["quality"] is not None]
