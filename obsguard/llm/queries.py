@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from obsguard.llm import jaccard, languages, mixing, packing, quality, secrets, suffixes, toxicity, vectors
+from obsguard.llm import (
+    bestfit, jaccard, languages, merkle, mixing, packing, quality, secrets, suffixes, toxicity, variants, vectors,
+)
 from obsguard.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +73,24 @@ def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages.identify_languages(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest_proofs(table(spark, sf_dir, "documents")).drop("siblings")
+
+
+ORACLES["op11_merkle_manifest"] = merkle.MANIFEST_SQL
+
+
+@query
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bestfit.pack_best_fit(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_spelling_variants"] = variants.VARIANTS_SQL
