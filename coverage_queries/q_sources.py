@@ -152,20 +152,19 @@ def discovery(spark, sf_dir):
 
 @query(
     "src_08_raw_grid",
-    "SELECT CAST(l_orderkey AS VARCHAR) AS a, CAST(l_partkey AS VARCHAR) AS b, CASE WHEN l_orderkey % 5 = 0 THEN '' ELSE l_returnflag END AS c,"
+    "SELECT CASE WHEN l_linenumber % 3 = 0 THEN '' ELSE CAST(l_orderkey AS VARCHAR) END AS a, CAST(l_partkey AS VARCHAR) AS b, CASE WHEN l_orderkey % 5 = 0 THEN '' ELSE l_returnflag END AS c,"
     " CAST(l_linenumber AS VARCHAR) AS d, 4 AS width FROM lineitem",
 )
 def raw_grid(spark, sf_dir):
     folder = scratch(spark)
     lines = B.table(spark, sf_dir, "lineitem").select(
         F.concat_ws(
-            ",", F.col("l_orderkey").cast("string"), F.col("l_partkey").cast("string"),
+            ",", F.when(F.col("l_linenumber") % 3 == 0, "").otherwise(F.col("l_orderkey").cast("string")), F.col("l_partkey").cast("string"),
             F.when(F.col("l_orderkey") % 5 == 0, "").otherwise(F.col("l_returnflag")),
             F.col("l_linenumber").cast("string"),
         ).alias("value")
     )
-    # Station files are small: so are these.
-    lines.write.option("maxRecordsPerFile", 20000).text(folder)
+    lines.write.text(folder)
     cells = F.col("cells")
     return SR.read_grid(spark, folder).select(
         cells[0].alias("a"), cells[1].alias("b"), cells[2].alias("c"), cells[3].alias("d"), F.size(cells).alias("width")

@@ -30,11 +30,8 @@ def climatology(
     Groups with too few years or samples are left out, so observations there are not checked.
     """
     probs = {"p1": 0.01, "p25": 0.25, "p75": 0.75, "p99": 0.99}
-    stats = robust_statistics(history, keys, value, probs)
-    years = history.filter(F.col(value).isNotNull()).groupBy(*keys).agg(F.countDistinct(year).alias("years"))
-    return join_null_safe(stats, years, keys).filter(
-        (F.col("years") >= min_years) & (F.col("n") >= min_samples)
-    )
+    stats = robust_statistics(history, keys, value, probs, year)
+    return stats.filter((F.col("years") >= min_years) & (F.col("n") >= min_samples))
 
 
 def _flags(x: Column) -> dict[str, Column]:

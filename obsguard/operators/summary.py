@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from obsguard.catalogs import rulebook as R
 from obsguard.operators.framework import detail
-from obsguard.operators.quantiles import quantiles_of_counts, value_counts
 from obsguard.operators.joins import join_null_safe
+from obsguard.operators.quantiles import quantiles_of_counts, value_counts
 
 SUMMARY_KEYS = ["station_id", "year", "month", "variable", "rule_id"]
 
@@ -79,21 +79,32 @@ def limit_rows(df: DataFrame, order: list[Column], rows: int = 100) -> DataFrame
 # --- descriptive statistics ---------------------------------------------------------------------
 
 
-def descriptive_statistics(long_df: DataFrame, keys: list[str], value: str = "value") -> DataFrame:
+def descriptive_statistics(
+    long_df: DataFrame, keys: list[str], value: str = "value", flag: str | None = None, duplicate: str | None = None
+) -> DataFrame:
     """Observations, missing, mean, median, extremes and deviation per group.
 
-    Everything is one aggregate but the median, which comes from value counts so that a hot group
-    is reduced before it is gathered.
+    With a ``flag`` column also passed, suspect and erroneous observations and their share, with a
+    ``duplicate`` column (true on every copy but the first) the number of copies. Everything is one aggregate
+    but the median, which is picked by rank from value counts, so that a hot group is reduced first.
     """
-    x = F.col(value).cast("double")
+    x, n = F.col(value).cast("double"), F.count(F.lit(1))
+    counted = []
+    if flag is not None:
+        f = F.col(flag)
+        counted = [F.count_if(f == v).alias(c) for c, v in (("passed", "PASS"), ("suspect", "SUSPECT"), ("errors", "ERROR"))]
+        counted.append(F.round(F.count_if(f == "PASS") * 100.0 / n, 4).alias("passed_pct"))
+    if duplicate is not None:
+        counted.append(F.count_if(F.col(duplicate)).alias("duplicates"))
     base = long_df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("observations"),
+        n.alias("observations"),
         F.count_if(x.isNull()).alias("missing"),
-        F.round(F.count_if(x.isNull()) * 100.0 / F.count(F.lit(1)), 4).alias("missing_pct"),
+        F.round(F.count_if(x.isNull()) * 100.0 / n, 4).alias("missing_pct"),
         F.avg(x).alias("mean"),
         F.min(x).alias("minimum"),
         F.max(x).alias("maximum"),
         F.stddev_samp(x).alias("standard_deviation"),
+        *counted,
     )
     median = quantiles_of_counts(value_counts(long_df, keys, value), keys, {"median": 0.5})
     return join_null_safe(base, median, keys, "left")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,43 +14,88 @@ def _file_path():
     return F.regexp_replace(F.col("_metadata.file_path"), "^file:/*", "/")
 
 
-def read_grid(spark: SparkSession, path: str, sep: str = ",", encoding: str = "UTF-8") -> DataFrame:
-    """Headerless delimited files as a grid of any width, all cells text, blank cells empty.
+#: Encodings whose line break is the single byte 10, so that a file can be cut anywhere and read from the next one.
+WIDE_UNITS = ("UTF-16", "UTF-32", "UCS-2", "UCS-4")
 
-    Rows keep the number of their first line in the file; a line break inside quotes belongs to its
-    cell. A station file is decoded as one value and cut by built-ins; files are many and small. For few
-    large files use :func:`read_table`, which splits them.
+
+def file_lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
+    """(source_file, line, text, quotes_before) for every line of the files below ``path``.
+
+    Files are read in splits, so one of any size is spread over tasks. Lines get their number, and
+    the quotes that stand before them, from what one small row per split adds up to; inside a split,
+    which ``spark.sql.files.maxPartitionBytes`` bounds, they are counted in order.
     """
-    text = F.decode(F.col("content"), encoding)
-    lines = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-        .select(
-            F.regexp_replace("path", "^file:/*", "/").alias("source_file"),
-            F.posexplode(F.split(F.regexp_replace(text, r"\r?\n$", ""), r"\r?\n")).alias("_line", "_text"),
-        )
+    if encoding.upper().startswith(WIDE_UNITS):
+        raise ValueError(f"{encoding} has line breaks of several bytes; convert the files first")
+    source = spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n").text(path)
+    text = F.decode(F.col("value").cast("binary"), encoding)
+    lines = source.select(
+        _file_path().alias("source_file"), F.col("_metadata.file_block_start").alias("_split"),
+        F.regexp_replace(text, "\r$", "").alias("text"), F.monotonically_increasing_id().alias("_at"),
+    ).withColumn("_marks", F.length("text") - F.length(F.replace("text", F.lit('"'), F.lit(""))))
+    keys = ["source_file", "_split"]
+    sums = lines.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.sum("_marks").alias("_m"))
+    earlier = W.partitionBy("source_file").orderBy("_split").rowsBetween(W.unboundedPreceding, -1)
+    sums = sums.select(
+        *keys, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_lines0"), F.coalesce(F.sum("_m").over(earlier), F.lit(0)).alias("_marks0")
     )
-    # a line that starts inside quotes continues the row before it: the quotes up to it are odd in number
-    marks = F.length("_text") - F.length(F.replace("_text", F.lit('"'), F.lit("")))
-    before = W.partitionBy("source_file").orderBy("_line").rowsBetween(W.unboundedPreceding, -1)
-    starts = F.coalesce(F.sum(marks).over(before), F.lit(0)) % 2 == 0
-    up_to = W.partitionBy("source_file").orderBy("_line").rowsBetween(W.unboundedPreceding, 0)
-    numbered = lines.withColumn("_starts", starts).withColumn("_row", F.max(F.when(F.col("_starts"), F.col("_line"))).over(up_to))
-    rows = numbered.groupBy("source_file", "_row").agg(
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_line", "_text"))), lambda s: s["_text"]), "\n").alias("_text")
+    inside = W.partitionBy(*keys).orderBy("_at")
+    counted = lines.withColumns(
+        {"_k": F.row_number().over(inside), "_m": F.coalesce(F.sum("_marks").over(inside.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))}
+    )
+    return counted.join(sums, keys).select(
+        *keys, (F.col("_lines0") + F.col("_k")).alias("line"), "text", "_marks", (F.col("_marks0") + F.col("_m")).alias("quotes_before")
+    )
+
+
+def file_records(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
+    """(source_file, line, text) for every record: a line break inside quotes belongs to its record.
+
+    Only the lines of records with such a break are put together, by the record's first line. That line
+    is the last one before with a quote left open, in the same split or else in the nearest one before.
+    """
+    lines = file_lines(spark, path, encoding)
+    inside, odd = F.col("quotes_before") % 2 == 1, F.col("_marks") % 2 == 1
+    single = lines.filter(~inside & ~odd).select("source_file", "line", "text")
+    parts = lines.filter(inside | odd).withColumn("_opens", F.when(~inside, F.col("line")))
+    keys = ["source_file", "_split"]
+    last = parts.groupBy(*keys).agg(F.max("_opens").alias("_last"))
+    earlier = W.partitionBy("source_file").orderBy("_split").rowsBetween(W.unboundedPreceding, -1)
+    carried = last.select(*keys, F.max("_last").over(earlier).alias("_carried"))
+    here = F.max("_opens").over(W.partitionBy(*keys).orderBy("line"))
+    first = F.coalesce(F.col("_here"), F.col("_carried"))
+    joined = (
+        parts.withColumn("_here", here).join(carried, keys).groupBy("source_file", first.alias("_first"))
+        .agg(F.sort_array(F.collect_list(F.struct("line", "text"))).alias("_lines"))
+        .select("source_file", F.col("_first").alias("line"), F.array_join(F.col("_lines.text"), "\n").alias("text"))
     )
+    return single.unionByName(joined)
+
+
+def split_cells(text: Column, sep: str = ",") -> Column:
+    """The cells of a record. A separator inside quotes belongs to its cell; doubled quotes stand for one."""
     gap = re.escape(sep)
-    pattern = f'(?:^|{gap})(?:"(?:[^"]|"")*"|[^{gap}]*)'
-    found = F.regexp_extract_all("_text", F.lit(pattern), F.lit(0))
-    whole = F.transform(found, lambda c, i: F.when(i == 0, c).otherwise(F.substr(c, F.lit(len(sep) + 1))))
-    cells = F.transform(
-        whole,
-        lambda c: F.when(c.startswith('"'), F.replace(F.substr(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))).otherwise(c),
+    other = f"[^{gap}]*" if len(sep) == 1 else f"(?:(?!{gap}).)*"
+    # every cell has a separator before it, the first one as well, so a blank first cell is a match like any other
+    found = F.regexp_extract_all(F.concat(F.lit(sep), text), F.lit(f'(?s){gap}(?:"[^"]*+(?:""[^"]*+)*+"|{other})'), F.lit(0))
+    cells = F.transform(found, lambda c: F.substr(c, F.lit(len(sep) + 1)))
+    quoted = lambda c: c.startswith('"') & c.endswith('"') & (F.length(c) > 1)
+    return F.transform(
+        cells, lambda c: F.when(quoted(c), F.replace(F.substr(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))).otherwise(c)
     )
-    return rows.select(
+
+
+def read_grid(spark: SparkSession, path: str, sep: str = ",", encoding: str = "UTF-8") -> DataFrame:
+    """Headerless delimited files as a grid of any width, all cells text, blank cells empty.
+
+    Rows keep the number of their first line in the file; a line break inside quotes belongs to its
+    cell. Files of any size are read in splits (see :func:`file_lines`), so no file is ever one value.
+    """
+    return file_records(spark, path, encoding).select(
         "source_file",
         F.regexp_extract("source_file", r"([^/]+?)(\.[^./]+)?$", 1).alias("source_sheet"),
-        (F.col("_row") + 1).cast("int").alias("source_row"),
-        cells.alias("cells"),
+        F.col("line").cast("bigint").alias("source_row"),
+        split_cells(F.col("text"), sep).alias("cells"),
     )
 
 

@@ -132,3 +132,20 @@ def test_neighbour_pairs_across_pole_and_date_line(spark):
     df = spark.createDataFrame(places, "station_id string, latitude double, longitude double")
     found = {(r[0], r[1]) for r in neighbour_pairs(df, 300.0).select("station", "neighbour").collect()}
     assert found == {("a", "b"), ("b", "a"), ("c", "d"), ("d", "c"), ("e", "f"), ("f", "e")}
+
+
+def test_deviation_of_large_values_does_not_cancel(spark):
+    rows = [("a", 1e9 + k, 2000 + k) for k in (0, 1, 2)] + [("b", 101325 + 0.01 * k, 1950 + k) for k in range(80)] + [("c", None, 1990), ("d", 7.0, 1990)]
+    df = spark.createDataFrame(rows, "g string, x double, year int")
+    out = {r["g"]: r for r in QN.robust_statistics(df, ["g"], "x", year="year").collect()}
+    assert out["a"]["std"] == pytest.approx(1.0, abs=1e-9) and out["a"]["years"] == 3
+    assert out["b"]["std"] == pytest.approx(np.std([0.01 * k for k in range(80)], ddof=1), abs=1e-7) and out["b"]["years"] == 80
+    assert set(out) == {"a", "b", "d"} and out["d"]["std"] is None and out["d"]["mad"] == 0.0
+
+
+def test_statistics_read_the_input_once(spark):
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    out = QN.robust_statistics(orders, ["o_orderpriority"], "o_totalprice", {"p1": 0.01}, "o_custkey")
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("+- == Initial Plan ==")[0]
+    assert plan.count("Scan parquet") == 1 and plan.count("Exchange hashpartitioning") == 2

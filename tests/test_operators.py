@@ -154,6 +154,42 @@ def test_grid_reader_decodes(spark, tmp_path):
     assert [r["cells"] for r in rows] == [["Año", "é"], ["1", "2"]]
 
 
+def test_grid_reader_keeps_blank_cells(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(',a,b\n,,c\n"",x\n,\n,"q,r",\nx"y,z"\n"open,1\n2\n')
+    rows = SR.read_grid(spark, str(tmp_path)).orderBy("source_row").collect()
+    assert [r["cells"] for r in rows] == [["", "a", "b"], ["", "", "c"], ["", "x"], ["", ""], ["", "q,r", ""], ['x"y', 'z"'], ['"open', "1\n2"]]
+    (tmp_path / "wide").mkdir()
+    (tmp_path / "wide" / "b.csv").write_text("||a||" + '"' + "x" * 30_000 + '""|"' + "||c|d\n")
+    (row,) = SR.read_grid(spark, str(tmp_path / "wide"), sep="||").collect()
+    assert row["cells"] == ["", "a", "x" * 30_000 + '"|', "c|d"]
+
+
+@pytest.mark.parametrize("size", [7, 64, 1000])
+def test_grid_reader_splits_files(spark, tmp_path, size):
+    import csv
+    import random
+
+    pick = random.Random(size)
+    want = {}
+    for name in ("one", "two", "three"):
+        records, line = [], 1
+        with open(tmp_path / f"{name}.csv", "w", newline="") as out:
+            for _ in range(pick.randint(20, 60)):
+                cells = ["".join(pick.choices('ab,"\né', k=pick.randint(0, 12))) for _ in range(pick.randint(1, 4))]
+                csv.writer(out, lineterminator="\n", quoting=csv.QUOTE_ALL).writerow(cells)
+                records.append((line, cells))
+                line += 1 + sum(c.count("\n") for c in cells)
+        want[name] = records
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        rows = SR.read_grid(spark, str(tmp_path)).orderBy("source_row").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert {n: [(r["source_row"], r["cells"]) for r in rows if r["source_sheet"] == n] for n in want} == want
+
+
 def test_sheets_of_any_width(spark):
     for width in (61, 62, 63, 64, 70, 200):
         head = [f"h{i}" for i in range(width)]
@@ -321,12 +357,22 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def _final(df):
+    """The plan that was run."""
+    return _plan(df).split("+- == Initial Plan ==")[0]
+
+
 def test_plans_have_no_cross_joins_and_share_one_exchange(spark):
     events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     long_df = events.selectExpr("event_id", "user_id AS station_id", "ts", "event_type AS variable", "value")
     checks = [TP.step("a", "value", "ts", 1.0), TP.spike("b", "value", 1.0), TP.persistence("c", "value", 4, 0.0)]
-    plan = _plan(TP.apply_checks(long_df, ["station_id"], ["ts", "event_id"], checks))
-    assert plan.count("Exchange hashpartitioning(station_id") == 1
+    checked = TP.apply_checks(long_df, ["station_id"], ["ts", "event_id"], checks)
+    checked.collect()
+    plan = _final(checked)
+    # the input is read and exchanged once, by station and slice; the other exchange holds the rows next to a cut
+    assert plan.count("Scan parquet") == 1
+    dealt = [line for line in plan.split("\n") if "Exchange hashpartitioning(station_id" in line and "ReusedExchange" not in line]
+    assert len([line for line in dealt if "_slice0" in line]) == 1 and len(dealt) == 2
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     from obsguard.operators.joins import neighbour_pairs
 
