@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -54,8 +55,18 @@ def kept_in_worker(key: tuple, build: Callable[[], object]) -> object:
 
 
 def free_worker() -> None:
-    """Let go of what another operator kept in this worker."""
+    """Let go of what another operator kept in this worker, and hand its memory back to the machine."""
     _kept.clear()
+    release_memory()
+
+
+def release_memory() -> None:
+    """Give back what Arrow's and C's allocators hold without need; workers live on from stage to stage."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # a C library without it
+        pass
 
 
 def remainder(doc_id: Column) -> Column:

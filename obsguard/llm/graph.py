@@ -32,5 +32,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         if before is not None and (now["n"], now["h"]) == before:
             break
         before = (now["n"], now["h"])
+    else:
+        raise RuntimeError(f"components not settled after {most_rounds} rounds")
     roots = pairs.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())

@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +39,9 @@ BROADCAST_IDS = 400_000
 #: Bytes of text hashed at once; the arrays take some fifty times as much.
 CHUNK = 1 << 20
 
+#: Hits after which the index rows found so far are handed on.
+INDEX_ROWS = 500_000
+
 INDEX = "token long, node long, n int, l int, heavy int, hub boolean"
 
 
@@ -115,34 +119,50 @@ def indexed(lists: DataFrame, counts: DataFrame, share: int) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("pos", "token", "df"))).alias("hits")
     )
 
+    names = ["token", "node", "n", "l", "heavy", "hub"]
+
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_worker()
         for batch in batches:
-            out: list[tuple] = []
-            for row in batch.to_pylist():
-                n, m = row["n"], row["m"]
-                pos = np.array([h["pos"] for h in row["hits"]])
-                token = [h["token"] for h in row["hits"]]
-                df = np.array([h["df"] for h in row["hits"]], float)
+            # hits stay flat Arrow values; only numbers of one class are looked at at a time
+            column = batch.column("hits")
+            flat = column.flatten()
+            all_pos, all_token, all_df = (pc.struct_field(flat, c).to_numpy(zero_copy_only=False) for c in ("pos", "token", "df"))
+            ends = np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))
+            out: list[tuple[np.ndarray, int, int, int, int, bool]] = []
+            held = 0
+
+            def give(out: list) -> pa.RecordBatch:
+                size = [len(x[0]) for x in out]
+                columns = [np.concatenate([x[0] for x in out])] + [np.repeat(np.array([x[k] for x in out], kind), size) for k, kind in (
+                    (1, np.int64), (2, np.int32), (3, np.int32), (4, np.int32), (5, bool))]
+                return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+
+            rows = zip(*(batch.column(c).to_pylist() for c in ("node", "n", "m")), [0, *ends[:-1]], ends, strict=True)
+            for node, n, m, a, b in rows:
+                pos, token, df = all_pos[a:b], all_token[a:b], all_df[a:b].astype(float)
                 is_heavy = df > HEAVY
                 heavy, first = int(is_heavy.sum()), n - int(least_overlap(n, share)) + 1
                 rank = pos - (np.cumsum(is_heavy) - is_heavy)  # place among the light tokens
                 if m - heavy < first:
-                    out += [(token[i], row["node"], n, 1, heavy, False) for i in np.flatnonzero(~is_heavy)]
-                    out += [(token[i], row["node"], n, 1, heavy, True) for i in np.flatnonzero(is_heavy)[: first - (m - heavy)]]
-                    continue
-                best = None
-                for shared in range(1, min(MOST_SHARED, m - heavy - first + 1) + 1):
-                    use = ~is_heavy & (rank < first + shared - 1)
-                    touches = (df[use] - 1).sum()
-                    cost = touches + VERIFY * touches / shared
-                    if best is None or cost < best[0]:
-                        best = (cost, shared, use)
-                out += [(token[i], row["node"], n, best[1], heavy, False) for i in np.flatnonzero(best[2])]
-            columns = list(zip(*out, strict=True)) if out else [[]] * 6
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["token", "node", "n", "l", "heavy", "hub"]
-            )
+                    out.append((token[~is_heavy], node, n, 1, heavy, False))
+                    out.append((token[is_heavy][: first - (m - heavy)], node, n, 1, heavy, True))
+                else:
+                    best = None
+                    for shared in range(1, min(MOST_SHARED, m - heavy - first + 1) + 1):
+                        use = ~is_heavy & (rank < first + shared - 1)
+                        touches = (df[use] - 1).sum()
+                        cost = touches + VERIFY * touches / shared
+                        if best is None or cost < best[0]:
+                            best = (cost, shared, use)
+                    out.append((token[best[2]], node, n, best[1], heavy, False))
+                held += b - a
+                if held > INDEX_ROWS:
+                    yield give(out)
+                    out, held = [], 0
+            if out:
+                yield give(out)
+            del flat, all_pos, all_token, all_df
 
     return hits.mapInArrow(choose, INDEX)
 

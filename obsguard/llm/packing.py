@@ -39,7 +39,7 @@ class WordIds:
     """Token ids by whitespace-separated word; the vocabulary's rules never cross white space.
 
     The ids of words seen before are kept as little-endian bytes, so a document is one lookup a word
-    and one join. A sentence mark after a letter or digit at a word's end is a piece of its own for
+    and one join. A sentence mark after an ASCII letter or digit at a word's end is a piece of its own for
     the vocabulary, so such a word reuses the ids of what precedes the mark. The store is emptied
     when it grows past ``most`` words.
     """
@@ -64,7 +64,8 @@ class WordIds:
         return text.lower().split()
 
     def _learn(self, words: set[str]) -> None:
-        marked = [w for w in words if w[-1] in ".," and w[-2:-1].isalnum()]
+        # only after ASCII: some other letters are folded to a letter and a mark, which joins the sentence mark
+        marked = [w for w in words if w[-1] in ".," and w[-2:-1].isascii() and w[-2:-1].isalnum()]
         plain = list((words.difference(marked) | {w[:-1] for w in marked} | {".", ","}) - self.known.keys())
         ids = [e.ids for e in self.tokenizer.encode_batch_fast(plain, add_special_tokens=False)]
         ends = np.cumsum([0, *map(len, ids)]) * 4

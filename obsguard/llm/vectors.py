@@ -235,8 +235,8 @@ def nearest_neighbours(embeddings: DataFrame, k: int = 20, query_every: int = 20
     Queries are the rows whose vec_id is divisible by ``query_every``; candidates are the rows with
     another vec_id in the visited buckets of any table, reranked by the exact inner product in double
     precision. Rows with a null id, a null or zero vector, or a null or non-finite component take no
-    part; shorter vectors count as padded with zeros; ties go to the smaller vec_id; repeated rows
-    are candidates each. The radius is fitted on at most about FIT_ROWS vectors, every row is indexed.
+    part; shorter vectors count as padded with zeros; ties go to the smaller vec_id; repeated rows, and
+    rows that share an id, are candidates each. Of several rows with a query's id the least vector asks. The radius is fitted on at most about FIT_ROWS vectors, every row is indexed.
     A query that finds fewer than ``k`` candidates is searched again over all rows. An empty table
     gives no rows.
     """
@@ -244,6 +244,8 @@ def nearest_neighbours(embeddings: DataFrame, k: int = 20, query_every: int = 20
     rows = embeddings.where(usable).select(
         F.col("vec_id").cast("long").alias("vec_id"), F.transform("embedding", lambda x: x.cast("double")).alias("v")
     )
+    # rows get a number that holds once written, so that rows with one id stay apart when tables are merged
+    rows = stored(rows.withColumn("row", F.monotonically_increasing_id()), "vectors")
     length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
     size = rows.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("d"), F.max(length).alias("norm")).first()
     n, dims = int(size["n"]), int(size["d"] or 1)
@@ -259,8 +261,8 @@ def nearest_neighbours(embeddings: DataFrame, k: int = 20, query_every: int = 20
             keys = index.keys(np.floor(index.places(index.lifted(matrix(batch.column("v"), dims, np.float64), False))))
             for t in range(index.tables):
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("vec_id"), batch.column("v"), pa.array(np.full(batch.num_rows, t, np.int32)), pa.array(keys[t])],
-                    names=["vec_id", "v", "t", "key"],
+                    [batch.column("row"), batch.column("vec_id"), batch.column("v"), pa.array(np.full(batch.num_rows, t, np.int32)), pa.array(keys[t])],
+                    names=["row", "vec_id", "v", "t", "key"],
                 )
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -272,22 +274,22 @@ def nearest_neighbours(embeddings: DataFrame, k: int = 20, query_every: int = 20
                     names=["query_id", "t", "key"],
                 )
 
-    placed = stored(rows.mapInArrow(place, "vec_id long, v array<double>, t int, key long"), "buckets")
-    asked = rows.where(F.col("vec_id") % query_every == 0)
+    placed = stored(rows.mapInArrow(place, "row long, vec_id long, v array<double>, t int, key long"), "buckets")
+    asked = rows.where(F.col("vec_id") % query_every == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
     counts = placed.groupBy("t", "key").agg(F.ceil(F.count("*") / PART_ROWS).cast("int").alias("parts"))
     counts = stored(counts, "bucket-parts")
     cell = F.pmod(F.xxhash64("t", "key", "part"), F.lit(cells)).cast("int")
-    entries = placed.join(counts, ["t", "key"]).withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int"))
-    entries = entries.select("vec_id", "v", "t", "key", cell.alias("cell"))
+    entries = placed.join(counts, ["t", "key"]).withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts")).cast("int"))
+    entries = entries.select("row", "vec_id", "v", "t", "key", cell.alias("cell"))
     visits = asked.select("vec_id", "v").mapInArrow(probe, "query_id long, t int, key long").join(counts, ["t", "key"])
     visits = visits.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("query_id", "t", "key", cell.alias("cell"))
     lists = visits.groupBy("query_id", "cell").agg(F.collect_set("key").alias("keys"))
-    lists = lists.join(asked.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q")).dropDuplicates(["query_id"]), "query_id")
+    lists = lists.join(asked.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q")), "query_id")
 
     def rerank(vectors: pa.Table, queries: pa.Table) -> pa.Table:
-        found = {"query_id": [], "vec_id": [], "score": []}
+        found = {"query_id": [], "row": [], "vec_id": [], "score": []}
         if vectors.num_rows and queries.num_rows:
-            ids, key = vectors.column("vec_id").to_numpy(), vectors.column("key").to_numpy()
+            ids, key, numbers = (vectors.column(c).to_numpy() for c in ("vec_id", "key", "row"))
             data, asked_for = matrix(vectors.column("v"), dims, np.float64), matrix(queries.column("q"), dims, np.float64)
             names = queries.column("query_id").to_numpy()
             bucket, at = np.unique(key, return_inverse=True)
@@ -300,25 +302,26 @@ def nearest_neighbours(embeddings: DataFrame, k: int = 20, query_every: int = 20
                 score = (data[rows_at] * q).sum(axis=1) if len(rows_at) < 64 else data[rows_at] @ q
                 best = top_rows(ids[rows_at], score, k)
                 found["query_id"].append(np.full(len(best), name))
+                found["row"].append(numbers[rows_at[best]])
                 found["vec_id"].append(ids[rows_at[best]])
                 found["score"].append((data[rows_at[best]] * q).sum(axis=1))
-        kinds = {"query_id": pa.int64(), "vec_id": pa.int64(), "score": pa.float64()}
+        kinds = {"query_id": pa.int64(), "row": pa.int64(), "vec_id": pa.int64(), "score": pa.float64()}
         return pa.table({c: pa.array(np.concatenate(v) if v else [], kinds[c]) for c, v in found.items()})
 
-    met = entries.groupBy("cell").cogroup(lists.groupBy("cell")).applyInArrow(rerank, "query_id long, vec_id long, score double")
-    found = stored(met.dropDuplicates(["query_id", "vec_id"]), "neighbours")
+    met = entries.groupBy("cell").cogroup(lists.groupBy("cell")).applyInArrow(rerank, "query_id long, row long, vec_id long, score double")
+    found = stored(met.dropDuplicates(["query_id", "row"]), "neighbours")
     enough = found.groupBy("query_id").agg(F.count("*").alias("n")).where(F.col("n") >= k)
     short = stored(asked.join(enough, asked["vec_id"] == enough["query_id"], "left_anti"), "short-queries")
     if short.isEmpty():
         return ranked(found, k)
     spot = lambda c: F.pmod(F.xxhash64(c), F.lit(cells)).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.lit(cells - 1)))
-    asked_all = short.dropDuplicates(["vec_id"]).select(
+    asked_all = short.select(
         F.col("vec_id").alias("query_id"), F.col("v").alias("q"), every.alias("cell"), F.array(F.lit(0).cast("long")).alias("keys")
     )
-    all_rows = rows.select("vec_id", "v", F.lit(0).alias("t"), F.lit(0).cast("long").alias("key"), spot("vec_id").alias("cell"))
-    again = all_rows.groupBy("cell").cogroup(asked_all.groupBy("cell")).applyInArrow(rerank, "query_id long, vec_id long, score double")
-    return ranked(found.unionByName(again).dropDuplicates(["query_id", "vec_id"]), k)
+    all_rows = rows.select("row", "vec_id", "v", F.lit(0).alias("t"), F.lit(0).cast("long").alias("key"), spot("row").alias("cell"))
+    again = all_rows.groupBy("cell").cogroup(asked_all.groupBy("cell")).applyInArrow(rerank, "query_id long, row long, vec_id long, score double")
+    return ranked(found.unionByName(again).dropDuplicates(["query_id", "row"]), k)
 
 
 def top_rows(ids: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:

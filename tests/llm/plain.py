@@ -35,9 +35,9 @@ def shingles(text, width=4):
     return frozenset([tuple(words)]) if words else frozenset()
 
 
-def jaccard_components(rows, share=85):
+def jaccard_components(rows, share=85, width=4):
     """{doc_id: (n_shingles, component_id)} from all pairs."""
-    sets = {doc: shingles(text) for doc, text in rows}
+    sets = {doc: shingles(text, width) for doc, text in rows}
     root = {doc: doc for doc in sets}
 
     def find(x):

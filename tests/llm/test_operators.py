@@ -328,6 +328,29 @@ def test_nearest_neighbours_recall(spark):
     assert sorted((r[0], r[1], r[2]) for r in few) == [(0, 1, 20), (0, 2, 1), (20, 1, 0), (20, 2, 1)]
 
 
+def test_vectors_of_repeated_ids_are_candidates_each(spark):
+    rows = [(0, [1.0, 0.0]), (1, [0.875, 0.125]), (1, [0.875, 0.125]), (2, [0.5, 0.5]), (2, [0.375, 0.125]), (3, [-1.0, 0.25]), (0, [0.0, 1.0])]
+    want = sorted(((i, float(v @ np.array([0.0, 1.0]))) for i, v in ((i, np.array(v)) for i, v in rows) if i != 0), key=lambda r: (-r[1], r[0]))
+    got = sorted((r["rank"], r["vec_id"], r["score"]) for r in vectors.nearest_neighbours(embedding_table(spark, rows)).collect())
+    assert got == [(k + 1, i, s) for k, (i, s) in enumerate(want)]
+    exact = vectors.exact_top_k(embedding_table(spark, [(0, [1.0, 0.0]), (1, [0.5]), (1, [0.5]), (2, [0.25])])).collect()
+    assert sorted((r["rank"], r["vec_id"], r["score"]) for r in exact) == [(1, 1, 256 * 128), (2, 1, 256 * 128), (3, 2, 256 * 64)]
+
+
+def test_word_ids_equal_the_tokenizer():
+    from tokenizers import Tokenizer
+
+    rng = random.Random(9)
+    marks = [".", ",", "", "!", "'s"]
+    letters = [chr(c) for c in (*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC0, 0x250), 0x130, 0x1E9E, 0x3A3, 0xFB01, 0x2126, 0x212A, 0xAC00, 0x4E2D, 0x660)]
+    texts = [" ".join("".join(rng.choices(letters, k=rng.randint(1, 4))) + rng.choice(marks) for _ in range(rng.randint(1, 6))) for _ in range(5000)]
+    texts += [f"{c}." for c in letters] + [f"a{c}," for c in letters]
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    for text, ids in zip(texts, packing.WordIds(TOKENIZER).encode(texts), strict=True):
+        want = [*tokenizer.encode(text, add_special_tokens=False).ids, packing.END_ID]
+        assert np.frombuffer(ids, "<u4").tolist() == want, repr(text)
+
+
 def test_languages(spark, tables):
     rows = languages.identify_languages(tables["pages"], tables["documents"]).collect()
     assert len(rows) == tables["pages"].count()

@@ -28,7 +28,7 @@ def test_each_stage(spark):
             labelled = {r["doc_id"] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
             assert len(gone & toxic) >= 0.6 * len(toxic) and len((gone & labelled) - toxic) <= 0.02 * len(labelled)
         if name == "ngram_jaccard_join":
-            want = plain.jaccard_components([(r["doc_id"], r["text"]) for r in before])
+            want = plain.jaccard_components([(r["doc_id"], r["text"]) for r in before], corpus_pipeline.NEAR_SHARE, corpus_pipeline.NEAR_WIDTH)
             assert {r["doc_id"] for r in rows} == {c for _, c in want.values()}
         if name == "secret_scan":
             assert {r["doc_id"] for r in rows} == set(had)
