@@ -46,45 +46,80 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 Pattern = tuple[tuple[tuple[int, int], ...], int]
 
 
+#: Letters and digits for certain, and ASCII symbols but the apostrophe, which may begin a contraction.
+KNOWN, SYMBOL = "A-Za-z0-9À-ÖØ-öø-ÿ", r"!-&(-/:-@\[-`{-~"
+#: Pieces of a text that the byte vocabulary never merges across. Runs of known letters and digits, and runs of
+#: symbols, end where white space or the other kind begins; any other run goes on to the next white space. Spaces are
+#: dealt as the vocabulary does: the last one before a run belongs to it.
+PIECE = rf" ?[{KNOWN}]+(?=[\s{SYMBOL}]|\Z)| ?[{SYMBOL}]+(?=[\s{KNOWN}]|\Z)| ?\S+|\s+(?!\S)|\s+"
+
+
 class ByteIds:
-    """Token ids of texts by the chunks between single spaces, which the byte vocabulary never merges across.
+    """Token ids of texts by pieces (PIECE); ids of pieces seen before are kept as little-endian bytes.
 
-    A chunk starts at a space that stands between two characters other than white space; the vocabulary's
-    rules put such a space at the start of what follows it. Chunks seen before are kept as little-endian bytes; the store
-    is emptied when it holds more than ``most`` letters.
+    New words are tokenised many at a time, set one after the other as they may stand in a text. The store is emptied when
+    it holds more than ``most`` letters. Texts with a special token, or with separators that Python takes for
+    white space and the vocabulary does not, are tokenised whole.
     """
 
-    def __init__(self, path: str, most: int = 24_000_000, longest: int = 64) -> None:
+    def __init__(self, path: str, most: int = 16_000_000, longest: int = 64) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.most, self.longest = most, longest
-        self.split = re.compile(r"(?<=\S)(?= \S)").split
+        self.pieces = re.compile(PIECE).findall
+        self.word = re.compile(f" ?[{KNOWN}]+").fullmatch
         self.known: dict[str, bytes] = {}
         self.letters = 0
         self.end = np.array([END_ID], "<u4").tobytes()
 
-    def _ids(self, chunks: list[str]) -> list[bytes]:
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
-        ends = (np.cumsum([0, *map(len, ids)]) * 4).tolist()
-        flat = np.fromiter(chain.from_iterable(ids), "<u4", ends[-1] // 4).tobytes()
-        return [flat[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+    def _alone(self, pieces: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+
+    def _in_a_row(self, words: list[str], between: str) -> list[bytes]:
+        """Ids of words that may follow each other with ``between``, told apart by where their tokens start."""
+        out: list[bytes] = []
+        for at in range(0, len(words), 2000):
+            some = words[at : at + 2000]
+            found = self.tokenizer.encode(between.join(some), add_special_tokens=False)
+            size = np.fromiter(map(len, some), np.int64, len(some))
+            start = np.cumsum(size + len(between)) - size - len(between)
+            place = np.fromiter(chain.from_iterable(found.offsets), np.int64, 2 * len(found.ids))[::2]
+            ids = np.array(found.ids, "<u4")
+            word = np.searchsorted(start, place, side="right") - 1
+            inside = place < start[word] + size[word]
+            ids, word = ids[inside], word[inside]
+            ends = (np.searchsorted(word, np.arange(len(some) + 1)) * 4).tolist()
+            raw = ids.tobytes()
+            out += [raw[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+        return out
+
+    def _learn(self, new: set[str]) -> dict[str, bytes]:
+        words = [p for p in new if self.word(p)]
+        other = [p for p in new if not self.word(p)]
+        spaced, plain = [p for p in words if p[0] == " "], [p for p in words if p[0] != " "]
+        ids = self._in_a_row(spaced, "") + self._in_a_row(plain, "\n") + self._alone(other)
+        return dict(zip(spaced + plain + other, ids, strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text with END_ID appended, as little-endian unsigned 32-bit bytes."""
         if self.letters > self.most:
             self.known, self.letters = {}, 0
-        parts = [self.split(t) for t in texts]
-        new = list(set().union(*parts) - self.known.keys())
-        fresh = dict(zip(new, self._ids(new), strict=True)) if new else {}
-        short = {c: ids for c, ids in fresh.items() if len(c) <= self.longest}
+        whole = {i for i, t in enumerate(texts) if any(c in t for c in ("\x1c", "\x1d", "\x1e", "\x1f", *self.special))}
+        parts = [[] if i in whole else self.pieces(t) for i, t in enumerate(texts)]
+        new = set().union(*parts) - self.known.keys()
+        fresh = self._learn(new) if new else {}
+        short = {p: ids for p, ids in fresh.items() if len(p) <= self.longest}
         self.known.update(short)
         self.letters += sum(map(len, short))
+        get = self.known.__getitem__
         if len(short) < len(fresh):
-            get = lambda c: self.known.get(c) or fresh.get(c, b"")
-        else:
-            get = self.known.__getitem__
-        return [b"".join(map(get, p)) + self.end for p in parts]
+            get = lambda p: self.known[p] if p in self.known else fresh[p]
+        out = [b"".join(map(get, p)) + self.end for p in parts]
+        for i in whole:
+            out[i] = self._alone([texts[i]])[0] + self.end
+        return out
 
 
 def byte_ids(path: str) -> ByteIds:
