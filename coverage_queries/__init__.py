@@ -5,6 +5,7 @@ from __future__ import annotations
 from coverage_queries.registry import ORACLES, QUERIES
 from coverage_queries import (  # noqa: F401  (importing registers the queries)
     q_checks,
+    q_final,
     q_functions,
     q_grids,
     q_joins,

@@ -12,12 +12,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from coverage_queries import bindings as B
-from coverage_queries.q_checks import _ASSESSED, _RESULTS_CTE, FRAME_RULES, evaluated
 from coverage_queries.q_grids import PREPARED_SQL, prepared
 from coverage_queries.registry import query, register
 from obsguard.catalogs import contract
 from obsguard.catalogs import dimensions as dim
-from obsguard.operators import framework as FW
 from obsguard.sinks import writers as W
 from obsguard.sources import files as SF
 from obsguard.sources import readers as SR
@@ -354,21 +352,6 @@ def prepared_export(spark, sf_dir):
     return spark.read.parquet(folder)
 
 
-@query(
-    "exp_13_final_dataset",
-    f"""WITH {_RESULTS_CTE}, q AS (SELECT event_id, {_ASSESSED}, coalesce(string_agg(rule_id || ': ' || lower(flag), '; ' ORDER BY ord) FILTER (flag IN ('SUSPECT','ERROR','MISSING')), '') AS qc_messages
-      FROM (SELECT *, list_position({FRAME_RULES!r}, rule_id) AS ord FROM results) GROUP BY event_id)
-    SELECT q.*, o.station_id FROM q JOIN obs o USING (event_id)""",
-)
-def final_export(spark, sf_dir):
-    folder = scratch(spark)
-    final = FW.assess(evaluated(spark, sf_dir)).select("event_id", "station_id", "qc_status", "qc_flags", "qc_score", "qc_messages")
-    W.write_parquet(final, folder)
-    return spark.read.parquet(folder).withColumns(
-        {"qc_flags": F.concat_ws(",", "qc_flags"), "qc_score": F.col("qc_score").cast("double")}
-    )
-
-
 # --- ordering and sets --------------------------------------------------------------------------
 
 

@@ -5,18 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from coverage_queries import bindings as B
-from coverage_queries.q_checks import FRAME_NULLS, FRAME_RULES, ROW_SQL, _RESULTS_CTE, evaluated
 from coverage_queries.q_grids import _GRID_CTE, _INGEST_STATS, MELTED, _MELT_SQL, rollup
 from coverage_queries.q_time import _step_sql
 from coverage_queries.registry import query
-from obsguard.catalogs import rulebook as R
 from obsguard.operators import canonical as C
 from obsguard.operators import framework as FW
 from obsguard.operators import grid as G
-from obsguard.operators import row_rules as RR
 from obsguard.operators import summary as SM
 from obsguard.operators import temporal as TP
-from obsguard.operators.row_rules import row_checks
 from obsguard.sinks.writers import run_log
 
 # --- the flagship: step rule, results, score, summary -------------------------------------------
@@ -40,70 +36,6 @@ def flagship(spark, sf_dir):
     )
 
 
-# --- QC summaries -------------------------------------------------------------------------------
-
-_ALL_RULES = [r for r in FRAME_RULES]
-_FOUND_CTE = _RESULTS_CTE.replace("SELECT event_id, '", "SELECT event_id, user_id, ts, '")
-# The variable of each result: the one a null check looks at, or the one a rule reports.
-_BY_VARIABLE_CTE = _FOUND_CTE
-for _c in FRAME_NULLS:
-    _BY_VARIABLE_CTE = _BY_VARIABLE_CTE.replace(
-        f"'completeness_null_value' AS rule_id, CASE WHEN {_c} IS NULL",
-        f"'completeness_null_value' AS rule_id, '{_c}' AS variable, CASE WHEN {_c} IS NULL",
-    )
-for _r in FRAME_RULES:
-    _BY_VARIABLE_CTE = _BY_VARIABLE_CTE.replace(f"'{_r}' AS rule_id,", f"'{_r}' AS rule_id, '{RR.reported_variable(_r)}' AS variable,")
-_TOTALS = """count(*) AS total_observations, count(*) FILTER (flag = 'PASS') AS passed_observations, count(*) FILTER (flag = 'SUSPECT') AS suspect_observations,
-    count(*) FILTER (flag = 'ERROR') AS erroneous_observations, count(*) FILTER (flag = 'MISSING') AS missing_observations,
-    count(*) FILTER (flag = 'NOT_CHECKED') AS not_checked_observations,
-    round(count(*) FILTER (flag IN ('SUSPECT','ERROR','MISSING')) * 100.0 / count(*), 4) AS failure_pct"""
-
-
-def found(spark, sf_dir):
-    df = evaluated(spark, sf_dir).withColumns(
-        {"station_id": F.col("user_id"), "year": F.year("ts"), "month": F.month("ts")}
-    )
-    return SM.findings(df, ["station_id", "year", "month"])
-
-
-def counts(spark, sf_dir):
-    return SM.flag_counts(found(spark, sf_dir), SM.SUMMARY_KEYS)
-
-
-@query(
-    "agg_05_quality_summary",
-    f"""WITH {_BY_VARIABLE_CTE} SELECT user_id AS station_id, CAST(year(ts) AS INT) AS year, CAST(month(ts) AS INT) AS month, variable, rule_id, {_TOTALS}
-    FROM results GROUP BY ALL""",
-)
-def quality_summary(spark, sf_dir):
-    return SM.summary(counts(spark, sf_dir), SM.SUMMARY_KEYS)
-
-
-@query(
-    "agg_05_summary_levels",
-    f"""WITH {_FOUND_CTE} SELECT CAST(grouping_id(user_id, rule_id) AS BIGINT) AS level, user_id AS station_id, rule_id, {_TOTALS}
-    FROM results GROUP BY GROUPING SETS ((user_id, rule_id), (rule_id), (user_id), ())""",
-)
-def summary_levels(spark, sf_dir):
-    return SM.summary_levels(
-        counts(spark, sf_dir), [["station_id", "rule_id"], ["rule_id"], ["station_id"], []], ["station_id", "rule_id"]
-    )
-
-
-_TOP_SQL = f"""WITH {_FOUND_CTE} SELECT rule_id, count(*) AS failures FROM results WHERE flag IN ('SUSPECT','ERROR','MISSING')
-    GROUP BY rule_id ORDER BY failures DESC, rule_id LIMIT 5"""
-
-
-@query("agg_06_frequent_errors", _TOP_SQL)
-def frequent(spark, sf_dir):
-    return SM.frequent_errors(counts(spark, sf_dir), 5)
-
-
-@query("ord_05_top_errors", _TOP_SQL.replace("LIMIT 5", "LIMIT 3"))
-def top_errors(spark, sf_dir):
-    return SM.frequent_errors(counts(spark, sf_dir), 3)
-
-
 @query(
     "ord_04_report_row_cap",
     "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 100",
@@ -139,37 +71,6 @@ def flag_totals(spark, sf_dir):
     return SM.flag_totals(flagged, ["variable"], "flag")
 
 
-_METEO = [r for r in R.rules_of_stage("meteorological") if r in ROW_SQL and r not in R.EXPRESSION_RULES]
-
-
-@query(
-    "agg_08_stage_summaries",
-    f"""WITH {B.WIDE_CTE}, results AS ({" UNION ALL ".join(f"SELECT '{r}' AS rule_id, {ROW_SQL[r]} AS flag FROM obs" for r in _METEO)})
-    SELECT rule_id, {_TOTALS} FROM results GROUP BY rule_id""",
-)
-def stage_summary(spark, sf_dir):
-    df = B.wide(spark, sf_dir)
-    results = SM.findings(FW.evaluate(df, row_checks(df, _METEO)), [])
-    return SM.stage_summary(SM.flag_counts(results, ["rule_id"]), "meteorological")
-
-
-@query(
-    "agg_09_observation_assessment",
-    f"""WITH {_RESULTS_CTE} SELECT event_id, count(*) AS qc_rule_count, count(*) FILTER (flag IN ('SUSPECT','ERROR','MISSING')) AS qc_failed_rule_count,
-    CASE WHEN bool_or(flag = 'ERROR') THEN 'ERROR' WHEN bool_or(flag = 'MISSING') THEN 'MISSING' WHEN bool_or(flag = 'SUSPECT') THEN 'SUSPECT'
-      WHEN bool_or(flag = 'PASS') THEN 'PASS' WHEN bool_or(flag = 'NOT_CHECKED') THEN 'NOT_CHECKED' ELSE 'NOT_APPLICABLE' END AS qc_flag,
-    CAST(greatest(0, 100 - 10 * count(*) FILTER (flag = 'SUSPECT') - 30 * count(*) FILTER (flag = 'ERROR') - 15 * count(*) FILTER (flag = 'MISSING')) AS DOUBLE) AS qc_score,
-    coalesce(array_to_string(list_sort(list_distinct(list(rule_id) FILTER (flag IN ('SUSPECT','ERROR','MISSING')))), ','), '') AS qc_flags
-    FROM results GROUP BY event_id""",
-)
-def assessment(spark, sf_dir):
-    return FW.assess(evaluated(spark, sf_dir)).select(
-        "event_id", F.col("qc_rule_count").cast("bigint").alias("qc_rule_count"),
-        F.col("qc_failed_rule_count").cast("bigint").alias("qc_failed_rule_count"), "qc_flag",
-        F.col("qc_score").cast("double").alias("qc_score"), F.concat_ws(",", "qc_flags").alias("qc_flags"),
-    )
-
-
 # --- products -----------------------------------------------------------------------------------
 
 
@@ -278,18 +179,3 @@ _METRICS = [
 )
 def import_report(spark, sf_dir):
     return run_log(spark, "run-1", "stage02", G.ingestion_statistics(rollup(spark, sf_dir)))
-
-
-@query(
-    "agg_19_executive_report",
-    f"""WITH {_RESULTS_CTE}, o AS (SELECT event_id, greatest(0, 100 - 10 * count(*) FILTER (flag = 'SUSPECT') - 30 * count(*) FILTER (flag = 'ERROR')
-      - 15 * count(*) FILTER (flag = 'MISSING')) AS score, CASE WHEN bool_or(flag = 'ERROR') THEN 'ERROR' WHEN bool_or(flag = 'MISSING') THEN 'MISSING'
-      WHEN bool_or(flag = 'SUSPECT') THEN 'SUSPECT' WHEN bool_or(flag = 'PASS') THEN 'PASS' ELSE 'NOT_CHECKED' END AS flag FROM results GROUP BY event_id)
-    SELECT flag, count(*) AS observations, round(avg(score), 4) AS mean_score, CAST(min(score) AS DOUBLE) AS lowest_score FROM o GROUP BY flag""",
-)
-def executive(spark, sf_dir):
-    final = FW.assess(evaluated(spark, sf_dir)).withColumn("score", F.col("qc_score").cast("double"))
-    return final.groupBy(F.col("qc_flag").alias("flag")).agg(
-        F.count(F.lit(1)).alias("observations"), F.round(F.avg("score"), 4).alias("mean_score"),
-        F.min("score").alias("lowest_score"),
-    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
@@ -133,3 +133,14 @@ def run_log(spark: SparkSession, run_id: str, stage: str, statistics: DataFrame)
     return typed.unpivot([], names, "metric", "value").select(
         F.lit(run_id).alias("run_id"), F.lit(stage).alias("stage"), "metric", "value"
     )
+
+
+def write_observed(df: DataFrame, path: str, metrics: dict[str, Column], partition_by: list[str] | None = None) -> dict:
+    """Write ``df`` and return the aggregates ``metrics`` of what was written, taken while it was written.
+
+    The numbers cost no second pass, and belong to the rows of the export, not to a later reading.
+    """
+    seen = Observation()
+    observed = df.observe(seen, *[c.alias(n) for n, c in metrics.items()])
+    write_parquet(observed, path, True, partition_by)
+    return dict(seen.get)
