@@ -35,7 +35,8 @@ WHITE_SPACE = "\t\n\x0b\f\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x2
 
 
 def blank_to_null(c: Column) -> Column:
-    return F.when(F.btrim(c, F.lit(WHITE_SPACE)) != "", c)
+    """Null for a text of white space only; one that begins with a visible ASCII character needs no trimming."""
+    return F.when(F.ascii(c).between(33, 126), c).when(F.btrim(c, F.lit(WHITE_SPACE)) != "", c)
 
 
 def nfkc_array(texts: Column) -> Column:

@@ -1,8 +1,8 @@
 """Raw cell grids: physical cleaning, sheet profile, header validation.
 
 A grid has one row per sheet line: ``(source_file, source_sheet, source_row, cells)``. What a sheet
-looks like as a whole (which columns hold data, which row is the header) comes from aggregates with
-one small record per sheet; which columns hold data travels as bit masks of 62 columns each, so cells
+looks like as a whole (which columns hold data, which row is the header) comes from one stored profile with
+a small record per sheet; which columns hold data travels as bit masks of 62 columns each, so cells
 are never exploded and a sheet of any length and width is combined on the map side.
 """
 
@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obsguard.functions import scalars as S
+from obsguard.session import stored
 
 SHEET = ["source_file", "source_sheet"]
 #: Columns in one bit mask.
@@ -37,33 +38,48 @@ def drop_empty_rows(grid: DataFrame) -> DataFrame:
     return grid.filter(F.exists("cells", lambda c: c.isNotNull()))
 
 
-def profile_sheets(grid: DataFrame) -> DataFrame:
-    """One record per sheet of a grid whose blanks are null, whatever its width.
-
-    Rows and columns before and after cleanup, positions of empty columns before cleanup, the
-    columns kept, the header (first surviving row) and the headerless columns that hold data
-    (positions after cleanup). A sheet without data has ``rows`` = 0.
-    """
+def sheet_sizes(grid: DataFrame) -> DataFrame:
+    """Rows, widths, the mask of columns with data and the first row with data of every sheet: numbers only, so
+    that a map task keeps one small record a sheet in a hash table."""
     # a row has one mask for every 62 columns, nearly always one
-    kept_row = F.exists("cells", lambda c: c.isNotNull()).alias("_kept")
-    marked = grid.select(*SHEET, "source_row", "cells", kept_row, F.posexplode(_masks(F.col("cells"))).alias("_part", "_bits"))
-    data_row = F.when(F.col("_bits") != 0, F.col("source_row"))
-    parts = marked.groupBy(*SHEET, "_part").agg(
+    marked = grid.select(*SHEET, "source_row", F.size("cells").alias("_width"), _masks(F.col("cells")).alias("_masks"))
+    kept = F.exists("_masks", lambda m: m != 0).alias("_kept")
+    spread = marked.select(*SHEET, "source_row", "_width", kept, F.posexplode("_masks").alias("_part", "_bits"))
+    parts = spread.groupBy(*SHEET, "_part").agg(
         F.count(F.lit(1)).alias("_rows"),
-        F.max(F.size("cells")).alias("_width"),
+        F.max("_width").alias("_width"),
         F.count_if(~F.col("_kept")).alias("_empty"),
         F.bit_or("_bits").alias("_bits"),
-        F.min(data_row).alias("_row"),
-        F.min_by("cells", data_row).alias("_cells"),
+        F.min(F.when(F.col("_bits") != 0, F.col("source_row"))).alias("_row"),
     )
-    base = parts.groupBy(*SHEET).agg(
+    return parts.groupBy(*SHEET).agg(
         F.max(F.when(F.col("_part") == 0, F.col("_rows"))).alias("rows_before_cleanup"),
         F.max("_width").alias("columns_before_cleanup"),
         F.max(F.when(F.col("_part") == 0, F.col("_empty"))).alias("empty_rows_removed"),
         F.sort_array(F.collect_list(F.struct("_part", "_bits"))).alias("_mask"),
         F.min("_row").alias("header_row"),
-        F.min_by("_cells", "_row").alias("_first"),
     )
+
+
+def first_rows(grid: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(sheet, _first): the cells of every sheet's first row with data. ``sizes`` is stored, so Spark
+    broadcasts its row numbers where they are few."""
+    heads = sizes.filter(F.col("header_row").isNotNull()).select(*SHEET, F.col("header_row").alias("source_row"))
+    return grid.join(heads, [*SHEET, "source_row"]).groupBy(*SHEET).agg(F.min("cells").alias("_first"))
+
+
+def profile_sheets(grid: DataFrame) -> DataFrame:
+    """One record per sheet of a grid whose blanks are null, whatever its width.
+
+    Rows and columns before and after cleanup, positions of empty columns before cleanup, the
+    columns kept, the header (first surviving row) and the headerless columns that hold data
+    (positions after cleanup). A sheet without data has ``rows`` = 0.
+
+    The grid is read twice, for the numbers and for the header rows they name; the profile is stored in the shared
+    folder, so whatever is joined to it, however often, reads the profile and not the grid.
+    """
+    sizes = stored(sheet_sizes(grid), "sheet-sizes")
+    base = sizes.join(first_rows(grid, sizes), SHEET, "left")
     positions = F.when(F.col("columns_before_cleanup") > 0, F.sequence(F.lit(1), F.col("columns_before_cleanup")))
 
     def filled(p: Column) -> Column:
@@ -100,9 +116,8 @@ def profile_sheets(grid: DataFrame) -> DataFrame:
         ),
         lambda s: s["_empty"],
     )
-    return out.withColumn(
-        "headerless_columns_with_data", F.transform(missing, lambda s: s.dropFields("_empty"))
-    ).drop("_mask", "_first")
+    profile = out.withColumn("headerless_columns_with_data", F.transform(missing, lambda s: s.dropFields("_empty")))
+    return stored(profile.drop("_mask", "_first"), "sheet-profile")
 
 
 def empty_sheets(profile: DataFrame) -> DataFrame:
