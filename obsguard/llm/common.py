@@ -49,7 +49,7 @@ def kept_in_worker(key: tuple, build: Callable[[], object]) -> object:
     """What ``build`` makes, kept in this Python worker from task to task; one thing at a time, so that
     the operators of a pipeline, which share workers, do not add up their caches."""
     if key not in _kept:
-        _kept.clear()
+        free_worker()
         _kept[key] = build()
     return _kept[key]
 

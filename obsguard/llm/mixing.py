@@ -3,7 +3,8 @@
 A naive Bayes classifier over hashed words, learned from the labels table, gives every document a
 posterior over domains instead of one hard domain. Nonnegative rates (expected copies of each
 document) then minimise the squared gap between expected token totals by domain and the targets,
-each gap weighted by one over the domain's share, with projected-gradient steps from one copy each.
+each gap weighted by one over the domain's share, with projected-gradient steps from one copy each; a step
+starts from where the last two point to, which takes far fewer of them.
 
 Everything is DataFrame work: one aggregate a step brings one number for each domain to the driver,
 and a document's rate is a fold over the latest steps, stored anew after every few, so no state is
@@ -27,7 +28,9 @@ BUCKETS = 16_384
 SAMPLE_PER_DOMAIN = 12_000
 #: Evidence is the mean log ratio of a document's words, times the root of their number and this.
 STRENGTH = 1.0
-STEPS, TOLERANCE = 80, 1e-3
+#: Steps end where all gaps are within the tolerance (of the least target), or where a step no longer moves the rates by
+#: so many copies a token, which is how an optimum under nonnegative rates shows. More steps than this are an error.
+STEPS, TOLERANCE, SETTLED = 300, 1e-3, 1e-3
 #: Rates are written out after so many steps, which bounds the fold.
 FOLD = 8
 
@@ -97,16 +100,32 @@ def with_posteriors(documents: DataFrame, prior: list[float], ratios: list[list[
     return shifted.select("row", "n_tokens", *((F.col(f"_e{k}") / total).alias(f"p_{d}") for k, d in enumerate(DOMAINS)))
 
 
-def rate_after(steps: list[list[float]], start: Column | None = None) -> Column:
-    """A document's rate: from one copy or ``start``, each step moves against the gradient and back to at least 0."""
-    start = F.lit(1.0) if start is None else start
+def rates_after(steps: list[list[float]], rate: Column | None = None, before: Column | None = None) -> Column:
+    """(rate, before): a document's rate after ``steps`` and the one before the last, from one copy or the given ones.
+
+    A step (momentum, pull by domain...) goes on along the last change, moves against the gradient, and back to at least 0.
+    """
+    one = F.lit(1.0)
+    start = F.struct((one if rate is None else rate).alias("rate"), (one if before is None else before).alias("before"))
     if not steps:
         return start
-    pull = lambda y: reduce(lambda a, b: a + b, (F.col(f"p_{d}") * F.element_at(y, k + 1) for k, d in enumerate(DOMAINS)))
-    return F.aggregate(F.array(*(F.array(*map(F.lit, y)) for y in steps)), start, lambda r, y: F.greatest(F.lit(0.0), r - pull(y)))
+
+    def step(state: Column, y: Column) -> Column:
+        pull = reduce(lambda a, b: a + b, (F.col(f"p_{d}") * F.element_at(y, k + 2) for k, d in enumerate(DOMAINS)))
+        ahead = state["rate"] + F.element_at(y, 1) * (state["rate"] - state["before"])
+        return F.struct(F.greatest(F.lit(0.0), ahead - pull).alias("rate"), state["rate"].alias("before"))
+
+    return F.aggregate(F.array(*(F.array(*map(F.lit, y)) for y in steps)), start, step)
+
+
+def wanted_shares(share: np.ndarray, targets: dict[str, float | None], total_share: float) -> np.ndarray:
+    """Target totals as shares of the input's tokens: a domain without a weight keeps its share, the others divide the rest."""
+    kept = np.array([targets[d] is None for d in DOMAINS])
+    weights = np.array([targets[d] or 0.0 for d in DOMAINS])
+    return total_share * np.where(kept, share, weights / weights.sum() * (1 - share[kept].sum()))
 
 
-def fit_rates(members: DataFrame, targets: dict[str, float], total_share: float = 1.0) -> list[list[float]]:
+def fit_rates(members: DataFrame, targets: dict[str, float | None], total_share: float = 1.0) -> list[list[float]]:
     """The projected-gradient steps for stored ``members``; none for an empty table."""
     n = F.col("n_tokens").cast("double")
     p = [F.col(f"p_{d}") for d in DOMAINS]
@@ -118,43 +137,56 @@ def fit_rates(members: DataFrame, targets: dict[str, float], total_share: float
     if not first["n"]:
         return []
     total, size = float(first["n"]), len(DOMAINS)
-    wanted = total_share * np.array([targets[d] for d in DOMAINS]) / sum(targets.values())
     share = np.array([first[f"t{i}"] for i in range(size)]) / total
+    wanted = wanted_shares(share, targets, total_share)
     weight = 1 / np.maximum(share, 1e-3)
     gram = np.array([[first[f"g{i}_{j}"] for j in range(size)] for i in range(size)]) / total
     size_of_step = 1 / np.linalg.eigvalsh(np.sqrt(np.outer(weight, weight)) * gram).max()
-    state = members.select("n_tokens", *(f"p_{d}" for d in DOMAINS), F.lit(1.0).alias("rate"))
+    names = [f"p_{d}" for d in DOMAINS]
+    state = members.select("n_tokens", *names, F.lit(1.0).alias("rate"), F.lit(1.0).alias("before"))
     steps: list[list[float]] = []
     since = 0  # steps that the stored rates already hold
+    earlier, moved, pace = share, np.inf, 1.0
     for _ in range(STEPS):
-        gap = share - wanted
-        if np.abs(gap).max() <= TOLERANCE * max(wanted.min(), 0.01):
+        if np.abs(share - wanted).max() <= TOLERANCE * max(wanted.min(), 0.01) or moved <= SETTLED:
             break
         if len(steps) - since >= FOLD:
-            state = stored(state.withColumn("rate", rate_after(steps[since:], F.col("rate"))), "rates")
+            latest = rates_after(steps[since:], F.col("rate"), F.col("before"))
+            state = stored(state.select("n_tokens", *names, latest.alias("_s")).select("n_tokens", *names, "_s.rate", "_s.before"), "rates")
             since = len(steps)
-        steps.append((size_of_step * weight * gap).tolist())
-        rated = state.withColumn("_r", rate_after(steps[since:], F.col("rate")))
-        got = rated.agg(*(F.sum(n * x * F.col("_r")).alias(f"t{i}") for i, x in enumerate(p))).first()
-        share = np.array([got[f"t{i}"] for i in range(size)]) / total
+        next_pace = (1 + np.sqrt(1 + 4 * pace * pace)) / 2
+        momentum = (pace - 1) / next_pace
+        # totals follow the rates linearly, so those at the point ahead need no pass
+        gap = share + momentum * (share - earlier) - wanted
+        steps.append([float(momentum), *(size_of_step * weight * gap).tolist()])
+        rated = state.select("n_tokens", *names, rates_after(steps[since:], F.col("rate"), F.col("before")).alias("_s"))
+        got = rated.agg(
+            *(F.sum(n * x * F.col("_s.rate")).alias(f"t{i}") for i, x in enumerate(p)), F.sum(n * F.abs(F.col("_s.rate") - F.col("_s.before"))).alias("moved")
+        ).first()
+        now, moved = np.array([got[f"t{i}"] for i in range(size)]) / total, got["moved"] / total
+        worse = (weight * (now - wanted) ** 2).sum() > (weight * (share - wanted) ** 2).sum()
+        earlier, share, pace = share, now, 1.0 if worse else next_pace
+    else:
+        raise RuntimeError(f"rates not settled after {STEPS} steps: gaps {(share - wanted).tolist()}")
     return steps
 
 
-def mix_documents(documents: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
+def mix_documents(documents: DataFrame, labels: DataFrame, targets: dict[str, float | None] | None = None) -> DataFrame:
     """doc_id, n_tokens, posteriors by domain and rate, one row for each row of ``documents``.
 
-    ``targets`` are weights by domain. A null or empty text has no tokens, the prior as posterior and a
+    ``targets`` are weights by domain; a domain with None keeps its share. Where no nonnegative rates meet the targets,
+    they come as near as they can. A null or empty text has no tokens, the prior as posterior and a
     rate that changes no total. Without labels every document gets the same posterior. Repeated rows
     get equal rates; an empty table gives no rows; other columns are not read.
     """
     rows = documents.select(F.struct("doc_id").alias("row"), F.col("text").alias("_text"))
     members = stored(with_posteriors(rows, *fit_domains(documents, labels)), "members")
-    rate = rate_after(fit_rates(members, targets or TARGETS))
+    rate = rates_after(fit_rates(members, targets or TARGETS))["rate"]
     return members.select("row.doc_id", "n_tokens", *(f"p_{d}" for d in DOMAINS), rate.alias("rate"))
 
 
 def apply_rates(
-    documents: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, total_share: float = 1.0
+    documents: DataFrame, labels: DataFrame, targets: dict[str, float | None] | None = None, total_share: float = 1.0
 ) -> DataFrame:
     """``documents`` with each row as often as its rate says; a fraction is decided by a hash of doc_id.
 
@@ -164,6 +196,6 @@ def apply_rates(
     rows = documents.select(F.struct(*documents.columns).alias("row"), F.col("text").alias("_text"))
     members = stored(with_posteriors(rows, *fit_domains(documents, labels)), "members")
     spot = F.pmod(F.xxhash64(F.lit("copies"), "row.doc_id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    times = F.floor(rate_after(fit_rates(members, targets or TARGETS, total_share)) + spot).cast("int")
+    times = F.floor(rates_after(fit_rates(members, targets or TARGETS, total_share))["rate"] + spot).cast("int")
     copies = members.select("row", times.alias("times")).where("times > 0")
     return copies.select("row", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy")).select("row.*")

@@ -258,6 +258,25 @@ def pieces_round_trip(rows, source):
     return 1 - used / (packing.SEQUENCE * len(by_sequence))
 
 
+def test_mixing_keeps_domains_without_a_weight_and_ends_at_the_optimum(spark, tables):
+    docs, labels = tables["documents"], tables["labels"]
+    members = mixing.mix_documents(docs, labels, {"plain": 0.9, "poor": 0.1, "toxic": None}).toPandas()
+    n, p = members.n_tokens.to_numpy(float), members[[f"p_{d}" for d in mixing.DOMAINS]].to_numpy()
+    before, after = n @ p / n.sum(), (n * members.rate.to_numpy()) @ p / n.sum()
+    want = mixing.wanted_shares(before, {"plain": 0.9, "poor": 0.1, "toxic": None}, 1.0)
+    assert want[2] == before[2] and np.abs(after - want).max() < 1e-3
+    # a target that rates can hardly meet ends near the optimum that many plain steps in one process reach
+    got = mixing.mix_documents(docs, labels, {"plain": 0.3, "poor": 0.7, "toxic": 0.0}).toPandas().rate.to_numpy()
+    want, share, rate = np.array([0.3, 0.7, 0.0]), before, np.ones(len(n))
+    weight = 1 / np.maximum(before, 1e-3)
+    step = 1 / np.linalg.eigvalsh(np.sqrt(np.outer(weight, weight)) * ((p * n[:, None]).T @ p / n.sum())).max()
+    for _ in range(20_000):
+        rate = np.maximum(0, rate - p @ (step * weight * (share - want)))
+        share = (n * rate) @ p / n.sum()
+    missed = lambda r: (weight * ((n * r) @ p / n.sum() - want) ** 2).sum()
+    assert missed(got) <= missed(rate) + 0.01 * missed(np.ones(len(n)))
+
+
 def test_packing_round_trip(spark, tables, corpus):
     source = [(r["doc_id"], r["text"]) for r in tables["documents"].select("doc_id", "text").collect()]
     assert pieces_round_trip(packing.pack_documents(tables["documents"], TOKENIZER).collect(), source) < 0.01
