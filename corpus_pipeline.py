@@ -9,6 +9,7 @@ vocabulary), so tests compare them with plain versions over a small table.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -20,28 +21,49 @@ from obsguard.llm.common import stored, table
 NEAR_WIDTH, NEAR_SHARE = 5, 80
 
 #: Weights of the mix, and its tokens against the input's: plain documents are repeated rather than left out.
-MIX = {"plain": 0.93, "poor": 0.05, "toxic": 0.02}
+#: What looks toxic keeps its share: the first stage has decided on it.
+MIX: dict[str, float | None] = {"plain": 0.95, "poor": 0.05, "toxic": None}
 MIX_TOTAL = 1.1
 
+#: Documents are long rows: a batch between Spark and Python holds so many rows and bytes at most.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def stage(fn: Stage) -> Stage:
+    """``fn`` with batches bounded for whole texts."""
+
+    @wraps(fn)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        for name, value in BATCHES.items():
+            spark.conf.set(name, value)
+        return fn(spark, docs, sf_dir)
+
+    return run_stage
+
+
+@stage
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.keep_civil(docs, toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels")))
 
 
+@stage
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return jaccard.keep_one_of_each(docs, NEAR_WIDTH, NEAR_SHARE)
 
 
+@stage
 def replace_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return secrets.redact_secrets(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+@stage
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.apply_rates(docs, table(spark, sf_dir, "labels"), MIX, MIX_TOTAL)
 
 
+@stage
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
