@@ -12,10 +12,16 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from coverage_queries import bindings as B
-from coverage_queries.q_grids import PREPARED_SQL, prepared
+from coverage_queries.q_grids import (
+    _FILE_VALID, _GRID_CTE, PREPARED_SQL, _validate_cte, files, grid, prepared, validated,
+)
+from coverage_queries.q_grids import (
+    _FILES_CTE as _GRID_FILES_CTE,
+)
 from coverage_queries.registry import query, register
 from obsguard.catalogs import contract
 from obsguard.catalogs import dimensions as dim
+from obsguard.operators import grid as G
 from obsguard.sinks import writers as W
 from obsguard.sources import files as SF
 from obsguard.sources import readers as SR
@@ -96,21 +102,71 @@ def empty_files(spark, sf_dir):
     )
 
 
+# Orders written as text files, one a customer group, in folders named like it; the content of each follows from the table.
+_GROUPS = 24
+_FOLDER_SQL = f"""filed AS (SELECT 'g' || (o_custkey % {_GROUPS}) AS folder, string_agg(o_orderkey || ';' || o_orderpriority || chr(10), '' ORDER BY o_orderkey) AS content FROM orders GROUP BY ALL)"""
+
+
+def filed_orders(spark, sf_dir):
+    """A folder with one file a customer group, written from orders, and what discovery passes over."""
+    root = scratch(spark)
+    rows = B.table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("g"), (F.col("o_custkey") % _GROUPS).cast("string")).alias("folder"), "o_orderkey",
+        F.concat_ws(";", F.col("o_orderkey").cast("string"), "o_orderpriority").alias("value"),
+    )
+    ordered = rows.repartition(8, "folder").sortWithinPartitions("folder", "o_orderkey").select("folder", "value")
+    ordered.write.partitionBy("folder").text(f"{root}/raw")
+    return root
+
+
 def discovered(spark, sf_dir):
+    root = filed_orders(spark, sf_dir)
     sources = [
-        {"type": "parquet", "directory": sf_dir, "extensions": ["parquet"], "recursive": True, "enabled": True},
-        {"type": "csv", "directory": f"{sf_dir}/absent", "extensions": [".csv"], "enabled": True},
-        {"type": "bufr", "directory": sf_dir, "extensions": [".bufr"], "enabled": False},
+        {"type": "txt", "directory": f"{root}/raw", "extensions": ["TXT"], "recursive": True, "enabled": True},
+        {"type": "csv", "directory": f"{root}/absent", "extensions": [".csv"], "enabled": True},
+        {"type": "bufr", "directory": f"{root}/raw", "extensions": [".bufr"], "enabled": False},
     ]
-    return SF.discover(spark, sources)
+    return SF.discover(spark, sources, root)
+
 
+def _folder(path: str):
+    return F.regexp_extract(path, "folder=([^/]+)/", 1).alias("folder")
 
-# Depends on where the tables lie, so there is no SQL for these two.
-register(
+
+@query(
     "src_01_discover_sources",
-    lambda spark, sf_dir: discovered(spark, sf_dir).select("source_type", "filename", "extension", "size_bytes"),
+    f"WITH {_FOLDER_SQL} SELECT 'txt' AS source_type, folder, '.txt' AS extension, strlen(content) AS size_bytes FROM filed",
 )
-register("src_05_metadata_and_hash", lambda spark, sf_dir: discovered(spark, sf_dir).drop("source_ordinal"))
+def discovery_of_sources(spark, sf_dir):
+    return discovered(spark, sf_dir).select("source_type", _folder("relative_path"), "extension", "size_bytes")
+
+
+@query(
+    "src_05_metadata_and_hash",
+    f"WITH {_FOLDER_SQL} SELECT folder, '.txt' AS extension, strlen(content) AS size_bytes, sha256(content) AS sha256, TRUE AS dated FROM filed",
+)
+def metadata_and_hash(spark, sf_dir):
+    return discovered(spark, sf_dir).select(
+        _folder("relative_path"), "extension", "size_bytes", "sha256", F.col("modified_utc").rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{6}[+-]\d\d:\d\d$").alias("dated")
+    )
+
+
+@query(
+    "src_01_discovery_warnings",
+    """SELECT 'folder_missing' AS problem, 'priority ' || o_orderpriority AS source_type FROM orders GROUP BY o_orderpriority HAVING min(o_custkey) % 2 = 0
+    UNION ALL SELECT CASE min(o_custkey) % 3 WHEN 0 THEN 'no_path' ELSE 'no_extensions' END, 'priority ' || o_orderpriority FROM orders GROUP BY o_orderpriority HAVING min(o_custkey) % 2 <> 0""",
+)
+def warnings_of_discovery(spark, sf_dir):
+    root = scratch(spark)
+    first = B.table(spark, sf_dir, "orders").groupBy("o_orderpriority").agg(F.min("o_custkey").alias("k")).collect()
+    sources = [
+        {
+            "type": f"priority {r['o_orderpriority']}", "enabled": True,
+            "directory": None if r["k"] % 2 and r["k"] % 3 == 0 else f"{root}/{i}", "extensions": [".csv"] if r["k"] % 2 == 0 else [],
+        }
+        for i, r in enumerate(first)
+    ]
+    return SF.discovery_warnings(spark, sources).select("problem", "source_type")
 
 
 _DEDUP_SQL = f"""WITH {_FILES_CTE}, r AS (SELECT *, row_number() OVER w AS rn, first_value(path) OVER w AS first_path FROM inv WHERE {_LANGS}
@@ -290,6 +346,47 @@ def layouts(spark, sf_dir):
     )
 
 
+# Layout -> (table, time, amount, rows that are written again). Events span a month of days, orders seven years.
+_LAYOUTS = {
+    "daily": ("events", "ts", "value", "day(ts) <= 10", ["year", "month", "day"]),
+    "yearly": ("orders", "o_orderdate", "o_totalprice", "year(o_orderdate) <= 1995", ["year"]),
+}
+
+
+def _layout_query(layout: str):
+    source, at, amount, again, keys = _LAYOUTS[layout]
+
+    def run(spark, sf_dir):
+        """Written twice, the second time some folders only and with doubled amounts; the other folders stay."""
+        folder = scratch(spark)
+        parts = {"year": F.year(at), "month": F.month(at), "day": F.dayofmonth(at)}
+        df = B.table(spark, sf_dir, source).select(at, amount).withColumns({k: parts[k] for k in keys})
+        W.write_layout(df, folder, layout)
+        W.write_layout(df.filter(again).withColumn(amount, F.col(amount) * 2), folder, layout)
+        return spark.read.parquet(folder).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(amount), 2).alias("total"))
+
+    columns = ", ".join(f"CAST({k}({at}) AS INT) AS {k}" for k in keys)
+    sql = f"SELECT {columns}, count(*) AS n, round(sum(CASE WHEN {again} THEN {amount} * 2 ELSE {amount} END), 2) AS total FROM {source} GROUP BY ALL"
+    register(f"exp_06_{layout}_layout", run, sql)
+
+
+for _layout in _LAYOUTS:
+    _layout_query(_layout)
+
+
+@query(
+    "exp_07_quarantined_files",
+    f"WITH {_GRID_CTE}, {_validate_cte()}, {_GRID_FILES_CTE}, {_FILE_VALID} SELECT f.source_file, count(g.source_row) AS rows, any_value(f.error_count) AS errors"
+    " FROM fv f LEFT JOIN grid g USING (source_file) WHERE NOT f.structure_valid GROUP BY f.source_file",
+)
+def quarantined_files(spark, sf_dir):
+    folder = scratch(spark)
+    W.quarantine_files(grid(spark, sf_dir), G.file_validity(files(spark, sf_dir), validated(spark, sf_dir)), folder)
+    return spark.read.parquet(folder).groupBy("source_file").agg(
+        F.count("source_row").alias("rows"), F.max(F.size("validation_errors")).cast("bigint").alias("errors")
+    )
+
+
 @query("exp_07_quarantine", f"WITH {B.WIDE_CTE} SELECT event_id, month, day FROM obs WHERE coalesce(month > 12 OR day > 29, TRUE)")
 def quarantined(spark, sf_dir):
     folder = scratch(spark)
@@ -298,11 +395,12 @@ def quarantined(spark, sf_dir):
     return spark.read.parquet(folder)
 
 
-@query("exp_08_publication_manifest")
+@query(
+    "exp_08_publication_manifest",
+    f"WITH {_FOLDER_SQL} SELECT folder, strlen(content) AS size_bytes, sha256(content) AS sha256 FROM filed",
+)
 def publication(spark, sf_dir):
-    folder = scratch(spark)
-    W.write_parquet(orders(spark, sf_dir), folder)
-    return W.manifest(spark, folder)
+    return W.manifest(spark, filed_orders(spark, sf_dir)).select(_folder("path"), "size_bytes", "sha256")
 
 
 @query(

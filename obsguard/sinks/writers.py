@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
+from obsguard.sources.listing import list_files, with_digests
+
 TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 JDBC_BATCH = 5000
 
@@ -48,17 +50,20 @@ def write_json(df: DataFrame, path: str, overwrite: bool = True) -> None:
     df.write.mode(_mode(overwrite)).json(path)
 
 
+#: Folder columns of the layouts.
 LAYOUTS = {"yearly": ["year"], "monthly": ["year", "month"], "daily": ["year", "month", "day"]}
 
 
 def write_layout(df: DataFrame, path: str, layout: str, overwrite: bool = True) -> None:
-    """Daily, monthly or yearly folders.
+    """Daily, monthly or yearly folders; a rerun replaces the folders that it has rows for and leaves the others.
 
     Rows are rebalanced by the folder columns: adaptive execution splits a large folder into as many
     tasks as its size asks for and merges small ones.
     """
     keys = LAYOUTS[layout]
-    write_parquet(df.hint("rebalance", *[F.col(k) for k in keys]), path, overwrite, keys)
+    spread = df.hint("rebalance", *[F.col(k) for k in keys])
+    writer = spread.write.mode(_mode(overwrite)).option("compression", "snappy").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*keys).parquet(path)
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str] | None = None) -> None:
@@ -73,14 +78,21 @@ def quarantine(df: DataFrame, bad, path: str, overwrite: bool = True) -> None:
     write_parquet(df.filter(F.coalesce(bad, F.lit(True))), path, overwrite)
 
 
+def quarantine_files(grid: DataFrame, files: DataFrame, path: str, overwrite: bool = True) -> None:
+    """Copy all rows of the files that are not valid, with the reasons; the grid keeps them.
+
+    ``files`` has source_file, structure_valid and validation_errors; a file that could not be read has no rows, and
+    one row without a sheet stands for it.
+    """
+    bad = files.filter(~F.coalesce("structure_valid", F.lit(False))).select("source_file", "validation_errors")
+    write_parquet(bad.join(grid, "source_file", "left"), path, overwrite)
+
+
 def manifest(spark: SparkSession, directory: str) -> DataFrame:
-    """Name, size and SHA-256 of every product file below a folder."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(directory)
-    return files.select(
-        F.regexp_extract("path", r"([^/]+)$", 1).alias("filename"),
-        F.col("length").alias("size_bytes"),
-        F.sha2("content", 256).alias("sha256"),
-    )
+    """Path, name, size and SHA-256 of every product file below a folder; markers and checksum files are none."""
+    files = list_files(spark, directory).withColumn("filename", F.regexp_extract("path", r"([^/]+)$", 1))
+    products = files.filter(~F.col("filename").rlike("^[._]")).select("path", "filename", "size_bytes")
+    return with_digests(spark, products, directory)
 
 
 def export_columns(df: DataFrame, flags: dict[str, bool]) -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
+
+from obsguard.sources.listing import folder_exists, list_files, with_digests
 
 # Names of system files that are never data.
 SYSTEM_NAMES = ["thumbs.db", "desktop.ini", ".ds_store"]
@@ -55,21 +57,12 @@ def inventory_of_source(
     spark: SparkSession, source_type: str, ordinal: int, directory: str, extensions: Iterable[str],
     recursive: bool = True, root: str | None = None,
 ) -> DataFrame:
-    """Inventory rows of one source folder; a folder that does not exist gives none.
-
-    The scan itself leaves out empty files and names starting with ``.`` or ``_``.
-    """
-    try:
-        files = (
-            spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(directory)
-        )
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        return spark.createDataFrame([], INVENTORY_SCHEMA)
+    """Inventory rows of one source folder; a folder that does not exist gives none."""
+    listed = select_files(list_files(spark, directory, recursive), extensions).filter(F.col("size_bytes") > 0)
+    files = with_digests(spark, listed, directory)
     local = F.regexp_replace(F.col("path"), "^file:/*", "/")
-    relative = F.regexp_replace(local, f"^{root.rstrip('/')}/", "") if root else local
-    return select_files(files, extensions).filter(F.col("length") > 0).select(
+    relative = F.regexp_replace(local, f"^{re.escape(root.rstrip('/'))}/", "") if root else local
+    return files.select(
         F.lit(ordinal).alias("source_ordinal"),
         F.lit(source_type).alias("source_type"),
         local.alias("path"),
@@ -77,30 +70,57 @@ def inventory_of_source(
         filename_of(local).alias("filename"),
         stem_of(local).alias("stem"),
         extension_of(local).alias("extension"),
-        F.col("length").alias("size_bytes"),
-        F.date_format("modificationTime", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx").alias("modified_utc"),
-        F.sha2("content", 256).alias("sha256"),
+        "size_bytes",
+        F.date_format(F.timestamp_micros("modified_us"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx").alias("modified_utc"),
+        "sha256",
     )
 
 
+def _usable(source: dict) -> bool:
+    return bool(source.get("enabled", False) and source.get("directory") and normalize_extensions(source.get("extensions", [])))
+
+
 def discover(spark: SparkSession, sources: list[dict], root: str | None = None) -> DataFrame:
     """Inventory of all enabled sources, in their configured order.
 
     A source is ``{"type", "directory", "extensions", "recursive", "enabled"}``.
     """
-    parts = [
-        inventory_of_source(
-            spark, s["type"], i, s["directory"], s["extensions"], s.get("recursive", True), root
-        )
-        for i, s in enumerate(sources)
-        if s.get("enabled", False) and s.get("directory") and normalize_extensions(s.get("extensions", []))
-    ]
     out = spark.createDataFrame([], INVENTORY_SCHEMA)
-    for p in parts:
-        out = out.unionByName(p)
+    for i, s in enumerate(sources):
+        if _usable(s):
+            out = out.unionByName(
+                inventory_of_source(spark, s["type"], i, s["directory"], s["extensions"], s.get("recursive", True), root)
+            )
     return out
 
 
+WARNINGS = "source_ordinal int, source_type string, problem string, path string"
+
+
+def discovery_warnings(spark: SparkSession, sources: list[dict]) -> DataFrame:
+    """What discovery passes over: enabled sources without a folder, without extensions, with a folder that does not
+    exist; and files of a wanted extension that are empty. Ignored names are not empty files."""
+    told: list[tuple[int, str, str, str | None]] = []
+    out = spark.createDataFrame([], WARNINGS)
+    for i, s in enumerate(sources):
+        if not s.get("enabled", False):
+            continue
+        if not s.get("directory"):
+            told.append((i, s["type"], "no_path", None))
+        elif not normalize_extensions(s.get("extensions", [])):
+            told.append((i, s["type"], "no_extensions", s["directory"]))
+        elif not folder_exists(spark, s["directory"]):
+            told.append((i, s["type"], "folder_missing", s["directory"]))
+        else:
+            listed = select_files(list_files(spark, s["directory"], s.get("recursive", True)), s["extensions"])
+            _, empty = split_empty(listed)
+            out = out.unionByName(empty.select(
+                F.lit(i).alias("source_ordinal"), F.lit(s["type"]).alias("source_type"), F.lit("empty_file").alias("problem"),
+                F.regexp_replace("path", "^file:/*", "/").alias("path"),
+            ))
+    return out.unionByName(spark.createDataFrame(told, WARNINGS))
+
+
 def mark_duplicate_files(inventory: DataFrame) -> DataFrame:
     """Add ``duplicate_of``: the path of the first file with equal content, null for the first itself.
 

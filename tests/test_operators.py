@@ -18,6 +18,7 @@ from obsguard.operators import temporal as TP
 from obsguard.plans import quality as Q
 from obsguard.sinks import writers as W
 from obsguard.sources import files as SF
+from obsguard.sources import listing as SL
 from obsguard.sources import readers as SR
 
 
@@ -391,3 +392,66 @@ def test_only_needed_columns_are_read(spark):
 def test_row_checks_run_on_a_stream_schema(spark):
     stream = spark.readStream.format("rate").load().select(F.col("value").cast("double").alias("relative_humidity_pct"))
     assert FW.assess(FW.evaluate(stream, RR.row_checks(stream, ["humidity_invalid_range"]))).isStreaming
+
+
+# --- listings, digests, discovery ---------------------------------------------------------------
+
+
+def test_listing_sees_hidden_and_empty_files_at_any_depth(spark, tmp_path):
+    want = {}
+    for k in range(70):
+        folder = tmp_path / f"st{k % 9}" / f"y{k}" / "deep" / "er"
+        folder.mkdir(parents=True)
+        (folder / f"f {k}.csv").write_bytes(b"x" * k)
+        want[str(folder / f"f {k}.csv")] = k
+    (tmp_path / ".hidden.csv").write_text("h")
+    (tmp_path / "_note.csv").write_text("")
+    want |= {str(tmp_path / ".hidden.csv"): 1, str(tmp_path / "_note.csv"): 0}
+    got = {r["path"]: r["size_bytes"] for r in SL.list_files(spark, str(tmp_path)).collect()}
+    assert got == want
+    flat = SL.list_files(spark, str(tmp_path), recursive=False).collect()
+    assert {r["path"] for r in flat} == {str(tmp_path / ".hidden.csv"), str(tmp_path / "_note.csv")}
+    assert SL.list_files(spark, str(tmp_path / "absent")).collect() == []
+
+
+def test_digests_run_over_blocks(spark, tmp_path, monkeypatch):
+    import hashlib
+
+    (tmp_path / "large.csv").write_bytes(bytes(range(256)) * 20_000)  # five blocks
+    (tmp_path / "one.CSV").write_bytes(b"\x00\xff\n")
+    (tmp_path / "empty.csv").write_bytes(b"")
+    files = SF.discover(spark, [{"type": "csv", "directory": str(tmp_path), "extensions": ["csv"], "enabled": True}])
+    got = {r["filename"]: (r["sha256"], r["size_bytes"]) for r in files.collect()}
+    assert got == {n: (hashlib.sha256((tmp_path / n).read_bytes()).hexdigest(), (tmp_path / n).stat().st_size) for n in ("large.csv", "one.CSV")}
+
+
+def test_discovery_warns_of_what_it_passes_over(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "void.csv").write_text("")
+    (tmp_path / "a" / "~$void.csv").write_text("")
+    (tmp_path / "a" / "void.txt").write_text("")
+    sources = [
+        {"type": "csv", "directory": str(tmp_path / "a"), "extensions": ["csv"], "enabled": True},
+        {"type": "metar", "directory": "", "extensions": ["txt"], "enabled": True},
+        {"type": "bufr", "directory": str(tmp_path), "extensions": [" "], "enabled": True},
+        {"type": "xlsx", "directory": str(tmp_path / "none"), "extensions": ["xlsx"], "enabled": True},
+        {"type": "off", "directory": "", "extensions": [], "enabled": False},
+    ]
+    got = {(r["source_type"], r["problem"], r["path"]) for r in SF.discovery_warnings(spark, sources).collect()}
+    assert got == {
+        ("csv", "empty_file", str(tmp_path / "a" / "void.csv")), ("metar", "no_path", None),
+        ("bufr", "no_extensions", str(tmp_path)), ("xlsx", "folder_missing", str(tmp_path / "none")),
+    }
+
+
+def test_a_rerun_replaces_its_own_folders_only(spark, tmp_path):
+    df = spark.createDataFrame([(2020, 1, "a"), (2020, 2, "b"), (2021, 1, "c")], "year int, month int, v string")
+    W.write_layout(df, str(tmp_path / "out"), "monthly")
+    W.write_layout(df.filter("year = 2020 and month = 2").withColumn("v", F.lit("new")), str(tmp_path / "out"), "monthly")
+    assert sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).select("year", "month", "v").collect()) == [(2020, 1, "a"), (2020, 2, "new"), (2021, 1, "c")]
+
+
+def test_export_metrics_belong_to_the_rows_written(spark, tmp_path):
+    df = spark.range(1000).withColumn("even", F.col("id") % 2 == 0)
+    got = W.write_observed(df, str(tmp_path / "x"), {"rows": F.count(F.lit(1)), "even": F.count_if("even")})
+    assert got == {"rows": 1000, "even": 500} and spark.read.parquet(str(tmp_path / "x")).count() == 1000
