@@ -308,6 +308,37 @@ def canonical(spark, sf_dir):
     )
 
 
+# A month and an hour that one byte cannot hold, an elevation in words; every column of the contract is audited.
+_STRAINED = {"month": "month * 25", "hour_utc": "hour_utc * 10", "elevation_m": "CASE WHEN event_id % 9 = 0 THEN 'high' ELSE CAST(elevation_m AS STRING) END"}
+_SCHEMA = contract.canonical_schema()
+_CARRIED = [f.name for f in _SCHEMA.fields if f.name in B.WIDE]
+
+
+def _audit_sql() -> str:
+    casts = {"month": "month * 25 > 127", "hour_utc": "hour_utc * 10 > 127", "elevation_m": "event_id % 9 = 0"}
+    branches = [f"SELECT '{c}' AS \"column\", 'cast_failed' AS problem, count(*) AS n FROM obs WHERE {bad}" for c, bad in casts.items()]
+    for f in _SCHEMA.fields:
+        if not f.nullable:
+            lost = f"({f.name} IS NULL" + (f" OR {casts[f.name]})" if f.name in casts else ")") if f.name in _CARRIED else "TRUE"
+            branches.append(f"SELECT '{f.name}', 'required_null', count(*) FROM obs WHERE {lost}")
+    return f"WITH {B.WIDE_CTE}, found AS ({' UNION ALL '.join(branches)}) SELECT * FROM found WHERE n > 0"
+
+
+@query("prj_12_contract_findings", _audit_sql())
+def contract_findings(spark, sf_dir):
+    rows = B.wide(spark, sf_dir).selectExpr(*[f"{_STRAINED.get(c, c)} AS {c}" for c in _CARRIED])
+    found = C.canonical_with_findings(rows).select(F.explode("contract_findings").alias("f"))
+    return found.groupBy(F.col("f.column").alias("column"), F.col("f.problem").alias("problem")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "prj_12_repeated_keys",
+    f"WITH {B.WIDE_CTE} SELECT station_id, year, month, day, hour_utc, count(*) AS rows FROM obs GROUP BY ALL HAVING count(*) > 1",
+)
+def repeated_keys(spark, sf_dir):
+    return C.key_violations(B.wide(spark, sf_dir), ["station_id", "year", "month", "day", "hour_utc"])
+
+
 @query(
     "prj_12_required_columns",
     f"""WITH {B.WIDE_CTE} SELECT 'station_id' AS column_name, count(*) FILTER (station_id IS NULL) AS null_count FROM obs

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from coverage_queries import bindings as B
-from coverage_queries.q_grids import _GRID_CTE, _INGEST_STATS, MELTED, _MELT_SQL, rollup
+from coverage_queries.q_grids import _GRID_CTE, _INGEST_STATS, _MELT_SQL, _TEXT_CTE, MELTED, prepared, rollup
 from coverage_queries.q_time import _step_sql
-from coverage_queries.registry import query
+from coverage_queries.registry import query, register
+from obsguard.functions import scalars as S
 from obsguard.operators import canonical as C
 from obsguard.operators import framework as FW
 from obsguard.operators import grid as G
@@ -58,6 +59,28 @@ def describe(spark, sf_dir):
     return out.withColumns({c: F.round(c, 6) for c in ("mean", "standard_deviation", "median")})
 
 
+# Values with their flag by the step rule, and the copies of a station's hour, in one table of statistics.
+_STATISTICS_SQL = f"""WITH flags AS ({_STEP}), rows_ AS (SELECT e.event_type AS variable, e.user_id AS station_id, e.value, f.flag,
+      row_number() OVER (PARTITION BY e.user_id, e.event_type, date_trunc('hour', e.ts) ORDER BY e.event_id) > 1 AS copy FROM flags f JOIN events e USING (event_id))
+    SELECT station_id, variable, count(*) AS observations, count(*) FILTER (value IS NULL) AS missing, round(count(*) FILTER (value IS NULL) * 100.0 / count(*), 4) AS missing_pct,
+    count(*) FILTER (flag = 'PASS') AS passed, count(*) FILTER (flag = 'SUSPECT') AS suspect, count(*) FILTER (flag = 'ERROR') AS errors,
+    round(count(*) FILTER (flag = 'PASS') * 100.0 / count(*), 4) AS passed_pct, count(*) FILTER (copy) AS duplicates, round(avg(value), 8) AS mean, min(value) AS minimum,
+    max(value) AS maximum, round(stddev_samp(value), 8) AS standard_deviation, round(quantile_cont(value, 0.5), 8) AS median FROM rows_ GROUP BY ALL"""
+
+
+def statistics(spark, sf_dir):
+    flagged = TP.apply_checks(
+        B.long(spark, sf_dir), ["station_id"], ["ts", "event_id"], [TP.step("flag", "value", "ts", 40.0, 30, 90)]
+    ).withColumn("_hour", F.date_trunc("hour", "ts"))
+    marked = TP.mark_duplicates(flagged, ["station_id", "variable", "_hour"], ["event_id"], "_copy")
+    out = SM.descriptive_statistics(marked.withColumn("_copy", F.col("_copy") == "ERROR"), ["station_id", "variable"], "value", "flag", "_copy")
+    return out.withColumns({c: F.round(c, 8) for c in ("mean", "standard_deviation", "median")})
+
+
+register("agg_07_statistics_table", statistics, _STATISTICS_SQL)
+register("agg_19_statistics_report", statistics, _STATISTICS_SQL)
+
+
 @query(
     "agg_07_flag_totals",
     f"""WITH flags AS ({_STEP}) SELECT e.event_type AS variable, count(*) AS observations, count(*) FILTER (flag = 'PASS') AS passed,
@@ -87,14 +110,15 @@ def monthly(spark, sf_dir):
 
 @query(
     "agg_12_daily_extremes",
-    f"""WITH {B.WIDE_CTE} SELECT user_id AS station_id, CAST(ts AS DATE) AS local_date, max(air_temperature_c) AS maximum_temperature,
-    min(air_temperature_c) AS minimum_temperature, round(sum(accumulated_precipitation_mm), 6) AS precipitation_total FROM obs GROUP BY ALL""",
+    f"""WITH {B.WIDE_CTE}, {B.STATION_CTE}, l AS (SELECT obs.*, CAST(ts AT TIME ZONE 'UTC' AT TIME ZONE coalesce(s.timezone, 'America/Lima') AS DATE) AS local_date
+      FROM obs LEFT JOIN stations s ON obs.user_id = s.user_id)
+    SELECT user_id AS station_id, local_date, max(air_temperature_c) AS maximum_temperature,
+    min(air_temperature_c) AS minimum_temperature, round(sum(accumulated_precipitation_mm), 6) AS precipitation_total FROM l GROUP BY ALL""",
 )
 def extremes(spark, sf_dir):
-    df = B.wide(spark, sf_dir).select(
-        F.col("user_id").alias("station_id"), F.to_date("ts").alias("local_date"), "air_temperature_c",
-        "accumulated_precipitation_mm",
-    )
+    zones = B.stations(spark, sf_dir).select(F.col("user_id").alias("station_id"), "timezone")
+    obs = B.wide(spark, sf_dir).select(F.col("user_id").alias("station_id"), "ts", "air_temperature_c", "accumulated_precipitation_mm")
+    df = TP.with_station_zone(obs, zones).withColumn("local_date", F.to_date(S.local_time(F.col("ts"), F.col("timezone"))))
     out = SM.daily_extremes(df, ["station_id"], "local_date", "air_temperature_c", "accumulated_precipitation_mm")
     return out.withColumn("precipitation_total", F.round("precipitation_total", 6))
 
@@ -179,3 +203,36 @@ _METRICS = [
 )
 def import_report(spark, sf_dir):
     return run_log(spark, "run-1", "stage02", G.ingestion_statistics(rollup(spark, sf_dir)))
+
+
+@query(
+    "agg_19_preprocessing_report",
+    f"""WITH {_TEXT_CTE}, c AS (SELECT 'station_id' AS field, 'normalize_case' AS reason FROM txt
+      UNION ALL SELECT 'report_status', 'normalize_case' FROM txt)
+    SELECT field, reason, count(*) AS corrections FROM c GROUP BY ALL""",
+)
+def preprocessing_report(spark, sf_dir):
+    """What preparation changed, by field and reason."""
+    entries = prepared(spark, sf_dir).select(F.explode("corrections").alias("c"))
+    return entries.groupBy(F.col("c.field").alias("field"), F.col("c.reason").alias("reason")).agg(F.count(F.lit(1)).alias("corrections"))
+
+
+@query(
+    "agg_19_graphics_data",
+    f"""WITH {B.LONG_CTE} SELECT 'histogram' AS product, variable AS series, CAST(floor(value / 25.0) * 25.0 AS DOUBLE) AS x, CAST(count(*) AS DOUBLE) AS y FROM long GROUP BY variable, floor(value / 25.0)
+    UNION ALL SELECT 'hourly_mean', variable, CAST(hour(ts) AS DOUBLE), round(avg(value), 4) FROM long GROUP BY variable, hour(ts)
+    UNION ALL SELECT 'daily_count', variable, CAST(epoch_us(date_trunc('day', ts)) / 86400000000 AS DOUBLE), CAST(count(*) AS DOUBLE) FROM long GROUP BY variable, date_trunc('day', ts)""",
+)
+def graphics(spark, sf_dir):
+    """The points behind the charts as one tidy table: histogram, day curve, series; one scan and one exchange."""
+    long_df = B.long(spark, sf_dir)
+    x = F.col("value")
+    points = F.array(
+        F.struct(F.lit("histogram").alias("product"), (F.floor(x / 25.0) * 25.0).cast("double").alias("x")),
+        F.struct(F.lit("hourly_mean").alias("product"), F.hour("ts").cast("double").alias("x")),
+        F.struct(F.lit("daily_count").alias("product"), F.unix_date(F.to_date("ts")).cast("double").alias("x")),
+    )
+    spread = long_df.select(F.col("variable").alias("series"), "value", F.explode(points).alias("p"))
+    rolled = spread.groupBy("p.product", "series", "p.x").agg(F.count(F.lit(1)).alias("n"), F.avg("value").alias("m"))
+    y = F.when(F.col("product") == "hourly_mean", F.round("m", 4)).otherwise(F.col("n").cast("double"))
+    return rolled.select("product", "series", "x", y.alias("y"))

@@ -93,6 +93,25 @@ def duplicate_rule(spark, sf_dir):
     return TP.mark_duplicates(df, ["station_id", "t"], ["event_id"], "flag").select("event_id", "key_flag", "flag")
 
 
+# Line items of one supplier group and status are copies; equal flag and line make them exact ones. The number is order and line.
+_COPY_KEY = ["customer", "mode"]
+_COPIES = """c AS (SELECT (l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey AS line, CASE WHEN l_suppkey % 50 = 0 THEN NULL ELSE l_suppkey % 40 END AS customer, l_linestatus AS mode, l_returnflag AS flag, l_linenumber AS status FROM lineitem)"""
+
+
+@query(
+    "win_01_duplicate_ordinals",
+    f"""WITH {_COPIES}, r AS (SELECT *, row_number() OVER (PARTITION BY customer, mode ORDER BY line) AS n, row_number() OVER (PARTITION BY customer, mode, flag, status ORDER BY line) AS m FROM c)
+    SELECT line, CASE WHEN customer IS NOT NULL AND mode IS NOT NULL THEN n END AS duplicate_ordinal,
+    CASE WHEN customer IS NULL OR mode IS NULL THEN 'not_checked' WHEN n = 1 THEN 'first' WHEN m > 1 THEN 'exact' ELSE 'key' END AS duplicate_kind FROM r""",
+)
+def ordinals(spark, sf_dir):
+    rows = B.table(spark, sf_dir, "lineitem").selectExpr(
+        "(l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey AS line", "CASE WHEN l_suppkey % 50 = 0 THEN NULL ELSE l_suppkey % 40 END AS customer", "l_linestatus AS mode",
+        "l_returnflag AS flag", "l_linenumber AS status",
+    )
+    return TP.duplicate_ordinals(rows, _COPY_KEY, ["flag", "status"], "line", 10**9).select("line", "duplicate_ordinal", "duplicate_kind")
+
+
 # Source order: orders arrive by number, their dates do not.
 _ORDER_SQL = """SELECT o_orderkey, CASE WHEN o_orderdate IS NULL OR lag(o_orderdate) OVER w IS NULL THEN 'NOT_CHECKED'
     WHEN o_orderdate < lag(o_orderdate) OVER w THEN 'SUSPECT' ELSE 'PASS' END AS flag FROM orders

@@ -116,6 +116,48 @@ def to_canonical(df: DataFrame, schema: T.StructType | None = None, fill_missing
     return df.select(*picked)
 
 
+FINDING = "array<struct<column:string,problem:string,value:string>>"
+
+
+def canonical_with_findings(
+    df: DataFrame, schema: T.StructType | None = None, into: str = "contract_findings"
+) -> DataFrame:
+    """The canonical columns, and per row what the contract objects to; one projection, no row is lost.
+
+    ``cast_failed``: a value that its type cannot hold, with the value as it came; ``required_null``: no value, or
+    none left, in a column that must have one. Columns that the frame lacks count as null, others are rejected.
+    """
+    schema = schema or contract.canonical_schema()
+    have = set(df.columns)
+    extra = sorted(have - set(schema.fieldNames()))
+    if extra:
+        raise ValueError(f"columns outside the contract: {extra}")
+    # casts first, as columns of their own: value and finding read the same one
+    cast = df.select(
+        *[F.col(f.name).alias(f"_raw_{f.name}") for f in schema.fields if f.name in have],
+        *[(F.col(f.name) if f.name in have else F.lit(None)).try_cast(f.dataType).alias(f.name) for f in schema.fields],
+    )
+
+    def finding(column: str, problem: str, bad: Column, value: Column) -> Column:
+        entry = F.struct(F.lit(column).alias("column"), F.lit(problem).alias("problem"), value.cast("string").alias("value"))
+        return F.when(bad, entry)
+
+    found = []
+    for f in schema.fields:
+        if f.name in have and df.schema[f.name].dataType != f.dataType:
+            raw = F.col(f"_raw_{f.name}")
+            found.append(finding(f.name, "cast_failed", raw.isNotNull() & F.col(f.name).isNull(), raw))
+        if not f.nullable:
+            found.append(finding(f.name, "required_null", F.col(f.name).isNull(), F.lit(None)))
+    findings = F.array_compact(F.array(*found)) if found else F.array()
+    return cast.withColumn(into, findings.cast(FINDING)).select(*schema.fieldNames(), into)
+
+
+def key_violations(df: DataFrame, key: list[str]) -> DataFrame:
+    """Keys that more than one row has, with the number of rows; counted on the map side, so copies never gather."""
+    return df.groupBy(*key).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+
+
 def null_violations(df: DataFrame, required: list[str]) -> DataFrame:
     """One row per required column: how many nulls it holds (one aggregate for all of them)."""
     counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in required])

@@ -10,7 +10,7 @@ import re
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsguard.catalogs import rulebook as R
@@ -213,3 +213,53 @@ def audit_schema(columns: DataFrame) -> DataFrame:
         "name", F.lit("missing_attribute").alias("problem")
     )
     return gaps.unionByName(repeats).unionByName(empty)
+
+
+_REFERENCE = "org.apache.spark.sql.catalyst.analysis.UnresolvedAttribute"
+
+
+def names_in(spark: SparkSession, expression: str) -> list[str] | None:
+    """The column names of a check written as text, by Spark's own parser; None if it is not an expression."""
+    try:
+        tree = spark._jsparkSession.sessionState().sqlParser().parseExpression(expression)
+    except Exception as error:  # the gateway's and the parser's own error types
+        if "PARSE" not in str(error).upper():
+            raise
+        return None
+    found, left = [], [tree]
+    while left:
+        node = left.pop()
+        if node.getClass().getName() == _REFERENCE:
+            found.append(node.name())
+        children = node.children()
+        left += [children.apply(i) for i in range(children.size())]
+    return sorted(set(found))
+
+
+def audit_expressions(
+    spark: SparkSession, expressions: dict[str, str], known: Iterable[str], aliases: dict[str, str] | None = None
+) -> DataFrame:
+    """(rule_id, problem, detail) of checks written as text: ``invalid_expression``, or ``unknown_name`` for every name that is
+    neither a known column nor an alias of one. The expressions are a catalogue on the driver."""
+    columns = set(known)
+    names = R.COLUMN_ALIASES if aliases is None else aliases
+    rows = []
+    for rule, text in expressions.items():
+        found = names_in(spark, text)
+        if found is None:
+            rows.append((rule, "invalid_expression", text))
+        else:
+            rows += [(rule, "unknown_name", n) for n in found if names.get(n, n) not in columns]
+    return spark.createDataFrame(rows, "rule_id string, problem string, detail string")
+
+
+REQUIRED_KEYS = ("position", "name", "dtype", "nullable", "column_group")
+
+
+def audit_attributes(columns: DataFrame, required: Iterable[str] = REQUIRED_KEYS, name: str = "name") -> DataFrame:
+    """(name, problem) where a contract row lacks a required attribute, or the table lacks its column."""
+    absent = [k for k in required if k not in columns.columns]
+    rows = [F.when(F.col(k).isNull() | (F.trim(F.col(k).cast("string")) == ""), F.lit(f"missing_{k}")) for k in required if k not in absent]
+    held = columns.select(F.col(name).cast("string").alias("name"), F.explode(F.array_compact(F.array(*rows))).alias("problem")) if rows else None
+    told = columns.sparkSession.createDataFrame([("table", f"missing_{k}") for k in absent], "name string, problem string")
+    return told if held is None else held.unionByName(told)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from obsguard.functions import scalars as S
 from obsguard.operators.framework import flag_when
-from obsguard.operators.frames import SLICE_DAYS, over_ordered_groups
+from obsguard.operators.frames import SLICE_DAYS, SLICE_NUMBERS, over_ordered_groups
 from obsguard.operators.joins import one_row_each
 
 Stage = Callable[[WindowSpec], dict[str, Column]]
@@ -241,6 +241,42 @@ def mark_duplicates(df: DataFrame, key: list[str], first_by: list[str], name: st
     ).drop("_first", *[f"_d_{k}" for k in key])
 
 
+def duplicate_ordinals(
+    df: DataFrame, key: list[str], exact: list[str], order: str, numbers: int = SLICE_NUMBERS
+) -> DataFrame:
+    """Add ``duplicate_ordinal`` and ``duplicate_kind`` of every row among the rows with its ``key``.
+
+    The ordinal counts from 1 by ``order``, a unique number. The kind is ``first``, ``exact`` where an earlier row has the same
+    ``exact`` fields, else ``key``; a row with a null in its key is ``not_checked`` and has no ordinal.
+    A key's rows are counted in slices of ``order``; a row's ordinal is its place in the slice and the
+    count of the slices before, so copies of one key never gather. Equal contents meet as one pre-aggregated row.
+    """
+    comparable = S.all_of([F.col(k).isNotNull() for k in key])
+    rows = df.withColumns({"_slice": F.floor(F.col(order) / F.lit(numbers)), "_same": F.xxhash64(*exact), "_fit": comparable})
+    known = rows.filter("_fit")
+    counts = known.groupBy(*key, "_slice").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = W.partitionBy(*key).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
+    counts = counts.select(*key, "_slice", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    # equal contents are compared by their fields; the hash only finds candidates
+    firsts = known.groupBy(*key, "_same", *[F.col(c).alias(f"_x_{c}") for c in exact]).agg(F.min(order).alias("_first"))
+    inside = W.partitionBy(*key, "_slice").orderBy(order)
+    placed = known.withColumn("_k", F.row_number().over(inside)).join(counts, [*key, "_slice"])
+    same = S.all_of([F.col(c).eqNullSafe(F.col(f"_x_{c}")) for c in exact])
+    renamed = firsts.select(*[F.col(k).alias(f"_k_{k}") for k in key], F.col("_same").alias("_same2"), *[f"_x_{c}" for c in exact], "_first")
+    on = S.all_of([F.col(k) == F.col(f"_k_{k}") for k in key]) & (F.col("_same") == F.col("_same2")) & same
+    ordinal = F.col("_before") + F.col("_k")
+    out = placed.join(renamed, on).withColumns(
+        {
+            "duplicate_ordinal": ordinal,
+            "duplicate_kind": F.when(ordinal == 1, "first").when(F.col(order) > F.col("_first"), "exact").otherwise("key"),
+        }
+    ).select(*df.columns, "duplicate_ordinal", "duplicate_kind")
+    others = rows.filter(~F.col("_fit")).select(
+        *df.columns, F.lit(None).cast("bigint").alias("duplicate_ordinal"), F.lit("not_checked").alias("duplicate_kind")
+    )
+    return out.unionByName(others)
+
+
 # --- completeness -------------------------------------------------------------------------------
 
 # The expected local hours of a day (inclusive).

@@ -233,7 +233,9 @@ def evaluate_all(
     ``obs`` has typed columns named by the contract, ``datetime_utc`` and a unique ``row_key``; columns that
     a rule needs and the frame lacks count as null. A station listed twice multiplies nothing.
     """
-    known = enrich_from_stations(obs, stations, STATION, ["timezone"])
+    absent = {c: F.lit(None).cast("double") for c in _numbers(settings) if c not in obs.columns}
+    absent |= {c: F.lit(None).cast("string") for c in ("report_type",) if c not in obs.columns}
+    known = enrich_from_stations(obs.withColumns(absent) if absent else obs, stations, STATION, ["timezone"])
     zone = F.coalesce("timezone", F.lit(TP.FALLBACK_ZONE))
     name = F.upper(F.trim(F.col(STATION).cast("string")))
     known = known.withColumns(
@@ -248,7 +250,15 @@ def evaluate_all(
     beside, items = beside_rows(known, settings, row_key).finish("_beside")
     coded, own = results.finish("_own")
     out = coded.join(beside.select(row_key, "_beside"), row_key).withColumn("qc_codes", F.concat("_own", "_beside"))
-    return out.drop("_own", "_beside", "_station", "_untimed", "local_ts", "station_known"), own + items
+    return out.drop("_own", "_beside", "_station", "_untimed", "local_ts", "station_known", *absent), own + items
+
+
+def _numbers(settings: Settings) -> list[str]:
+    """Columns that rules compare as numbers whatever the frame has."""
+    fixed = ["relative_humidity_pct", "wind_direction_deg", "prevailing_visibility_m", "minimum_temperature_c", "maximum_temperature_c"]
+    paired = ["air_temperature_c", "dew_point_temperature_c", "wind_speed_kt", "wind_gust_kt", "qnh_hpa", "qfe_hpa"]
+    given = [settings.hourly_amount, settings.daily_amount, *settings.limits, *settings.thresholds, *settings.variables, *settings.required]
+    return list(dict.fromkeys([*fixed, *paired, *given]))
 
 
 def beside_rows(known: DataFrame, settings: Settings, row_key: str) -> Results:
@@ -256,9 +266,7 @@ def beside_rows(known: DataFrame, settings: Settings, row_key: str) -> Results:
     placed = ["source_file", "source_row"]
     columns = ["_station", "local_date", "local_ts", TIME, "report_type", settings.hourly_amount, settings.daily_amount]
     have = [c for c in (row_key, *columns, *placed) if c in known.columns]
-    narrow = known.select(*have).withColumns(
-        {c: F.lit(None).cast("string") for c in ("report_type", settings.hourly_amount, settings.daily_amount) if c not in known.columns}
-    )
+    narrow = known.select(*have)
     order = "datetime_non_chronological"
     days = day_facts(narrow, settings)
     if all(c in have for c in placed):

@@ -10,12 +10,14 @@ from obsguard.catalogs import dimensions as dim
 from obsguard.catalogs import rulebook as R
 from obsguard.functions import scalars as S
 from obsguard.operators import canonical as C
+from obsguard.operators import coded as K
 from obsguard.operators import framework as FW
 from obsguard.operators import grid as G
 from obsguard.operators import row_rules as RR
 from obsguard.operators import summary as SM
 from obsguard.operators import temporal as TP
 from obsguard.plans import quality as Q
+from obsguard.plans import whole_run as WR
 from obsguard.sinks import writers as W
 from obsguard.sources import files as SF
 from obsguard.sources import listing as SL
@@ -455,3 +457,80 @@ def test_export_metrics_belong_to_the_rows_written(spark, tmp_path):
     df = spark.range(1000).withColumn("even", F.col("id") % 2 == 0)
     got = W.write_observed(df, str(tmp_path / "x"), {"rows": F.count(F.lit(1)), "even": F.count_if("even")})
     assert got == {"rows": 1000, "even": 500} and spark.read.parquet(str(tmp_path / "x")).count() == 1000
+
+
+# --- contract, duplicates, whole run ------------------------------------------------------------
+
+
+def test_casts_that_fail_become_findings(spark):
+    df = spark.createDataFrame([("SPJC", 300, "x", 1), (None, 12, "7.5", 2)], "station_id string, month int, qnh_hpa string, source_row int")
+    rows = C.canonical_with_findings(df).orderBy("source_row").collect()
+    found = [{(f["column"], f["problem"], f["value"]) for f in r["contract_findings"]} for r in rows]
+    assert {("month", "cast_failed", "300"), ("month", "required_null", None), ("qnh_hpa", "cast_failed", "x")} <= found[0]
+    assert ("station_id", "required_null", None) in found[1] and rows[1]["qnh_hpa"] == 7.5 and rows[1]["month"] == 12
+    assert not any(p == "cast_failed" for _, p, _ in found[1]) and len(rows[0]) == 68
+    with pytest.raises(ValueError):
+        C.canonical_with_findings(df.withColumn("stray", F.lit(1)))
+
+
+def test_ordinals_over_slices(spark):
+    rows = [(i, "a" if i % 3 else None, "x" if i % 2 else "y") for i in range(60)] + [(100, "b", None), (101, "b", None)]
+    df = spark.createDataFrame(rows, "n long, k string, v string")
+    got = {r["n"]: (r["duplicate_ordinal"], r["duplicate_kind"]) for r in TP.duplicate_ordinals(df, ["k"], ["k", "v"], "n", 7).collect()}
+    seen, contents = {}, set()
+    for n, k, v in rows:
+        if k is None:
+            assert got[n] == (None, "not_checked")
+            continue
+        seen[k] = seen.get(k, 0) + 1
+        kind = "first" if seen[k] == 1 else "exact" if (k, v) in contents else "key"
+        contents.add((k, v))
+        assert got[n] == (seen[k], kind)
+
+
+def test_expressions_are_audited_against_the_contract(spark):
+    known = contract.canonical_schema().fieldNames()
+    assert FW.audit_expressions(spark, R.EXPRESSION_RULES, known).collect() == []
+    odd = {"a": "air_temp_c <= no_such + 0.2", "b": "wind_speed_kt >=", "c": "abs(qnh_hpa - qfe_hpa) < 1"}
+    assert {tuple(r)[:2] for r in FW.audit_expressions(spark, odd, known).collect()} == {("a", "unknown_name"), ("b", "invalid_expression")}
+
+
+def test_own_catalogues_hold_together(spark):
+    assert FW.audit_rules(R.rules_df(spark), list(R.FLAG_CODES)).collect() == []
+    columns = contract.canonical_columns_df(spark)
+    assert FW.audit_schema(columns).collect() == [] and FW.audit_attributes(columns).collect() == []
+    broken = columns.withColumn("dtype", F.when(F.col("position") != 3, F.col("dtype"))).drop("column_group")
+    assert {tuple(r) for r in FW.audit_attributes(broken).collect()} == {("datetime_utc", "missing_dtype"), ("table", "missing_column_group")}
+    named = dim.variables(spark).filter("unit is not null").select(F.col("canonical_name").alias("rule_id"), "unit")
+    assert FW.audit_references(named, dim.unit_aliases(spark), "unit", "alias", "unknown_unit").collect() == []
+
+
+def test_whole_run_by_hand(spark):
+    schema = "record_id long, station_id string, datetime_utc timestamp_ntz, report_type string, source_file string, source_row int, air_temperature_c double, accumulated_precipitation_mm double, daily_precipitation_mm double"
+    at = lambda d, h, m=0: __import__("datetime").datetime(2024, 1, d, h, m)
+    rows = [(h, "sp1", at(3, h), "METAR", "f", h, 20.0 + h, 1.0, 14.0) for h in range(6, 20)]  # a complete day of UTC hours
+    rows += [(30, " SP1 ", at(4, 6), "METAR", "f", 40, 20.0, None, None), (31, "SP1", at(4, 6), "METAR", "f", 39, 99.0, None, None)]
+    rows += [(40, None, at(3, 7), "METAR", "f", 1, 20.0, None, None), (41, "SP1", None, "METAR", "f", 50, 20.0, None, None)]
+    obs = spark.createDataFrame(rows, schema)
+    stations = spark.createDataFrame([("SP1", "UTC"), ("SP1", "UTC")], "station_id string, timezone string")
+    settings = WR.Settings("2024-02-01 00:00:00", "2024-01-03", "2024-01-05", limits={"air_temperature_c": (None, 50.0, None, 30.0)}, thresholds={"air_temperature_c": (5.0, 30.0)})
+    df, items = WR.whole_quality(obs, stations, settings)
+    got = df.collect()
+    assert len(got) == len(rows) and {i.rule_id for i in items} == {r.rule_id for r in R.RULES.values() if r.enabled and not r.rule_id.startswith(("unit_", "datatype_", "completeness_null", "completeness_required"))}
+    found = {}
+    for r in got:
+        for item, code in zip(items, r["qc_codes"], strict=True):
+            found[r["record_id"], item.rule_id] = R.FLAG_ORDER[code - 1]
+    assert found[10, "completeness_expected_observations"] == "PASS" and found[10, "completeness_consecutive_missing"] == "PASS"
+    assert found[30, "completeness_expected_observations"] == "MISSING" and found[30, "completeness_consecutive_missing"] == "SUSPECT"
+    assert found[40, "completeness_expected_observations"] == "NOT_CHECKED" and found[41, "temporal_step"] == "NOT_CHECKED"
+    assert found[30, "datetime_duplicate_observation"] == "PASS" and found[31, "datetime_duplicate_observation"] == "ERROR"
+    assert found[31, "range_above_physical_maximum"] == "ERROR" and found[31, "range_below_physical_minimum"] == "NOT_CHECKED"
+    assert found[30, "datetime_non_chronological"] == "PASS" and found[10, "datetime_non_chronological"] == "PASS"
+    assert found[10, "precipitation_accumulation_inconsistent"] == "PASS" and found[10, "identity_invalid_station_id"] == "PASS"
+    detail = K.code_detail(df, ["record_id"], items).filter("record_id = 31 and rule_id = 'range_above_physical_maximum'").collect()
+    assert [(r["observed_value"], r["severity"], r["message"]) for r in detail] == [("99.0", "error", "range_above_physical_maximum: error")]
+    by_hand = {r["record_id"]: r for r in got}[31]
+    assert by_hand["qc_status"] == "ERROR" and by_hand["qc_rule_count"] == len(items) and "range_above_physical_maximum" in by_hand["qc_flags"]
+    counts = {(r["rule_id"], r["flag"]): r["observations"] for r in K.code_counts(df, [], items).collect()}
+    assert counts["completeness_expected_observations", "MISSING"] == 2
