@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obsguard.llm.common import free_worker, mix64, stored, text_chunks
+from obsguard.llm.common import free_worker, mix64, stored, text_chunks, tidy
 from obsguard.llm.graph import components
 from obsguard.llm.shingles import shingle_sets
 
@@ -80,7 +80,7 @@ def shingled(documents: DataFrame, width: int, share: int) -> DataFrame:
                 )
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(apply, "doc_id long, node long, n int, tokens array<long>")
+    return rows.mapInArrow(tidy(apply), "doc_id long, node long, n int, tokens array<long>")
 
 
 def whole_sets(documents: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -104,7 +104,7 @@ def whole_sets(documents: DataFrame, wanted: DataFrame, width: int) -> DataFrame
 
     side = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(side, "doc_id")
-    return rows.select("node", "text").mapInArrow(apply, "node long, n int, tokens array<long>").dropDuplicates(["node"])
+    return rows.select("node", "text").mapInArrow(tidy(apply), "node long, n int, tokens array<long>").dropDuplicates(["node"])
 
 
 def indexed(lists: DataFrame, counts: DataFrame, share: int) -> DataFrame:
@@ -164,7 +164,7 @@ def indexed(lists: DataFrame, counts: DataFrame, share: int) -> DataFrame:
                 yield give(out)
             del flat, all_pos, all_token, all_df
 
-    return hits.mapInArrow(choose, INDEX)
+    return hits.mapInArrow(tidy(choose), INDEX)
 
 
 def sizes_allow(a: str, b: str, share: int) -> str:

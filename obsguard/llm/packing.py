@@ -13,6 +13,7 @@ come from counts per (class, bucket), so a length that a third of all documents
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from obsguard.llm.common import kept_in_worker, stored, text_chunks
+from obsguard.llm.common import kept_in_worker, stored, text_chunks, tidy
 
 SEQUENCE = 2048
 END_ID = 1
@@ -45,6 +46,7 @@ class WordIds:
     """
 
     def __init__(self, path: str, most: int = 1_000_000) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; further threads would take memory
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -116,7 +118,7 @@ def cut_pieces(documents: DataFrame, tokenizer: str, sequence: int = SEQUENCE) -
                 columns = [pa.array(x, pa.int64()) for x in (doc, start, length, crc, total)]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, PIECES)
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidy(cut), PIECES)
 
 
 def length_classes(sequence: int) -> np.ndarray:
@@ -300,7 +302,7 @@ def pack_pieces(pieces: DataFrame, sequence: int = SEQUENCE) -> DataFrame:
                 names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "_place"],
             )
 
-    dealt = ranked.mapInArrow(assign, PIECES + ", sequence_id long, _place long")
+    dealt = ranked.mapInArrow(tidy(assign), PIECES + ", sequence_id long, _place long")
     in_order = Window.partitionBy("sequence_id").orderBy("_place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return dealt.withColumn("offset", F.sum("length").over(in_order) - F.col("length")).drop("_place")
 

@@ -19,6 +19,8 @@ import tiktoken
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from obsguard.llm.common import tidy
+
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -150,7 +152,7 @@ def scan_secrets(documents: DataFrame, vocabulary: str, ratio: float = RATIO) ->
             )
 
     schema = "doc_id long, n_assign long, n_access long, n_hex long, n_random long, base_sha256 string, spans string"
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(scan, schema)
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidy(scan), schema)
 
 
 def redact_secrets(documents: DataFrame, vocabulary: str, mark: str = "<secret>", ratio: float = RATIO) -> DataFrame:
@@ -176,7 +178,7 @@ def redact_secrets(documents: DataFrame, vocabulary: str, mark: str = "<secret>"
             texts = [None if t is None else clean(t, encoding) for t in batch.column(i).to_pylist()]
             yield batch.set_column(i, batch.schema.field(i), pa.array(texts, batch.schema.field(i).type))
 
-    done = documents.mapInArrow(apply, schema)
+    done = documents.mapInArrow(tidy(apply), schema)
     if "n_chars" in documents.columns:
         kind = documents.schema["n_chars"].dataType
         done = done.withColumn("n_chars", F.length("text").cast(kind))

@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obsguard.llm.common import held_out, kept_in_worker, learnable, stored
+from obsguard.llm.common import held_out, kept_in_worker, learnable, stored, tidy
 
 #: Cut between words, the same for Spark and Python.
 BREAK = r"[\s!-/:-@\[-`{-~]+"
@@ -105,7 +105,7 @@ def with_margin(documents: DataFrame, model: CompressionModel) -> DataFrame:
             found = pa.array([of(t.as_py()) for t in batch.column("text")], pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), found], names=["doc_id", "margin"])
 
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(measure, "doc_id long, margin int")
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidy(measure), "doc_id long, margin int")
 
 
 def sampled_labels(labels: DataFrame, column: str, per_class: int) -> tuple[DataFrame, dict[int, int], dict[int, float]]:
@@ -200,7 +200,7 @@ def score_toxicity(documents: DataFrame, model: CompressionModel, threshold: flo
                 [batch.column("doc_id"), pa.array(score, pa.float64())], names=["doc_id", "score"]
             )
 
-    scored = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(apply, "doc_id long, score double")
+    scored = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidy(apply), "doc_id long, score double")
     return scored.select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
     )
@@ -220,4 +220,4 @@ def keep_civil(documents: DataFrame, model: CompressionModel, threshold: float =
             score = model.probability(np.array([of(t.as_py()) for t in batch.column("text")], int))
             yield batch.filter(pa.array(score < threshold))
 
-    return documents.mapInArrow(keep, documents.schema)
+    return documents.mapInArrow(tidy(keep), documents.schema)
