@@ -26,7 +26,7 @@ MIX: dict[str, float | None] = {"plain": 0.95, "poor": 0.05, "toxic": None}
 MIX_TOTAL = 1.1
 
 #: Documents are long rows: a batch between Spark and Python holds so many rows and bytes at most.
-BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
