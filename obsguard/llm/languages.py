@@ -24,36 +24,84 @@ from obsguard.llm.common import learnable, stored
 GRAMS = 1 << 14
 #: Bound on labelled documents of each language for the trigram model, chosen by a hash of doc_id.
 SAMPLE_PER_LANGUAGE = 3_000
-#: Bound on languages, the commonest first.
-LANGUAGES = 64
 #: Evidence of a text saturates at that of so many trigrams.
 SATURATION = 80.0
 #: Weight, in pages, of the level above when smoothing.
 WEIGHT = 5.0
 
-HIDDEN = re.compile(r"<!--.*?-->|<(script|style|template|noscript)\b.*?</\1\s*>", re.IGNORECASE | re.DOTALL)
-TAG = re.compile(r"<[^>]*>")
+HIDDEN_OPEN = re.compile(r"<!--|<(script|style|template|noscript)\b", re.IGNORECASE)
+HIDDEN_CLOSE = {k: re.compile(rf"</{k}\s*>", re.IGNORECASE) for k in ("script", "style", "template", "noscript")}
 ENTITY = re.compile(r"&#?\w+;")
-DECLARED = re.compile(r"""<html\b[^>]*?\blang\s*=\s*["']?([A-Za-z]{2,3})""", re.IGNORECASE)
-DECLARED_META = re.compile(r"""<meta\b[^>]*?content-language["'][^>]*?content\s*=\s*["']?([A-Za-z]{2,3})""", re.IGNORECASE)
+HTML, META = re.compile(r"<html\b", re.IGNORECASE), re.compile(r"<meta\b", re.IGNORECASE)
+LANG = re.compile(r"""\blang\s*=\s*["']?([A-Za-z]{2,3})""", re.IGNORECASE)
+CONTENT_LANGUAGE = re.compile(r"""content-language["']""", re.IGNORECASE)
+CONTENT = re.compile(r"""content\s*=\s*["']?([A-Za-z]{2,3})""", re.IGNORECASE)
+#: Labels below a country's own under which names are registered.
+SECOND_LEVEL = ("ac", "co", "com", "edu", "gov", "gob", "go", "net", "ne", "or", "org")
 HOST = re.compile(r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", re.IGNORECASE)
 
 
+def without_hidden(html: str) -> str:
+    """``html`` with comments and unseen elements blanked. One pass: a closing mark that was not found is not looked for again."""
+    out, at, unclosed = [], 0, set()
+    for found in HIDDEN_OPEN.finditer(html):
+        kind = (found[1] or "").lower()
+        if found.start() < at or kind in unclosed:
+            continue
+        if kind:
+            closing = HIDDEN_CLOSE[kind].search(html, found.end())
+            end = closing.end() if closing else -1
+        else:
+            closing = html.find("-->", found.end())
+            end = closing + 3 if closing >= 0 else -1
+        if end < 0:
+            unclosed.add(kind)
+            continue
+        out.append(html[at : found.start()])
+        at = end
+    return " ".join([*out, html[at:]])
+
+
+def without_tags(html: str) -> str:
+    out, at = [], 0
+    while (start := html.find("<", at)) >= 0 and (end := html.find(">", start)) >= 0:
+        out.append(html[at:start])
+        at = end + 1
+    return " ".join([*out, html[at:]])
+
+
 def visible_text(html: str) -> str:
-    return ENTITY.sub(" ", TAG.sub(" ", HIDDEN.sub(" ", html)))
+    return ENTITY.sub(" ", without_tags(without_hidden(html)))
+
+
+def attributes(html: str, opening: re.Pattern) -> Iterator[str]:
+    """What stands in each tag that begins with ``opening``, up to its end; a tag begun inside another is part of it."""
+    at = 0
+    for found in opening.finditer(html):
+        if found.start() >= at:
+            end = html.find(">", found.end())
+            at = len(html) if end < 0 else end
+            yield html[found.end() : at]
 
 
 def declared_language(html: str) -> str:
-    found = DECLARED.search(html) or DECLARED_META.search(html)
-    return found[1].lower() if found else ""
+    for inside in attributes(html, HTML):
+        if found := LANG.search(inside):
+            return found[1].lower()
+    for inside in attributes(html, META):
+        named = CONTENT_LANGUAGE.search(inside)
+        if named and (found := CONTENT.search(inside, named.end())):
+            return found[1].lower()
+    return ""
 
 
 def address_levels(url: str) -> tuple[str, str, str]:
-    """(host, registered domain, suffix); empty where the address has none."""
+    """(host, registered domain, suffix); empty where the address has none. ``a.b.co.uk`` is registered as ``b.co.uk``."""
     found = HOST.match(url)
     host = found[1].lower().strip(".") if found else ""
     parts = host.split(".")
-    return host, ".".join(parts[-2:]), parts[-1] if host else ""
+    labels = 3 if len(parts) > 2 and len(parts[-1]) == 2 and parts[-2] in SECOND_LEVEL else 2
+    return host, ".".join(parts[-labels:]), parts[-1] if host else ""
 
 
 def trigrams(text: str) -> np.ndarray:
@@ -68,7 +116,7 @@ def trigrams(text: str) -> np.ndarray:
 def fit_trigrams(documents: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> tuple[list[str], np.ndarray]:
     """Languages of the learnable documents and the log likelihoods of trigrams, (GRAMS, languages)."""
     known = documents.where(F.col("lang").isNotNull() & learnable(F.col("doc_id")))
-    counts = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
+    counts = known.groupBy("lang").agg(F.count("*").alias("n")).collect()
     names = sorted(r["lang"] for r in counts)
     if not names:
         return [], np.zeros((GRAMS, 0))

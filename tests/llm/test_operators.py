@@ -381,4 +381,39 @@ def test_languages(spark, tables):
     assert [r["page_id"] for r in languages.identify_languages(odd, tables["documents"]).orderBy("page_id").collect()] == [1, 2, 3, 3]
     assert languages.identify_languages(odd.limit(0), tables["documents"]).count() == 0
     assert languages.identify_languages(odd, tables["documents"].limit(0)).where(F.col("language").isNull()).count() == 4
-    assert languages.address_levels("https://u@M.x.Example.co.uk:80/p") == ("m.x.example.co.uk", "co.uk", "uk")
+    assert languages.address_levels("https://u@M.x.Example.co.uk:80/p") == ("m.x.example.co.uk", "example.co.uk", "uk")
+    assert languages.address_levels("http://a.example.com") == ("a.example.com", "example.com", "com")
+
+
+def test_language_of_unseen_texts_without_other_evidence(spark, tables):
+    # held-out documents as pages of hosts of their own that declare nothing: only the text can tell
+    unseen = tables["documents"].where("lang is not null and length(text) > 200").where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2)
+    pages = unseen.select(
+        F.col("doc_id").alias("page_id"), F.concat(F.lit("http://h"), F.col("doc_id").cast("string"), F.lit(".example/x")).alias("url"),
+        F.concat(F.lit("<html><script>the and of</script><body><p>"), "text", F.lit("</p></body></html>")).alias("html"),
+    )
+    wanted = {r["doc_id"]: r["lang"] for r in unseen.collect()}
+    got = {r["page_id"]: r["language"] for r in languages.identify_languages(pages, tables["documents"]).collect()}
+    right = sum(got[d] == lang for d, lang in wanted.items())
+    assert len(wanted) > 100 and right >= 0.95 * len(wanted)
+
+
+def test_page_text_against_patterns_and_in_one_pass():
+    import re
+    import time
+
+    hidden = re.compile(r"<!--.*?-->|<(script|style|template|noscript)\b.*?</\1\s*>", re.IGNORECASE | re.DOTALL)
+    rng = random.Random(12)
+    bits = ["<p>", "</p>", "word ", "<!-- x", "-->", "<script>", "</SCRIPT >", "<style a>", "</style>", "<html lang='de'", ">", "a<b", "&amp;", "<noscript>", "</noscript>", "é"]
+    for _ in range(3000):
+        html = "".join(rng.choices(bits, k=rng.randint(0, 14)))
+        want = languages.ENTITY.sub(" ", re.sub(r"<[^>]*>", " ", hidden.sub(" ", html)))
+        assert languages.visible_text(html) == want, html
+    for html in ("<" * 1_000_000, "<script>" * 130_000, "<!--" * 250_000, "<html " * 170_000, "<meta content-language'" * 50_000, "</script " * 120_000):
+        start = time.perf_counter()
+        languages.visible_text(html)
+        languages.declared_language(html)
+        assert time.perf_counter() - start < 2
+    assert languages.declared_language('<HTML class="x" lang = "pt-BR">') == "pt"
+    assert languages.declared_language("<meta http-equiv='Content-Language' content='es-PE'>") == "es"
+    assert languages.declared_language("<html><body lang='fr'>") == ""
