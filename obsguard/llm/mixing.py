@@ -7,8 +7,7 @@ each gap weighted by one over the domain's share, with projected-gradient steps
 starts from where the last two point to, which takes far fewer of them.
 
 Everything is DataFrame work: one aggregate a step brings one number for each domain to the driver,
-and a document's rate is a fold over the latest steps, stored anew after every few, so no state is
-shuffled.
+and documents' rates are stored anew after every few steps, so no state is shuffled.
 """
 
 from __future__ import annotations
@@ -31,7 +30,7 @@ STRENGTH = 1.0
 #: Steps end where all gaps are within the tolerance (of the least target), or where a step no longer moves the rates by
 #: so many copies a token, which is how an optimum under nonnegative rates shows. More steps than this are an error.
 STEPS, TOLERANCE, SETTLED = 300, 1e-3, 1e-3
-#: Rates are written out after so many steps, which bounds the fold.
+#: Rates are written out after so many steps, which bounds the projections of a pass.
 FOLD = 8
 
 
@@ -100,22 +99,31 @@ def with_posteriors(documents: DataFrame, prior: list[float], ratios: list[list[
     return shifted.select("row", "n_tokens", *((F.col(f"_e{k}") / total).alias(f"p_{d}") for k, d in enumerate(DOMAINS)))
 
 
-def rates_after(steps: list[list[float]], rate: Column | None = None, before: Column | None = None) -> Column:
-    """(rate, before): a document's rate after ``steps`` and the one before the last, from one copy or the given ones.
+def rate_after(steps: list[list[float]]) -> Column:
+    """A document's rate after all ``steps``, as one fold from one copy.
 
     A step (momentum, pull by domain...) goes on along the last change, moves against the gradient, and back to at least 0.
     """
-    one = F.lit(1.0)
-    start = F.struct((one if rate is None else rate).alias("rate"), (one if before is None else before).alias("before"))
     if not steps:
-        return start
+        return F.lit(1.0)
+    start = F.struct(F.lit(1.0).alias("rate"), F.lit(1.0).alias("before"))
 
     def step(state: Column, y: Column) -> Column:
         pull = reduce(lambda a, b: a + b, (F.col(f"p_{d}") * F.element_at(y, k + 2) for k, d in enumerate(DOMAINS)))
         ahead = state["rate"] + F.element_at(y, 1) * (state["rate"] - state["before"])
         return F.struct(F.greatest(F.lit(0.0), ahead - pull).alias("rate"), state["rate"].alias("before"))
 
-    return F.aggregate(F.array(*(F.array(*map(F.lit, y)) for y in steps)), start, step)
+    return F.aggregate(F.array(*(F.array(*map(F.lit, y)) for y in steps)), start, step, lambda state: state["rate"])
+
+
+def advanced(state: DataFrame, steps: list[list[float]]) -> DataFrame:
+    """``state`` (n_tokens, p_<domain>..., rate, before) after ``steps``: one projection each, all in generated code."""
+    names = [f"p_{d}" for d in DOMAINS]
+    for momentum, *pull in steps:
+        ahead = F.col("rate") + momentum * (F.col("rate") - F.col("before"))
+        back = reduce(lambda a, b: a + b, (F.col(c) * y for c, y in zip(names, pull, strict=True)))
+        state = state.select("n_tokens", *names, F.greatest(F.lit(0.0), ahead - back).alias("rate"), F.col("rate").alias("before"))
+    return state
 
 
 def wanted_shares(share: np.ndarray, targets: dict[str, float | None], total_share: float) -> np.ndarray:
@@ -151,17 +159,15 @@ def fit_rates(members: DataFrame, targets: dict[str, float | None], total_share:
         if np.abs(share - wanted).max() <= TOLERANCE * max(wanted.min(), 0.01) or moved <= SETTLED:
             break
         if len(steps) - since >= FOLD:
-            latest = rates_after(steps[since:], F.col("rate"), F.col("before"))
-            state = stored(state.select("n_tokens", *names, latest.alias("_s")).select("n_tokens", *names, "_s.rate", "_s.before"), "rates")
+            state = stored(advanced(state, steps[since:]), "rates")
             since = len(steps)
         next_pace = (1 + np.sqrt(1 + 4 * pace * pace)) / 2
         momentum = (pace - 1) / next_pace
         # totals follow the rates linearly, so those at the point ahead need no pass
         gap = share + momentum * (share - earlier) - wanted
         steps.append([float(momentum), *(size_of_step * weight * gap).tolist()])
-        rated = state.select("n_tokens", *names, rates_after(steps[since:], F.col("rate"), F.col("before")).alias("_s"))
-        got = rated.agg(
-            *(F.sum(n * x * F.col("_s.rate")).alias(f"t{i}") for i, x in enumerate(p)), F.sum(n * F.abs(F.col("_s.rate") - F.col("_s.before"))).alias("moved")
+        got = advanced(state, steps[since:]).agg(
+            *(F.sum(n * x * F.col("rate")).alias(f"t{i}") for i, x in enumerate(p)), F.sum(n * F.abs(F.col("rate") - F.col("before"))).alias("moved")
         ).first()
         now, moved = np.array([got[f"t{i}"] for i in range(size)]) / total, got["moved"] / total
         worse = (weight * (now - wanted) ** 2).sum() > (weight * (share - wanted) ** 2).sum()
@@ -181,7 +187,7 @@ def mix_documents(documents: DataFrame, labels: DataFrame, targets: dict[str, fl
     """
     rows = documents.select(F.struct("doc_id").alias("row"), F.col("text").alias("_text"))
     members = stored(with_posteriors(rows, *fit_domains(documents, labels)), "members")
-    rate = rates_after(fit_rates(members, targets or TARGETS))["rate"]
+    rate = rate_after(fit_rates(members, targets or TARGETS))
     return members.select("row.doc_id", "n_tokens", *(f"p_{d}" for d in DOMAINS), rate.alias("rate"))
 
 
@@ -196,6 +202,6 @@ def apply_rates(
     rows = documents.select(F.struct(*documents.columns).alias("row"), F.col("text").alias("_text"))
     members = stored(with_posteriors(rows, *fit_domains(documents, labels)), "members")
     spot = F.pmod(F.xxhash64(F.lit("copies"), "row.doc_id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    times = F.floor(rates_after(fit_rates(members, targets or TARGETS, total_share))["rate"] + spot).cast("int")
+    times = F.floor(rate_after(fit_rates(members, targets or TARGETS, total_share)) + spot).cast("int")
     copies = members.select("row", times.alias("times")).where("times > 0")
     return copies.select("row", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy")).select("row.*")
