@@ -288,13 +288,14 @@ def expected_grid(
     stations: DataFrame, first_day: str, last_day: str, station: str = "station_id",
     first_hour: int = FIRST_HOUR, last_hour: int = LAST_HOUR,
 ) -> DataFrame:
-    """(station, local_date, local_hour) for every expected hour of the period, for every station of the
-    catalogue: a silent station is expected too, and a wrong date of a report stretches nothing."""
+    """(station, local_date, expected_hours) for every day of the period and every station of the catalogue: a
+    silent station is expected too, and a wrong date of a report stretches nothing. Hours are bits of one number,
+    bit 6 for six o'clock, so a station's day is one row."""
     days = F.sequence(F.lit(first_day).cast("date"), F.lit(last_day).cast("date"), F.expr("interval 1 day"))
+    hours = sum(1 << h for h in range(first_hour, last_hour + 1))
     return (
         stations.filter(F.col(station).isNotNull()).select(station).distinct()
-        .select(station, F.explode(days).alias("local_date"))
-        .select(station, "local_date", F.explode(F.sequence(F.lit(first_hour), F.lit(last_hour))).alias("local_hour"))
+        .select(station, F.explode(days).alias("local_date"), F.lit(hours).alias("expected_hours"))
     )
 
 
@@ -311,7 +312,7 @@ def received_hours(
     observations: DataFrame, station: str = "station_id", local_ts: str = "local_ts",
     report_type: str | None = None,
 ) -> DataFrame:
-    """Distinct (station, local_date, local_hour) received on the hour.
+    """(station, local_date, received_hours): the hours received on the hour as bits, one row a day, combined on the map side.
 
     Only reports of minute 0 count; SPECI and other special reports are additional, as are those of
     unknown type where a type is given.
@@ -319,26 +320,29 @@ def received_hours(
     obs = observations.filter(F.minute(local_ts) == 0)
     if report_type is not None:
         obs = obs.filter(F.col(report_type).isin("LOCAL_OBSERVATION", "HISTORICAL_OBSERVATION", "METAR"))
-    return obs.select(
-        station, F.to_date(local_ts).alias("local_date"), F.hour(local_ts).alias("local_hour")
-    ).distinct()
+    bit = F.expr(f"shiftleft(1, hour(`{local_ts}`))")
+    return obs.groupBy(station, F.to_date(local_ts).alias("local_date")).agg(F.bit_or(bit).alias("received_hours"))
+
+
+def _compared(grid: DataFrame, received: DataFrame, station: str) -> DataFrame:
+    """The expected days with the hours received of those expected, and the hours missing."""
+    got = F.col("expected_hours").bitwiseAND(F.coalesce("received_hours", F.lit(0)))
+    joined = grid.join(received, [station, "local_date"], "left").withColumn("_got", got)
+    return joined.withColumn("_lost", F.col("expected_hours").bitwiseXOR(F.col("_got")))
 
 
 def missing_hours(grid: DataFrame, received: DataFrame, station: str = "station_id") -> DataFrame:
-    return grid.join(received, [station, "local_date", "local_hour"], "left_anti")
+    """(station, local_date, local_hour) of every expected hour that was not received."""
+    lost = F.filter(F.sequence(F.lit(0), F.lit(23)), lambda h: F.getbit(F.col("_lost"), h) == 1)
+    return _compared(grid, received, station).select(station, "local_date", F.explode(lost).alias("local_hour"))
 
 
 def completeness(grid: DataFrame, received: DataFrame, station: str = "station_id") -> DataFrame:
     """Expected, received, missing and percentage per (station, local date)."""
-    keys = [station, "local_date"]
-    seen = received.withColumn("_got", F.lit(1))
-    return (
-        grid.join(seen, [*keys, "local_hour"], "left")
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("expected"), F.count("_got").alias("received"))
-        .withColumn("missing", F.col("expected") - F.col("received"))
-        .withColumn("completeness_pct", F.round(F.col("received") * 100.0 / F.col("expected"), 2))
-    )
+    count = lambda c: F.bit_count(c).cast("bigint")
+    return _compared(grid, received, station).select(
+        station, "local_date", count("expected_hours").alias("expected"), count("_got").alias("received"), count("_lost").alias("missing")
+    ).withColumn("completeness_pct", F.round(F.col("received") * 100.0 / F.col("expected"), 2))
 
 
 def missing_runs(
