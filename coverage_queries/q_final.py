@@ -174,7 +174,7 @@ def _branches() -> list[tuple[str, str, str]]:
 
 
 BRANCHES = _branches()
-RESULTS_CTE = f"{_RUN_CTE}, {_DAYS}, results AS MATERIALIZED (" + " UNION ALL ".join(
+RESULTS_CTE = f"{_RUN_CTE}, {_DAYS}, results AS NOT MATERIALIZED (" + " UNION ALL ".join(
     f"SELECT event_id, {k} AS place, '{rule}' AS rule_id, '{variable}' AS variable, flag FROM ({sql})" for k, (rule, variable, sql) in enumerate(BRANCHES)
 ) + ")"
 KEYED_CTE = f"{RESULTS_CTE}, found AS (SELECT r.*, e.user_id AS station_id, CAST(year(e.ts) AS INT) AS year, CAST(month(e.ts) AS INT) AS month FROM results r JOIN events e USING (event_id))"
