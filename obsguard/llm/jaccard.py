@@ -229,17 +229,24 @@ def jaccard_components(documents: DataFrame, width: int = WIDTH, share: int = SH
     links = stored(verified(pairs, sets, share), "links")
     root = stored(components(links), "roots")
 
-    group = hubs.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    group = stored(group.select("token", "node", "n", "heavy", "root"), "hub-groups")
+    listed_hubs = hubs.groupBy("node").agg(F.collect_list("token").alias("hub_tokens"))
+    group = hubs.join(root, "node", "left").withColumn("root", F.coalesce("root", "node")).join(listed_hubs, "node")
+    before = F.filter("hub_tokens", lambda t: t < F.col("token")).alias("before")
+    group = stored(group.select("token", "node", "n", "heavy", "root", before), "hub-groups")
     main = group.groupBy("token", "root").agg(F.count("*").alias("k")).groupBy("token").agg(F.max_by("root", F.struct("k", "root")).alias("main"))
-    outside = group.join(main, "token").where("root <> main").select(
-        "token", F.col("node").alias("a"), F.col("n").alias("na"), F.col("heavy").alias("ha"), F.col("root").alias("ra")
+    placed = group.join(main, "token").withColumn("out", F.col("root") != F.col("main"))
+    outside = placed.where("out").select(
+        "token", F.col("node").alias("a"), F.col("n").alias("na"), F.col("heavy").alias("ha"), F.col("root").alias("ra"), F.col("before").alias("xa")
     )
-    other = group.select("token", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("heavy").alias("hb"), F.col("root").alias("rb"))
-    # such a pair has only heavy tokens in common, so at most the fewer heavy tokens of the two
+    other = placed.select(
+        "token", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("heavy").alias("hb"), F.col("root").alias("rb"), F.col("before").alias("xb"), "out"
+    )
+    # such a pair has only heavy tokens in common, so at most the fewer heavy tokens of the two; it meets at the first
+    # token that both list, and once there: of different components at least one is outside the token's main one
     possible = f"100 * least(ha, hb) >= {share} * (na + nb - least(ha, hb))"
-    late = outside.join(other, "token").where("ra <> rb and " + possible).where(sizes_allow("na", "nb", share))
-    late = late.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    late = outside.join(other, "token").where("ra <> rb and (not out or a < b) and " + possible).where(sizes_allow("na", "nb", share))
+    late = late.where(~F.arrays_overlap("xa", "xb"))
+    late = late.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = stored(verified(late.join(pairs, ["a", "b"], "left_anti"), whole, share), "late-links")
     if not more.isEmpty():
         root = stored(components(links.unionByName(more)), "roots")
