@@ -220,7 +220,7 @@ def preprocessing_report(spark, sf_dir):
 @query(
     "agg_19_graphics_data",
     f"""WITH {B.LONG_CTE} SELECT 'histogram' AS product, variable AS series, CAST(floor(value / 25.0) * 25.0 AS DOUBLE) AS x, CAST(count(*) AS DOUBLE) AS y FROM long GROUP BY variable, floor(value / 25.0)
-    UNION ALL SELECT 'hourly_mean', variable, CAST(hour(ts) AS DOUBLE), round(avg(value), 4) FROM long GROUP BY variable, hour(ts)
+    UNION ALL SELECT 'hourly_mean', variable, CAST(hour(ts) AS DOUBLE), round(avg(value), 8) FROM long GROUP BY variable, hour(ts)
     UNION ALL SELECT 'daily_count', variable, CAST(epoch_us(date_trunc('day', ts)) / 86400000000 AS DOUBLE), CAST(count(*) AS DOUBLE) FROM long GROUP BY variable, date_trunc('day', ts)""",
 )
 def graphics(spark, sf_dir):
@@ -234,5 +234,5 @@ def graphics(spark, sf_dir):
     )
     spread = long_df.select(F.col("variable").alias("series"), "value", F.explode(points).alias("p"))
     rolled = spread.groupBy("p.product", "series", "p.x").agg(F.count(F.lit(1)).alias("n"), F.avg("value").alias("m"))
-    y = F.when(F.col("product") == "hourly_mean", F.round("m", 4)).otherwise(F.col("n").cast("double"))
+    y = F.when(F.col("product") == "hourly_mean", F.round("m", 8)).otherwise(F.col("n").cast("double"))
     return rolled.select("product", "series", "x", y.alias("y"))
