@@ -6,7 +6,9 @@ only a few rows to either side, so every group is cut along its order into slice
 1. a row's slice is its order value divided by a width (a span of time, a range of numbers); rows
    without a time are sliced by the next order column, so they do not gather in one place;
 2. slices are evaluated on their own, and the rows within reach of a cut once more in a stitched
-   sequence that holds only the first and last rows of every slice, which a calendar bounds.
+   sequence that holds only the first and last rows of every slice, which a calendar bounds;
+3. a slice of few rows would be all edge: it goes into the stitched sequence whole and is evaluated there only,
+   so an ordinary station costs one evaluation and not two.
 
 There is one plan for all sizes and no job while it is built. Slices depend on the row alone, so a
 recomputed task gives the same rows.
@@ -28,6 +30,8 @@ SLICE_DAYS = 30.0
 SLICE_NUMBERS = 1_000_000
 #: Leading characters by which text ids are sliced; 16 to the power of this many slices for hex digests.
 SLICE_CHARACTERS = 3
+#: A slice of at most this many times the reach is stitched whole.
+WHOLE_REACHES = 32
 
 
 def _coarse(df: DataFrame, name: str, days: float, numbers: int, characters: int | None) -> Column:
@@ -76,9 +80,13 @@ def over_ordered_groups(
     numbered = split.withColumn("_rn", F.row_number().over(sliced)).withColumn(
         "_left", F.count(F.lit(1)).over(W.partitionBy(*keys, *cuts)) - F.col("_rn")
     )
-    near = (F.col("_rn") <= reach) | (F.col("_left") < reach)
-    seam = (F.col("_rn") <= 2 * reach) | (F.col("_left") < 2 * reach)
+    small = F.col("_rn") + F.col("_left") <= WHOLE_REACHES * reach
+    near = (F.col("_rn") <= reach) | (F.col("_left") < reach) | small
+    seam = (F.col("_rn") <= 2 * reach) | (F.col("_left") < 2 * reach) | small
     extra = [*cuts, "_rn", "_left"]
-    inner = compute(numbered, sliced).filter(~near)
+    inner = compute(numbered.filter(~small), sliced).filter(~near)
     stitched = compute(numbered.filter(seam), W.partitionBy(*keys).orderBy(*order)).filter(near)
-    return inner.drop(*extra).unionByName(stitched.drop(*extra))
+    # a union keeps the aliases below its first member; new names here let Spark drop them in both members alike, so
+    # that what lies below the exchange is the same plan twice and runs once
+    named = [F.col(f"`{c}`").alias(c) for c in inner.columns if c not in extra]
+    return inner.select(*named).unionByName(stitched.drop(*extra))

@@ -239,18 +239,20 @@ def evaluate_all(
     zone = F.coalesce("timezone", F.lit(TP.FALLBACK_ZONE))
     name = F.upper(F.trim(F.col(STATION).cast("string")))
     known = known.withColumns(
-        {"_station": F.when(name != "", name), "_untimed": F.col(TIME).isNull(), "local_ts": S.local_time(F.col(TIME), zone)}
+        {"_station": F.when(name != "", name), "local_ts": S.local_time(F.col(TIME), zone)}
     ).withColumn("local_date", F.to_date("local_ts"))
     results = Results(known)
     results.add(row_grain(known, settings))
 
-    placed = F.col("_station").isNotNull() & ~F.col("_untimed")
-    results.transform(TP.apply_checks, ["_station", "_untimed"], [TIME, row_key], time_frames(settings), slice_days)
+    placed = F.col("_station").isNotNull() & F.col(TIME).isNotNull()
+    # rows without a place in time take no part: each is a group of its own, so they do not gather in one task
+    results.transform(lambda df: df.withColumn("_alone", F.when(~placed, F.xxhash64(row_key))))
+    results.transform(TP.apply_checks, ["_station", "_alone"], [TIME, row_key], time_frames(settings), slice_days)
     results.add(time_grain(settings, placed), [f.name for f in time_frames(settings)])
     beside, items = beside_rows(known, settings, row_key).finish("_beside")
     coded, own = results.finish("_own")
     out = coded.join(beside.select(row_key, "_beside"), row_key).withColumn("qc_codes", F.concat("_own", "_beside"))
-    return out.drop("_own", "_beside", "_station", "_untimed", "local_ts", "station_known", *absent), own + items
+    return out.drop("_own", "_beside", "_station", "_alone", "local_ts", "station_known", *absent), own + items
 
 
 def _numbers(settings: Settings) -> list[str]:

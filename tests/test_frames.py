@@ -149,3 +149,35 @@ def test_statistics_read_the_input_once(spark):
     out.collect()
     plan = out._jdf.queryExecution().executedPlan().toString().split("+- == Initial Plan ==")[0]
     assert plan.count("Scan parquet") == 1 and plan.count("Exchange hashpartitioning") == 2
+
+
+def test_short_slices_are_evaluated_once(spark, skewed):
+    """A group of few rows a slice costs one evaluation: it is stitched whole and its slices are left out."""
+    days = 0.5
+    split, cuts = FR.with_slices(skewed, ["ts", "id"], days, FR.SLICE_NUMBERS)
+    sizes = {r["count"] for r in split.groupBy("station", *cuts).count().collect()}
+    seen = spark.sparkContext.accumulator(0)
+
+    def touch(x):
+        seen.add(1)
+        return x
+
+    mark = F.udf(touch, "double")
+
+    def compute(frame, w):
+        return frame.withColumn("out", F.coalesce(F.lag(mark("x")).over(w), F.lit(-1.0)))
+
+    out = FR.over_ordered_groups(skewed, ["station"], ["ts", "id"], 8, compute, days)
+    assert max(sizes) <= FR.WHOLE_REACHES * 8 and out.count() == skewed.count()
+    out.write.format("noop").mode("overwrite").save()
+    assert seen.value == skewed.count()
+
+
+def test_members_of_the_union_share_what_lies_below(spark):
+    """Columns that are renamed before the frames must not keep the exchange from being used twice."""
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    renamed = events.selectExpr("event_id AS event_id", "ts", "user_id AS station", "value AS value").selectExpr("event_id AS id", "ts AS ts", "station", "value AS x")
+    out = TP.apply_checks(renamed, ["station"], ["ts", "id"], [TP.step("step", "x", "ts", 3.0)])
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("+- == Initial Plan ==")[0]
+    assert plan.count("Scan parquet") == 1 and "ReusedExchange" in plan
