@@ -212,9 +212,10 @@ def keyed(spark, sf_dir):
     return df.withColumns({"station_id": F.col("user_id"), "year": F.year("ts"), "month": F.month("ts")}), items
 
 
-def counts(spark, sf_dir):
+def counts(spark, sf_dir, keys: list[str]):
+    """Counts by the summary keys a summary asks for, and no finer."""
     df, items = keyed(spark, sf_dir)
-    return K.code_counts(df, SM.SUMMARY_KEYS[:3], items)
+    return K.code_counts(df, keys, items)
 
 
 def final_query(name: str, sql: str):
@@ -281,7 +282,7 @@ _TOTALS = f"""count(*) AS total_observations, count(*) FILTER (flag = 'PASS') AS
 
 @final_query("agg_05_quality_summary", f"{KEYED_CTE} SELECT station_id, year, month, variable, rule_id, {_TOTALS} FROM found GROUP BY ALL")
 def quality_summary(spark, sf_dir):
-    return SM.summary(counts(spark, sf_dir), SM.SUMMARY_KEYS)
+    return SM.summary(counts(spark, sf_dir, SM.SUMMARY_KEYS[:3]), SM.SUMMARY_KEYS)
 
 
 @final_query(
@@ -291,7 +292,7 @@ def quality_summary(spark, sf_dir):
 )
 def summary_levels(spark, sf_dir):
     return SM.summary_levels(
-        counts(spark, sf_dir), [["station_id", "rule_id"], ["rule_id"], ["station_id"], []], ["station_id", "rule_id"]
+        counts(spark, sf_dir, ["station_id"]), [["station_id", "rule_id"], ["rule_id"], ["station_id"], []], ["station_id", "rule_id"]
     )
 
 
@@ -300,12 +301,12 @@ _TOP_SQL = f"{RESULTS_CTE} SELECT rule_id, count(*) AS failures FROM results WHE
 
 @final_query("agg_06_frequent_errors", _TOP_SQL)
 def frequent(spark, sf_dir):
-    return SM.frequent_errors(counts(spark, sf_dir), 5)
+    return SM.frequent_errors(counts(spark, sf_dir, []), 5)
 
 
 @final_query("ord_05_top_errors", _TOP_SQL.replace("LIMIT 5", "LIMIT 3"))
 def top_errors(spark, sf_dir):
-    return SM.frequent_errors(counts(spark, sf_dir), 3)
+    return SM.frequent_errors(counts(spark, sf_dir, []), 3)
 
 
 _STAGE_OF = "CASE " + " ".join(
@@ -314,13 +315,12 @@ _STAGE_OF = "CASE " + " ".join(
 
 
 def stage_report(spark, sf_dir, stage: str):
-    return SM.stage_summary(counts(spark, sf_dir), stage).withColumn("stage", F.lit(stage))
+    return SM.stage_summary(counts(spark, sf_dir, []), stage).withColumn("stage", F.lit(stage))
 
 
 @final_query("agg_08_stage_summaries", f"{RESULTS_CTE} SELECT {_STAGE_OF} AS stage, rule_id, {_TOTALS} FROM results GROUP BY ALL")
 def stage_summaries(spark, sf_dir):
-    stages = [stage_report(spark, sf_dir, stage) for stage in R.STAGE_MODULES]
-    return stages[0].unionByName(stages[1]).unionByName(stages[2])
+    return SM.stage_summaries(counts(spark, sf_dir, []), list(R.STAGE_MODULES))
 
 
 # --- report products ----------------------------------------------------------------------------

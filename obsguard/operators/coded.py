@@ -73,28 +73,36 @@ def assess_codes(df: DataFrame, items: list[Item], codes: str = "qc_codes") -> D
     """Per-observation outcome, as ``framework.assess`` gives it: status, score, counts, failed rules, messages."""
     found = F.col(codes)
     lost = sum((count_code(found, flag) * points for flag, points in R.SCORE_PENALTIES.items()), F.lit(0))
-    rules = _names([i.rule_id for i in items])
-    # a failed check's name and flag; passing ones give null and drop out
-    said = F.transform(found, lambda c, i: F.when(c <= LAST_FAILED, F.concat(rules[i], F.lit(": "), F.lower(flag_of(c)))))
-    failed = F.transform(found, lambda c, i: F.when(c <= LAST_FAILED, rules[i]))
-    return df.withColumns(
+    # a failed check as one number, place and flag; passing ones give null and drop out. Codes are gone through once,
+    # the few that failed are then looked up
+    failed = F.array_compact(F.transform(found, lambda c, i: F.when(c <= LAST_FAILED, i * LAST_FAILED + c.cast("int") - 1)))
+    flags = sorted(FAILED, key=CODES.get)
+    rules = _names([i.rule_id for i in items for _ in flags])
+    said = _names([f"{i.rule_id}: {f.lower()}" for i in items for f in flags])
+    return df.withColumn("_failed", failed).withColumns(
         {
             "qc_flag": flag_of(F.array_min(found)),
             "qc_score": F.greatest(F.lit(0), F.least(F.lit(R.SCORE_START), F.lit(R.SCORE_START) - lost)).cast("float"),
             "qc_rule_count": F.size(found),
             "qc_failed_rule_count": sum((count_code(found, f) for f in FAILED), F.lit(0)),
-            "qc_messages": F.array_join(F.array_compact(said), "; "),
-            "qc_flags": F.sort_array(F.array_distinct(F.array_compact(failed))),
+            "qc_messages": F.array_join(F.transform("_failed", lambda k: said[k]), "; "),
+            "qc_flags": F.sort_array(F.array_distinct(F.transform("_failed", lambda k: rules[k]))),
         }
-    ).withColumn("qc_status", F.col("qc_flag"))
+    ).withColumn("qc_status", F.col("qc_flag")).drop("_failed")
 
 
 def code_counts(df: DataFrame, keys: list[str], items: list[Item], codes: str = "qc_codes") -> DataFrame:
     """(keys, variable, rule_id, flag, observations): the finest table of a run's summaries.
 
     Codes are counted by place; names are put to the counted rows, so nothing is joined and no text is exchanged.
+    Where there are keys, rows are first brought together by them while a row is still one array: a task then
+    counts a few keys in a small table, where scattered rows would send on nearly every code. They are dealt by
+    a hash that the grouping does not know, so a key with a third of all rows may be split and its counts added up.
     """
-    counted = df.select(*keys, F.posexplode(codes).alias("_place", "_code")).groupBy(*keys, "_place", "_code").agg(
+    rows = df.select(*keys, codes)
+    if keys:
+        rows = rows.withColumn("_spot", F.xxhash64(*keys)).hint("rebalance", "_spot")
+    counted = rows.select(*keys, F.posexplode(codes).alias("_place", "_code")).groupBy(*keys, "_place", "_code").agg(
         F.count(F.lit(1)).alias("observations")
     )
     place = F.col("_place") + 1

@@ -71,6 +71,14 @@ def stage_summary(counts: DataFrame, stage: str) -> DataFrame:
     return summary(counts.filter(F.col("rule_id").isin(R.rules_of_stage(stage, include_disabled=True))), ["rule_id"])
 
 
+def stage_summaries(counts: DataFrame, stages: list[str]) -> DataFrame:
+    """Per rule of every stage named, from one reading of ``counts``; a rule belongs to one stage."""
+    of = {r: stage for stage in stages for r in R.rules_of_stage(stage, include_disabled=True)}
+    known = counts.filter(F.col("rule_id").isin(list(of)))
+    by_rule = F.create_map(*[F.lit(x) for kv in of.items() for x in kv])
+    return summary(known, ["rule_id"]).withColumn("stage", F.element_at(by_rule, F.col("rule_id")))
+
+
 def limit_rows(df: DataFrame, order: list[Column], rows: int = 100) -> DataFrame:
     """The first rows of a report table."""
     return df.orderBy(*order).limit(rows)

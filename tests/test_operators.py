@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -534,3 +536,28 @@ def test_whole_run_by_hand(spark):
     assert by_hand["qc_status"] == "ERROR" and by_hand["qc_rule_count"] == len(items) and "range_above_physical_maximum" in by_hand["qc_flags"]
     counts = {(r["rule_id"], r["flag"]): r["observations"] for r in K.code_counts(df, [], items).collect()}
     assert counts["completeness_expected_observations", "MISSING"] == 2
+
+
+def test_code_counts_bring_rows_together_before_codes_are_spread(spark):
+    items = [K.Item("r1", "a"), K.Item("r2", "b")]
+    rows = [(i, "hot" if i % 3 else f"s{i % 50}", [K.CODES["PASS"], K.CODES["ERROR" if i % 4 else "PASS"]]) for i in range(2000)]
+    df = spark.createDataFrame(rows, "id long, station string, qc_codes array<tinyint>")
+    counts = K.code_counts(df, ["station"], items)
+    got = {(r["station"], r["rule_id"], r["flag"]): r["observations"] for r in counts.collect()}
+    want = Counter()
+    for _, station, codes in rows:
+        for item, code in zip(items, codes, strict=True):
+            want[(station, item.rule_id, next(f for f, c in K.CODES.items() if c == code))] += 1
+    assert got == want
+    plan = _final(counts)
+    # rows are dealt by a hash that the grouping does not know, so counts are added up and a hot key may be split
+    assert plan.index("Generate") < plan.index("REBALANCE_PARTITIONS_BY_COL") and plan.count("HashAggregate") == 2
+
+
+def test_stage_summaries_read_the_counts_once(spark):
+    stages = list(R.STAGE_MODULES)
+    rules = [R.rules_of_stage(s)[0] for s in stages]
+    counts = spark.createDataFrame([(r, f, n) for n, r in enumerate(rules, 1) for f in ("PASS", "ERROR")], "rule_id string, flag string, observations long")
+    out = {r["stage"]: (r["rule_id"], r["total_observations"]) for r in SM.stage_summaries(counts, stages).collect()}
+    assert out == {s: (r, 2 * n) for n, (s, r) in enumerate(zip(stages, rules, strict=True), 1)}
+    assert "Union" not in _plan(SM.stage_summaries(counts, stages))
