@@ -20,7 +20,14 @@ MASK_COLUMNS = 62
 
 
 def blank_cells_to_null(grid: DataFrame) -> DataFrame:
-    return grid.withColumn("cells", F.transform("cells", lambda c: S.blank_to_null(c)))
+    """Cells of white space only become null.
+
+    A filter on ``cells`` would take the whole expression below it and work it out a second and third time; what a
+    generator gives is worked out once a row, and filters stay above it.
+    """
+    cells = F.transform("cells", lambda c: S.blank_to_null(c))
+    rest = [c for c in grid.columns if c != "cells"]
+    return grid.select(*rest, F.explode_outer(F.array(cells)).alias("cells")).select(*grid.columns)
 
 
 def _masks(cells: Column) -> Column:
@@ -44,7 +51,8 @@ def sheet_sizes(grid: DataFrame) -> DataFrame:
     # a row has one mask for every 62 columns, nearly always one
     marked = grid.select(*SHEET, "source_row", F.size("cells").alias("_width"), _masks(F.col("cells")).alias("_masks"))
     kept = F.exists("_masks", lambda m: m != 0).alias("_kept")
-    spread = marked.select(*SHEET, "source_row", "_width", kept, F.posexplode("_masks").alias("_part", "_bits"))
+    # there is always a mask; the outer form keeps Spark from adding a filter that works the masks out once more
+    spread = marked.select(*SHEET, "source_row", "_width", kept, F.posexplode_outer("_masks").alias("_part", "_bits"))
     parts = spread.groupBy(*SHEET, "_part").agg(
         F.count(F.lit(1)).alias("_rows"),
         F.max("_width").alias("_width"),
@@ -63,9 +71,10 @@ def sheet_sizes(grid: DataFrame) -> DataFrame:
 
 def first_rows(grid: DataFrame, sizes: DataFrame) -> DataFrame:
     """(sheet, _first): the cells of every sheet's first row with data. ``sizes`` is stored, so Spark
-    broadcasts its row numbers where they are few."""
+    broadcasts its row numbers where they are few; a semi join goes below the cleaning of cells, which only these
+    rows need."""
     heads = sizes.filter(F.col("header_row").isNotNull()).select(*SHEET, F.col("header_row").alias("source_row"))
-    return grid.join(heads, [*SHEET, "source_row"]).groupBy(*SHEET).agg(F.min("cells").alias("_first"))
+    return grid.join(heads, [*SHEET, "source_row"], "left_semi").groupBy(*SHEET).agg(F.min("cells").alias("_first"))
 
 
 def profile_sheets(grid: DataFrame) -> DataFrame:

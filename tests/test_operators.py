@@ -561,3 +561,17 @@ def test_stage_summaries_read_the_counts_once(spark):
     out = {r["stage"]: (r["rule_id"], r["total_observations"]) for r in SM.stage_summaries(counts, stages).collect()}
     assert out == {s: (r, 2 * n) for n, (s, r) in enumerate(zip(stages, rules, strict=True), 1)}
     assert "Union" not in _plan(SM.stage_summaries(counts, stages))
+
+
+def test_cells_are_cleaned_once_a_row(spark):
+    rows = [("f", "s", n, c) for n, c in enumerate([[" ", ""], ["a", " "], ["1", "2"]], 1)]
+    raw = spark.createDataFrame(rows, "source_file string, source_sheet string, source_row long, cells array<string>")
+    grid = G.blank_cells_to_null(raw)
+    assert [r["cells"] for r in grid.orderBy("source_row").collect()] == [[None, None], ["a", None], ["1", "2"]]
+    profile = G.profile_sheets(grid)
+    assert profile.select("rows_before_cleanup", "rows", "header").first()[:] == (3, 2, ["a", None])
+    for df in (G.sheet_sizes(grid), G.clean_grid(grid, profile)):
+        # no filter works cells or masks out a second time
+        assert not [line for line in _plan(df).split("\n") if "Filter" in line and "ascii(" in line]
+    plan = _plan(G.first_rows(grid, G.sheet_sizes(grid).persist()))
+    assert "LeftSemi" in plan and plan.index("Generate") < plan.index("LeftSemi")
