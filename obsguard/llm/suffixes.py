@@ -27,13 +27,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obsguard.llm.common import mix64, stored
+from obsguard.llm.common import mix64, stored, tidy
 from obsguard.llm.shingles import BASE, BYTE, UNBASE, powers
 
 LENGTH, GRAM = 100, 24
 SIDE = (LENGTH - GRAM) // 2
-#: Texts are hashed in segments of at most this many bytes that overlap by LENGTH - 1.
-SEGMENT = 4 << 20
+#: Texts are hashed in segments of at most this many bytes that overlap by LENGTH - 1; a worker holds some twenty
+#: arrays of 64 bits for one.
+SEGMENT = 1 << 20
 PLACE_BITS = np.uint64(23)
 
 RUNS = "kind int, anchor long, run long, sides long, doc long, start long, off int, n int"
@@ -284,7 +285,7 @@ def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeated_spans(documents: DataFrame) -> DataFrame:
     """(doc, start, n): byte spans of ``documents`` (doc, text) whose union is all that occurs earlier."""
     sort = ("kind", "anchor", "run", "doc", "start")
-    runs = documents.mapInArrow(local_runs, RUNS).repartition("anchor").sortWithinPartitions(*sort)
+    runs = documents.mapInArrow(tidy(local_runs), RUNS).repartition("anchor").sortWithinPartitions(*sort)
     found = stored(runs.mapInArrow(settled, FOUND), "settled")
     spans = found.where(F.col("kind") == REMOVED).select("doc", "start", F.col("n").cast("long").alias("n"))
 
@@ -302,7 +303,7 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
     shared = sides.groupBy("anchor", "side", "id").agg(F.count("*").alias("k")).where("k > 1").drop("k")
     still = sides.join(shared, ["anchor", "side", "id"]).groupBy("doc").agg(F.collect_list(F.struct("first", "last")).alias("open"))
     still = stored(still, "open-windows")
-    windows = documents.join(still, "doc").select("doc", "text", "open").mapInArrow(open_windows, "kind int, a long, b long, doc long, start long")
+    windows = documents.join(still, "doc").select("doc", "text", "open").mapInArrow(tidy(open_windows), "kind int, a long, b long, doc long, start long")
     windows = windows.repartition("a").sortWithinPartitions("kind", "a", "b", "doc", "start")
     return spans.unionByName(windows.mapInArrow(repeated_windows, "doc long, start long, n long"))
 

@@ -417,3 +417,42 @@ def test_page_text_against_patterns_and_in_one_pass():
     assert languages.declared_language('<HTML class="x" lang = "pt-BR">') == "pt"
     assert languages.declared_language("<meta http-equiv='Content-Language' content='es-PE'>") == "es"
     assert languages.declared_language("<html><body lang='fr'>") == ""
+
+
+def test_runs_of_a_batch_need_little_memory():
+    """A worker stands beside the JVM: hashing 6 MB of text must not take a hundred bytes for each of its bytes."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from obsguard.llm import suffixes
+
+    rng = np.random.default_rng(3)
+    texts = [bytes(rng.integers(97, 123, 60_000, dtype=np.uint8)).decode() for _ in range(100)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(100), pa.int64()), pa.array(texts)], names=["doc", "text"])
+    tracemalloc.start()
+    rows = sum(out.num_rows for out in suffixes.local_runs(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows > 100_000 and peak < 250e6, peak
+
+
+def test_words_are_learned_in_parts(monkeypatch):
+    import public_tokenizers
+
+    from obsguard.llm import packing
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    text = " ".join(f"word{i}, Other{i % 7}." for i in range(500))
+    whole = packing.WordIds(path).encode([text, None or ""])
+    monkeypatch.setattr(packing, "LEARNED", 7)
+    words, calls = packing.WordIds(path), []
+    inner = words.tokenizer
+
+    class Counted:
+        def encode_batch_fast(self, texts, **more):
+            calls.append(len(texts))
+            return inner.encode_batch_fast(texts, **more)
+
+    words.tokenizer = Counted()
+    assert words.encode([text, ""]) == whole and max(calls) <= 7 and len(calls) > 10
