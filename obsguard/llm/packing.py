@@ -36,6 +36,10 @@ MAX_PIVOTS = 1500
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
+#: Words tokenised at a time: the tokenizer holds some hundred bytes a token until a call returns.
+LEARNED = 10_000
+
+
 class WordIds:
     """Token ids by whitespace-separated word; the vocabulary's rules never cross white space.
 
@@ -69,11 +73,13 @@ class WordIds:
         # only after ASCII: some other letters are folded to a letter and a mark, which joins the sentence mark
         marked = [w for w in words if w[-1] in ".," and w[-2:-1].isascii() and w[-2:-1].isalnum()]
         plain = list((words.difference(marked) | {w[:-1] for w in marked} | {".", ","}) - self.known.keys())
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(plain, add_special_tokens=False)]
-        ends = np.cumsum([0, *map(len, ids)]) * 4
-        flat = np.fromiter(chain.from_iterable(ids), "<u4", int(ends[-1]) // 4).tobytes()
-        ends = ends.tolist()
-        self.known.update(zip(plain, map(flat.__getitem__, map(slice, ends[:-1], ends[1:])), strict=True))
+        for a in range(0, len(plain), LEARNED):
+            part = plain[a : a + LEARNED]
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            ends = np.cumsum([0, *map(len, ids)]) * 4
+            flat = np.fromiter(chain.from_iterable(ids), "<u4", int(ends[-1]) // 4).tobytes()
+            ends = ends.tolist()
+            self.known.update(zip(part, map(flat.__getitem__, map(slice, ends[:-1], ends[1:])), strict=True))
         self.known.update({w: self.known[w[:-1]] + self.known[w[-1]] for w in marked})
 
     def encode(self, texts: list[str]) -> list[bytes]:
