@@ -105,9 +105,10 @@ _MATCH_CTE = f"""{_NET_CTE}, {_NEAR}, cand AS (SELECT e.event_id, e.user_id, e.v
 
 
 def matches(spark, sf_dir):
-    # Neighbour stations share a bucketed time axis; see nearest_in_time.
+    # One array of matches a row: neither pairs of stations nor matches are exchanged; see nearest_around.
     events = B.table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
-    return J.nearest_in_time(events, events, pairs(spark, sf_dir), 1800, key="user_id")
+    places = B.stations(spark, sf_dir).select("user_id", "latitude", "longitude")
+    return J.nearest_around(events, events, places, 300.0, 1800, key="user_id")
 
 
 @query(
@@ -115,7 +116,7 @@ def matches(spark, sf_dir):
     f"WITH {_MATCH_CTE} SELECT event_id, neighbour, oid AS neighbour_id, ovalue AS neighbour_value, gap AS gap_us FROM matched",
 )
 def nearest(spark, sf_dir):
-    return matches(spark, sf_dir).select("event_id", "neighbour", "neighbour_id", "neighbour_value", "gap_us")
+    return matches(spark, sf_dir).select("event_id", F.inline("matches"))
 
 
 _SPATIAL_CTE = f"""{_MATCH_CTE}, around AS (SELECT event_id, count(*) AS n, quantile_cont(ovalue, 0.5) AS med, min(ovalue) AS lo, max(ovalue) AS hi

@@ -7,9 +7,12 @@ splits a skewed key.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from obsguard.functions import scalars as S
 
@@ -190,6 +193,160 @@ def nearest_in_time(
     )
 
 
+#: Edge of a cube in which places are dealt to tasks, in reaches, and length of a span of time, in tolerances.
+DEAL_REACHES = 4
+DEAL_TOLERANCES = 12
+#: Rows a task gathers before it matches them, and candidates it looks at in one go.
+MATCH_ROWS = 100_000
+MATCH_CANDIDATES = 1_000_000
+
+
+def nearest_around(
+    probes: DataFrame,
+    observations: DataFrame,
+    stations: DataFrame,
+    max_km: float = 300.0,
+    tolerance_s: int = 1800,
+    key: str = "station_id",
+    ts: str = "ts",
+    row_id: str = "event_id",
+    value: str = "value",
+    lat: str = "latitude",
+    lon: str = "longitude",
+) -> DataFrame:
+    """(row_id, station, matches): for every probe, of each station within ``max_km`` the observation closest in time.
+
+    The same matches as :func:`nearest_in_time` over :func:`neighbour_pairs`, in one array a probe. Rows are dealt by
+    place and time: a probe goes to the one cube and span of time it lies in, an observation to those it can be matched
+    in, a few whatever the number of stations. Neither pairs of stations nor matches are exchanged. Inside a task rows
+    come in time order, and only those within the tolerance of a probe still to be matched are held.
+    """
+    width = tolerance_s * 1_000_000
+    edge, span = DEAL_REACHES * max_km, DEAL_TOLERANCES * width
+    places = one_row_each(
+        stations.filter(F.col(key).isNotNull() & F.col(lat).isNotNull() & F.col(lon).isNotNull()).select(
+            F.col(key).alias("station"), F.col(lat).cast("double").alias("_lat"), F.col(lon).cast("double").alias("_lon")
+        ),
+        ["station"],
+    )
+
+    def timed(df: DataFrame, probe: bool) -> DataFrame:
+        v = F.lit(None).cast(observations.schema[value].dataType) if probe else F.col(value)
+        return df.select(
+            F.col(key).alias("station"), F.col(row_id).alias("_id"), S.epoch_us(F.col(ts)).alias("_t"), v.alias("_v"),
+            F.lit(probe).alias("_probe"),
+        ).filter(F.col("_t").isNotNull())
+
+    rows = timed(probes, True).unionByName(timed(observations.filter(F.col(value).isNotNull()), False))
+    phi, lam = F.radians("_lat"), F.radians("_lon")
+    axes = {"_x": F.cos(phi) * F.cos(lam), "_y": F.cos(phi) * F.sin(lam), "_z": F.sin(phi)}
+    # a hair more than the reach, so that no rounding keeps a pair apart
+    reach = F.when(F.col("_probe"), F.lit(0.0)).otherwise(F.lit(max_km * (1 + 1e-9) + 1e-6))
+    late = F.when(F.col("_probe"), F.lit(0)).otherwise(F.lit(width))
+    dealt = rows.join(places, "station").withColumn(
+        "_span", F.explode(F.sequence(F.floor((F.col("_t") - late) / F.lit(span)), F.floor((F.col("_t") + late) / F.lit(span))))
+    )
+    for axis, unit in axes.items():
+        at = unit * F.lit(S.EARTH_RADIUS_KM)
+        dealt = dealt.withColumn(axis, F.explode(F.sequence(F.floor((at - reach) / F.lit(edge)), F.floor((at + reach) / F.lit(edge)))))
+    cells = 2 * math.ceil((S.EARTH_RADIUS_KM + max_km) / edge) + 3
+    deal = ["_cube", "_span"]
+    dealt = dealt.select(
+        ((F.col("_x") * cells + F.col("_y")) * cells + F.col("_z")).alias("_cube"), "_span", "_t", "_id", "_probe", "station", "_v", "_lat", "_lon"
+    )
+    match = T.StructType(
+        [
+            T.StructField("neighbour", dealt.schema["station"].dataType), T.StructField("neighbour_id", dealt.schema["_id"].dataType),
+            T.StructField("neighbour_value", dealt.schema["_v"].dataType), T.StructField("gap_us", T.LongType()),
+        ]
+    )
+    schema = T.StructType(
+        [
+            T.StructField(row_id, dealt.schema["_id"].dataType), T.StructField("station", dealt.schema["station"].dataType),
+            T.StructField("matches", T.ArrayType(match)),
+        ]
+    )
+    return dealt.repartition(*deal).sortWithinPartitions(*deal, "_t", "_id").mapInArrow(_matcher(row_id, max_km, width), schema)
+
+
+def _matcher(row_id: str, max_km: float, width: int):
+    """The part of :func:`nearest_around` inside a task, over rows sorted by cube, span, time and id."""
+    radius, rows_held, candidates_held = S.EARTH_RADIUS_KM, MATCH_ROWS, MATCH_CANDIDATES
+
+    def match(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        def found(held, final):
+            """Yields the matches of the probes whose time has passed; returns the rows to go on with."""
+            rows = pa.Table.from_batches(held)
+            here = {c: rows[c].combine_chunks() for c in ("station", "_id", "_v")}
+            n = rows.num_rows
+            column = {c: rows[c].to_numpy() for c in ("_cube", "_span", "_t", "_lat", "_lon", "_probe")}
+            t, probe = column["_t"], column["_probe"].astype(bool)
+            new = np.r_[True, (np.diff(column["_cube"]) != 0) | (np.diff(column["_span"]) != 0)]
+            group = np.cumsum(new) - 1
+            last, end = group[-1], t[-1]
+            open_ = np.zeros(n, bool) if final else (group == last) & (t + width >= end)
+            station = here["station"].dictionary_encode().indices.to_numpy()
+            # one ascending number for group and time: groups lie more than the tolerance apart
+            start = t[new][group]
+            length = int((t - start).max()) + 2 * width + 2
+            at = group * length + (t - start)
+            obs = np.flatnonzero(~probe)
+            ask = np.flatnonzero(probe & ~open_)
+            low = np.searchsorted(at[obs], at[ask] - width, "left")
+            high = np.searchsorted(at[obs], at[ask] + width, "right")
+            total = np.cumsum(high - low)
+            phi, lam = np.radians(column["_lat"]), np.radians(column["_lon"])
+            x, y, z, cos = np.cos(phi) * np.cos(lam), np.cos(phi) * np.sin(lam), np.sin(phi), np.cos(phi)
+            least = np.cos(min(max_km / radius * (1 + 1e-6) + 1e-6, np.pi))
+            first = 0
+            while first < len(ask):
+                done = total[first - 1] if first else 0
+                stop = max(first + 1, int(np.searchsorted(total, done + candidates_held, "right")))
+                count = (high - low)[first:stop]
+                i = np.repeat(ask[first:stop], count)
+                j = obs[np.arange(len(i)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(low[first:stop], count)]
+                first = stop
+                near = (x[i] * x[j] + y[i] * y[j] + z[i] * z[j] >= least) & (station[i] != station[j])
+                i, j = i[near], j[near]
+                a = np.sin((phi[j] - phi[i]) / 2) ** 2 + cos[i] * cos[j] * np.sin((lam[j] - lam[i]) / 2) ** 2
+                near = np.arcsin(np.sqrt(np.minimum(a, 1.0))) * (2 * radius) <= max_km
+                i, j = i[near], j[near]
+                if not len(i):
+                    continue
+                # of a probe and a station the least gap; among equal gaps the row that comes first by time and id
+                gap = np.abs(t[j] - t[i])
+                order = np.lexsort((gap, station[j], i))
+                i, j, gap = i[order], j[order], gap[order]
+                best = np.r_[True, (np.diff(i) != 0) | (np.diff(station[j]) != 0)]
+                i, j, gap = i[best], j[best], gap[best]
+                heads = np.flatnonzero(np.r_[True, np.diff(i) != 0])
+                matches = pa.StructArray.from_arrays(
+                    [here["station"].take(pa.array(j)), here["_id"].take(pa.array(j)), here["_v"].take(pa.array(j)), pa.array(gap)],
+                    ["neighbour", "neighbour_id", "neighbour_value", "gap_us"],
+                )
+                lists = pa.ListArray.from_arrays(pa.array(np.r_[heads, len(i)].astype("int32")), matches)
+                heads = pa.array(i[heads])
+                yield pa.RecordBatch.from_arrays([here["_id"].take(heads), here["station"].take(heads), lists], [row_id, "station", "matches"])
+            still = (group == last) & np.where(probe, open_, t >= end - 2 * width)
+            return rows.filter(pa.array(still)).to_batches()
+
+        held, waiting, enough = [], 0, rows_held
+        for batch in batches:
+            held.append(batch)
+            waiting += batch.num_rows
+            if waiting >= enough:
+                held = yield from found(held, False)
+                waiting = sum(b.num_rows for b in held)
+                enough = max(rows_held, 2 * waiting)
+        if waiting:
+            yield from found(held, True)
+
+    return match
+
+
 def with_provenance(records: DataFrame, inventory: DataFrame, path: str = "source_file") -> DataFrame:
     """Attach the content hash of the file a record came from."""
     return records.join(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tempfile
 
 import numpy as np
 import pytest
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from obsguard.operators import frames as FR
 from obsguard.operators import quantiles as QN
 from obsguard.operators import temporal as TP
+from obsguard.operators import joins as J
 from obsguard.operators.joins import nearest_in_time, neighbour_pairs
 
 
@@ -127,6 +129,94 @@ def test_nearest_in_time_against_brute_force(spark):
     assert got == want and len(want) > 100
 
 
+def _flat(matched):
+    return sorted(
+        (r["event_id"], r["station"], m["neighbour"], m["neighbour_id"], m["neighbour_value"], m["gap_us"]) for r in matched.collect() for m in r["matches"]
+    )
+
+
+@pytest.mark.parametrize("held, candidates", [(100_000, 1_000_000), (50, 40)])
+def test_nearest_around_equals_match_over_pairs(spark, monkeypatch, held, candidates):
+    # few rows held and few candidates at once: groups and times go on over the batches a task is given
+    monkeypatch.setattr(J, "MATCH_ROWS", held)
+    monkeypatch.setattr(J, "MATCH_CANDIDATES", candidates)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 30)
+    rng = random.Random(11)
+    # cubes of 1,200 km: stations on both sides of their faces, at a pole, over the date line; one without a place, one listed twice
+    places = [(f"s{i}", rng.uniform(-9, 9), rng.uniform(-9, 9)) for i in range(25)]
+    places += [("p", 89.5, 10.0), ("q", 89.5, -170.0), ("d", 1.0, 179.9), ("e", 1.0, -179.9), ("n", None, 3.0), ("s0", *places[0][1:])]
+    stations = spark.createDataFrame(places, "station_id string, latitude double, longitude double")
+    names = sorted({p[0] for p in places}) + ["unknown"]
+    rows = [
+        (i, rng.choice(names), rng.randrange(0, 60_000, 100), None if i % 17 == 0 else float(rng.randrange(50))) for i in range(1500)
+    ]
+    df = spark.createDataFrame(rows, "event_id long, station_id string, t long, value double").withColumn(
+        "ts", F.when(F.col("event_id") % 41 != 0, F.timestamp_seconds("t").cast("timestamp_ntz"))
+    )
+    try:
+        got = _flat(J.nearest_around(df, df, stations, 300.0, 1800))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    pairs = neighbour_pairs(stations.dropDuplicates(), 300.0)
+    want = sorted(tuple(r) for r in nearest_in_time(df, df, pairs, 1800).select("event_id", "station", "neighbour", "neighbour_id", "neighbour_value", "gap_us").collect())
+    assert got == want and len(want) > 1000
+
+
+def test_exchange_of_the_neighbour_match_grows_as_the_observations(spark):
+    # four times the stations on the same ground, the same observations each: an exchanged row for each
+    # pair of stations would make sixteen times the rows
+    from coverage_queries import q_joins
+
+    def exchanged(n, folder):
+        spark.range(n).selectExpr("id AS c_custkey", "CAST(id AS STRING) AS c_name").write.parquet(f"{folder}/customer.parquet")
+        spark.range(4 * n).selectExpr(
+            "id AS event_id", f"id % {n} AS user_id", "CAST(timestamp_seconds(id * 977 % 86400) AS timestamp_ntz) AS ts",
+            "CAST(id % 90 AS DOUBLE) AS value",
+        ).write.parquet(f"{folder}/events.parquet")
+        matched = q_joins.nearest(spark, folder)
+        matched.collect()
+        return _exchanged_rows(matched)
+
+    with tempfile.TemporaryDirectory() as small, tempfile.TemporaryDirectory() as large:
+        few, many = exchanged(2000, small), exchanged(8000, large)
+    assert 8000 < few and many < 5 * few
+
+
+def _exchanged_rows(df):
+    """Rows written by all exchanges of the plan that ran."""
+    total, todo = 0, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+            continue
+        if "QueryStage" in name:
+            todo.append(node.plan())
+            continue
+        if name == "Exchange":
+            total += node.metrics().apply("shuffleRecordsWritten").value()
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return total
+
+
+def test_spatial_flags_from_arrays_of_matches(spark):
+    from obsguard.operators.references import spatial_flags
+
+    obs = spark.createDataFrame([(1, 10.0), (2, 100.0), (3, 5.0), (4, 60.0), (5, None)], "event_id long, value double")
+    values = [(1, [9.0, 12.0, 80.0]), (2, [1.0, 59.0]), (3, [500.0]), (5, [1.0, 2.0])]
+    matches = spark.createDataFrame(
+        [(i, [(v,) for v in vs]) for i, vs in values], "event_id long, matches array<struct<neighbour_value: double>>"
+    )
+    got = {r[0]: tuple(r)[1:] for r in spatial_flags(obs, matches, 40.0).select(
+        "event_id", "neighbours", "spatial_neighbor_difference", "spatial_isolated_extreme").collect()}
+    assert got == {
+        1: (3, "PASS", "PASS"), 2: (2, "SUSPECT", "SUSPECT"), 3: (1, "NOT_CHECKED", "NOT_CHECKED"),
+        4: (0, "NOT_CHECKED", "NOT_CHECKED"), 5: (2, "NOT_CHECKED", "NOT_CHECKED"),
+    }
+
+
 def test_neighbour_pairs_across_pole_and_date_line(spark):
     places = [("a", 0.0, 179.5), ("b", 0.0, -179.5), ("c", 89.5, 0.0), ("d", 89.5, 180.0), ("e", -12.0, -77.0), ("f", -14.6, -77.0)]
     df = spark.createDataFrame(places, "station_id string, latitude double, longitude double")
