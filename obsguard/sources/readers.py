@@ -18,36 +18,75 @@ def _file_path():
 WIDE_UNITS = ("UTF-16", "UTF-32", "UCS-2", "UCS-4")
 
 
+#: Lines of a split that meet their split's sums together.
+LINES_DEALT = 65_536
+
+
 def file_lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
     """(source_file, line, text, quotes_before) for every line of the files below ``path``.
 
     Files are read in splits, so one of any size is spread over tasks. Lines get their number, and
-    the quotes that stand before them, from what one small row per split adds up to; inside a split,
-    which ``spark.sql.files.maxPartitionBytes`` bounds, they are counted in order.
+    the quotes that stand before them, from what one small row per split adds up to; inside a split
+    they are counted while it is read, so its lines are not sorted and never held together.
+    ``_opens`` is the last line of the split, up to this one, that leaves a quote open.
     """
     if encoding.upper().startswith(WIDE_UNITS):
         raise ValueError(f"{encoding} has line breaks of several bytes; convert the files first")
     source = spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n").text(path)
     text = F.decode(F.col("value").cast("binary"), encoding)
     lines = source.select(
-        _file_path().alias("source_file"), F.col("_metadata.file_block_start").alias("_split"),
-        F.regexp_replace(text, "\r$", "").alias("text"), F.monotonically_increasing_id().alias("_at"),
+        _file_path().alias("source_file"), F.col("_metadata.file_block_start").alias("_split"), F.regexp_replace(text, "\r$", "").alias("text")
     ).withColumn("_marks", F.length("text") - F.length(F.replace("text", F.lit('"'), F.lit(""))))
     keys = ["source_file", "_split"]
     sums = lines.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.sum("_marks").alias("_m"))
     earlier = W.partitionBy("source_file").orderBy("_split").rowsBetween(W.unboundedPreceding, -1)
+    # a row for every so many lines: however the join is made, the lines of a split are dealt to many tasks
     sums = sums.select(
-        *keys, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_lines0"), F.coalesce(F.sum("_m").over(earlier), F.lit(0)).alias("_marks0")
-    )
-    inside = W.partitionBy(*keys).orderBy("_at")
-    counted = lines.withColumns(
-        {"_k": F.row_number().over(inside), "_m": F.coalesce(F.sum("_marks").over(inside.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))}
+        *keys, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_lines0"), F.coalesce(F.sum("_m").over(earlier), F.lit(0)).alias("_marks0"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor(F.col("_n") / F.lit(LINES_DEALT)))).alias("_deal"),
     )
-    return counted.join(sums, keys).select(
-        *keys, (F.col("_lines0") + F.col("_k")).alias("line"), "text", "_marks", (F.col("_marks0") + F.col("_m")).alias("quotes_before")
+    schema = T.StructType([*lines.schema.fields, *[T.StructField(c, T.LongType()) for c in ("_k", "_m", "_open0", "_open1")]])
+    counted = lines.mapInArrow(_counter(), schema).withColumn("_deal", F.floor(F.col("_k") / F.lit(LINES_DEALT)))
+    opens = F.when(F.col("_marks0") % 2 == 0, F.col("_open0")).otherwise(F.col("_open1"))
+    return counted.join(sums, [*keys, "_deal"]).select(
+        *keys, (F.col("_lines0") + F.col("_k")).alias("line"), "text", "_marks", (F.col("_marks0") + F.col("_m")).alias("quotes_before"),
+        F.when(opens > 0, F.col("_lines0") + opens).alias("_opens"),
     )
 
 
+def _counter():
+    """Adds to the lines of a task, which come split by split in their order: the line's number in its split, the quotes
+    before it there, and the last line so far that leaves a quote open, if an even or an odd number stands before the split."""
+
+    def count(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        at, k0, m0, open0 = None, 0, 0, [0, 0]
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            files, splits = batch.column("source_file").dictionary_encode(), batch.column("_split").to_numpy()
+            marks = batch.column("_marks").to_numpy().astype("int64")
+            new = np.r_[(files[0].as_py(), int(splits[0])) != at, (np.diff(files.indices.to_numpy()) != 0) | (np.diff(splits) != 0)]
+            row = np.arange(n)
+            start = np.maximum.accumulate(np.where(new, row, -1))  # -1: the split of the batch before goes on
+            before = np.cumsum(marks) - marks
+            goes_on = start < 0
+            k = np.where(goes_on, k0 + row + 1, row - start + 1)
+            m = np.where(goes_on, m0 + before, before - before[start])
+            opens = []
+            for parity in (0, 1):
+                last = np.maximum.accumulate(np.where((marks % 2 == 1) & (m % 2 == parity), row, -1))
+                opens.append(np.where((last >= 0) & (last >= start), k[last], np.where(goes_on, open0[parity], 0)))
+            at, k0, m0, open0 = (files[-1].as_py(), int(splits[-1])), int(k[-1]), int(m[-1] + marks[-1]), [int(o[-1]) for o in opens]
+            columns = [*batch.columns, *[pa.array(c.astype("int64")) for c in (k, m, *opens)]]
+            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "_k", "_m", "_open0", "_open1"])
+
+    return count
+
+
 def file_records(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
     """(source_file, line, text) for every record: a line break inside quotes belongs to its record.
 
@@ -57,15 +96,14 @@ def file_records(spark: SparkSession, path: str, encoding: str = "UTF-8") -> Dat
     lines = file_lines(spark, path, encoding)
     inside, odd = F.col("quotes_before") % 2 == 1, F.col("_marks") % 2 == 1
     single = lines.filter(~inside & ~odd).select("source_file", "line", "text")
-    parts = lines.filter(inside | odd).withColumn("_opens", F.when(~inside, F.col("line")))
+    parts = lines.filter(inside | odd)
     keys = ["source_file", "_split"]
     last = parts.groupBy(*keys).agg(F.max("_opens").alias("_last"))
     earlier = W.partitionBy("source_file").orderBy("_split").rowsBetween(W.unboundedPreceding, -1)
     carried = last.select(*keys, F.max("_last").over(earlier).alias("_carried"))
-    here = F.max("_opens").over(W.partitionBy(*keys).orderBy("line"))
-    first = F.coalesce(F.col("_here"), F.col("_carried"))
+    first = F.coalesce(F.col("_opens"), F.col("_carried"))
     joined = (
-        parts.withColumn("_here", here).join(carried, keys).groupBy("source_file", first.alias("_first"))
+        parts.join(carried, keys).groupBy("source_file", first.alias("_first"))
         .agg(F.sort_array(F.collect_list(F.struct("line", "text"))).alias("_lines"))
         .select("source_file", F.col("_first").alias("line"), F.array_join(F.col("_lines.text"), "\n").alias("text"))
     )

@@ -195,6 +195,50 @@ def test_grid_reader_splits_files(spark, tmp_path, size):
     assert {n: [(r["source_row"], r["cells"]) for r in rows if r["source_sheet"] == n] for n in want} == want
 
 
+def _executed(df):
+    todo, nodes = [df._jdf.queryExecution().executedPlan()], []
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+        elif "QueryStage" in name:
+            todo.append(node.plan())
+        else:
+            nodes.append(node)
+            todo += [node.children().apply(i) for i in range(node.children().size())]
+    return nodes
+
+
+def test_grid_reader_sorts_no_lines(spark, tmp_path):
+    # a split's lines are numbered while they are read: no task holds them to sort them
+    (tmp_path / "a.csv").write_text('x,"y"\n"open\nclosed",z\n' * 20_000)
+    grid = SR.read_grid(spark, str(tmp_path))
+    rows = sorted(grid.collect(), key=lambda r: r["source_row"])
+    assert [r["source_row"] for r in rows] == [n for k in range(20_000) for n in (3 * k + 1, 3 * k + 2)]
+    assert rows[0]["cells"] == ["x", "y"] and rows[-1]["cells"] == ["open\nclosed", "z"]
+    kinds = [(n.nodeName(), n.output().toString()) for n in _executed(grid)]
+    assert not [k for k, columns in kinds if k in ("Sort", "Window") and "text#" in columns]
+
+
+@pytest.mark.parametrize("batch", [1, 2, 7])
+def test_grid_reader_counts_over_batches(spark, tmp_path, batch):
+    text = 'a,b\n"one\ntwo\nthree",c\nd,"e""f"\n"four\n\nfive"\n' * 5
+    for name in ("k", "l", "m"):
+        (tmp_path / f"{name}.csv").write_text(text)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "90")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        rows = SR.read_grid(spark, str(tmp_path)).collect()
+    finally:
+        for name in ("execution.arrow.maxRecordsPerBatch", "files.maxPartitionBytes", "files.openCostInBytes"):
+            spark.conf.unset(f"spark.sql.{name}")
+    cells = [["a", "b"], ["one\ntwo\nthree", "c"], ["d", 'e"f'], ["four\n\nfive"]]
+    want = [(n, 8 * k + at, c) for n in "klm" for k in range(5) for at, c in zip((1, 2, 5, 6), cells)]
+    assert sorted((r["source_sheet"], r["source_row"], r["cells"]) for r in rows) == sorted(want)
+
+
 def test_sheets_of_any_width(spark):
     for width in (61, 62, 63, 64, 70, 200):
         head = [f"h{i}" for i in range(width)]
